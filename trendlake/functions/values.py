@@ -49,16 +49,17 @@ def percent(part: Column, whole: Column, digits: int = RATIO_DIGITS) -> Column:
 
 
 def fixed_point(ratio: Column) -> Column:
-    """A ratio rounded to RATIO_DIGITS as a whole number of its last digit.
+    """A ratio rounded to RATIO_DIGITS as a whole number of its last digit, kept as a double.
 
-    Sums of these don't depend on the order of addition, as sums of doubles do.
+    Sums of whole doubles are exact below 2**53, so that they don't depend on the order of
+    addition, as sums of fractions do. A larger sum is rounded, where one of longs would fail.
     """
-    return F.round(ratio * 10**RATIO_DIGITS).cast("decimal(28,0)")
+    return F.round(ratio * 10**RATIO_DIGITS)
 
 
 def fixed_point_mean(total: Column, n: Column) -> Column:
     """Mean ratio from a sum of :func:`fixed_point` values and their number."""
-    return F.try_divide(total.cast("double"), n.cast("double")) / 10**RATIO_DIGITS
+    return F.try_divide(total, n.cast("double")) / 10**RATIO_DIGITS
 
 
 def region_of_path(path: Column, unknown: str) -> Column:

@@ -1,14 +1,15 @@
 """Cleansed statistics to the three report tables.
 
-Statistics are read twice. A daily rollup per channel and category serves both the regional
-and the category table, whose rows and names are only added to grouped rows; the channel table
-needs videos, so it has an aggregate of its own. No step groups raw rows by a key alone that a
-few values dominate: Spark combines within each task first, and distinct counts spread a large
-group over its distinct values before they reach it.
+Totals per category and day serve both the regional and the category table; the channel table
+needs videos, so it has an aggregate of its own. Distinct counts are spread over the distinct
+values first, and every grouping is combined within each task before the shuffle: a region, day
+or channel with a third of all rows costs no more than others. Category names are joined to
+grouped rows only.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -24,6 +25,22 @@ from trendlake.shared import materialize
 
 DAY = ("region", "trending_date_parsed")
 
+# Totals of statistics columns in each table.
+CATEGORY_TOTALS = {
+    "total_views": "views",
+    "total_likes": "likes",
+    "total_comments": "comment_count",
+}
+CHANNEL_TOTALS = CATEGORY_TOTALS
+# What a region's day adds up from its categories: the totals, and the parts of means.
+DAY_TOTALS = {
+    "total_videos": "video_count",
+    "total_views": "total_views",
+    "total_likes": "total_likes",
+    "total_dislikes": "total_dislikes",
+    "total_comments": "total_comments",
+}
+
 
 def _known_name(df: DataFrame) -> list[str]:
     """Statistics may carry category names already; they then stay with their ids."""
@@ -34,74 +51,81 @@ def _stamped(df: DataFrame, as_of: datetime | None) -> DataFrame:
     return df.withColumn("_aggregated_at", clock(as_of))
 
 
-def daily_rollup(stats: DataFrame) -> DataFrame:
-    """Totals per region, day, channel and category: the common base of two tables."""
+def category_days(stats: DataFrame) -> DataFrame:
+    """Totals per region, day and category: the common base of two tables.
+
+    The distinct count is dropped from the plan where it isn't used.
+    """
     typed = stats.withColumn("category_id", pick(stats, "category_id", "bigint"))
-    return typed.groupBy(*DAY, "channel_title", "category_id", *_known_name(stats)).agg(
-        F.count("video_id").alias("videos"),
-        F.sum("views").alias("views"),
+    return typed.groupBy(*DAY, "category_id", *_known_name(stats)).agg(
+        F.count("video_id").alias("video_count"),
+        *(F.sum(column).alias(name) for name, column in CATEGORY_TOTALS.items()),
+        F.sum("dislikes").alias("total_dislikes"),
         F.count("views").alias("views_n"),
         F.max("views").alias("max_views"),
-        F.sum("likes").alias("likes"),
-        F.sum("dislikes").alias("dislikes"),
-        F.sum("comment_count").alias("comments"),
         F.sum(fixed_point(F.col("like_ratio"))).alias("like_ratio"),
         F.count("like_ratio").alias("like_ratio_n"),
         F.sum(fixed_point(F.col("engagement_rate"))).alias("engagement"),
         F.count("engagement_rate").alias("engagement_n"),
+        F.count_distinct("channel_title").alias("unique_channels"),
     )
 
 
-def _mean(total: str, n: str) -> Column:
-    return fixed_point_mean(F.sum(total), F.sum(n))
+def channel_days(stats: DataFrame) -> DataFrame:
+    """Distinct channels per region and day. A large day is spread over its channels."""
+    return (
+        stats.select(*DAY, "channel_title")
+        .distinct()
+        .groupBy(*DAY)
+        .agg(F.count("channel_title").alias("unique_channels"))
+    )
 
 
-def trending_by_day(rollup: DataFrame) -> DataFrame:
-    """One row per region and day from the daily rollup."""
-    return rollup.groupBy(*DAY).agg(
-        F.sum("videos").alias("total_videos"),
-        F.sum("views").alias("total_views"),
-        F.sum("likes").alias("total_likes"),
-        F.sum("dislikes").alias("total_dislikes"),
-        F.sum("comments").alias("total_comments"),
-        F.try_divide(F.sum("views"), F.sum("views_n")).alias("avg_views_per_video"),
-        _mean("like_ratio", "like_ratio_n").alias("avg_like_ratio"),
-        _mean("engagement", "engagement_n").alias("avg_engagement_rate"),
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join of grouped rows, where NULL is a group like any other."""
+    renamed = right.withColumnsRenamed({key: f"_{key}" for key in keys})
+    same = [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys]
+    return left.join(renamed, same).drop(*(f"_{key}" for key in keys))
+
+
+def trending_by_day(by_category: DataFrame, channels: DataFrame) -> DataFrame:
+    """One row per region and day, from :func:`category_days` and :func:`channel_days`."""
+    totals = by_category.groupBy(*DAY).agg(
+        *(F.sum(part).alias(name) for name, part in DAY_TOTALS.items()),
+        F.try_divide(F.sum("total_views"), F.sum("views_n")).alias("avg_views_per_video"),
+        fixed_point_mean(F.sum("like_ratio"), F.sum("like_ratio_n")).alias("avg_like_ratio"),
+        fixed_point_mean(F.sum("engagement"), F.sum("engagement_n")).alias(
+            "avg_engagement_rate"
+        ),
         F.max("max_views").alias("max_views"),
-        F.count_distinct("channel_title").alias("unique_channels"),
         F.count_distinct("category_id").alias("unique_categories"),
     )
+    columns = [*totals.columns[:-1], "unique_channels", "unique_categories"]
+    return _null_safe_join(totals, channels, DAY).select(*columns)
 
 
-def categories_by_day(rollup: DataFrame, lookup: DataFrame | None = None) -> DataFrame:
-    """One row per category, region and day from the daily rollup, with its share of views.
-
-    The rollup has one row per channel here, so counting rows counts distinct channels.
-    """
-    totals = rollup.groupBy("category_id", *_known_name(rollup), *DAY).agg(
-        F.sum("videos").alias("video_count"),
-        F.sum("views").alias("total_views"),
-        F.sum("likes").alias("total_likes"),
-        F.sum("comments").alias("total_comments"),
-        _mean("engagement", "engagement_n").alias("avg_engagement_rate"),
-        F.count("channel_title").alias("unique_channels"),
-    )
-    named = enrich_category(totals, lookup)
-    # At most one row per category id in a region and day.
-    shared = share_of_group(named, "total_views", DAY, "view_share_pct")
-    return shared.select(
+def categories_by_day(by_category: DataFrame, lookup: DataFrame | None = None) -> DataFrame:
+    """One row per category, region and day from :func:`category_days`, with its share."""
+    named = enrich_category(by_category, lookup).select(
         "category_name",
-        *[name for name in shared.columns if name != "category_name"],
+        "category_id",
+        *DAY,
+        "video_count",
+        *CATEGORY_TOTALS,
+        fixed_point_mean(F.col("engagement"), F.col("engagement_n")).alias(
+            "avg_engagement_rate"
+        ),
+        "unique_channels",
     )
+    # A window's group is at most one row per category here.
+    return share_of_group(named, "total_views", DAY, "view_share_pct")
 
 
 def channel_totals(stats: DataFrame) -> DataFrame:
     """One row per channel and region, without the channel's categories."""
     return stats.groupBy("channel_title", "region").agg(
         F.count_distinct("video_id").alias("total_videos"),
-        F.sum("views").alias("total_views"),
-        F.sum("likes").alias("total_likes"),
-        F.sum("comment_count").alias("total_comments"),
+        *(F.sum(part).alias(name) for name, part in CHANNEL_TOTALS.items()),
         F.try_divide(F.sum("views"), F.count("views")).alias("avg_views_per_video"),
         fixed_point_mean(
             F.sum(fixed_point(F.col("engagement_rate"))), F.count("engagement_rate")
@@ -131,24 +155,18 @@ def channel_categories(stats: DataFrame, lookup: DataFrame | None = None) -> Dat
 
 
 def unranked_channels(stats: DataFrame, lookup: DataFrame | None = None) -> DataFrame:
-    totals = channel_totals(stats)
-    names = channel_categories(stats, lookup).select(
-        F.col("channel_title").alias("_channel"), F.col("region").alias("_region"), "categories"
-    )
-    same = F.col("channel_title").eqNullSafe(F.col("_channel")) & F.col("region").eqNullSafe(
-        F.col("_region")
-    )
-    return totals.join(names, same).drop("_channel", "_region")
+    names = channel_categories(stats, lookup)
+    return _null_safe_join(channel_totals(stats), names, ("channel_title", "region"))
 
 
 def trending_analytics(stats: DataFrame, as_of: datetime | None = None) -> DataFrame:
-    return _stamped(trending_by_day(daily_rollup(stats)), as_of)
+    return _stamped(trending_by_day(category_days(stats), channel_days(stats)), as_of)
 
 
 def category_analytics(
     stats: DataFrame, lookup: DataFrame | None = None, as_of: datetime | None = None
 ) -> DataFrame:
-    return _stamped(categories_by_day(daily_rollup(stats), lookup), as_of)
+    return _stamped(categories_by_day(category_days(stats), lookup), as_of)
 
 
 def channel_analytics(
@@ -177,10 +195,12 @@ class Gold:
 def build_gold(
     stats: DataFrame, lookup: DataFrame | None = None, as_of: datetime | None = None
 ) -> Gold:
-    """All three tables. The rollup two of them share is stored once."""
-    rollup = materialize(daily_rollup(stats), "daily-rollup")
+    """All three tables. The rows two of them share, a few per region and day, are stored."""
+    by_category = materialize(category_days(stats), "category-days")
     return Gold(
-        trending_analytics=_stamped(trending_by_day(rollup), as_of),
+        trending_analytics=_stamped(
+            trending_by_day(by_category, channel_days(stats)), as_of
+        ),
         channel_analytics=channel_analytics(stats, lookup, as_of),
-        category_analytics=_stamped(categories_by_day(rollup, lookup), as_of),
+        category_analytics=_stamped(categories_by_day(by_category, lookup), as_of),
     )

@@ -26,6 +26,7 @@ from trendlake.plans.silver import (
 )
 from trendlake.sinks.tables import land_raw, stored_rows, write_partitions
 from trendlake.sources.categories import category_items, read_category_documents
+from trendlake.sources.documents import LANDING_FOLDERS
 from trendlake.sources.statistics import (
     read_stats_csv,
     read_stats_json,
@@ -41,9 +42,10 @@ from trendlake.streaming.incremental import (
 
 @dataclass(frozen=True)
 class Lake:
-    """Where the tables lie below one root folder."""
+    """Where the tables lie below one root folder, and how landed documents are filed."""
 
     root: str
+    landing: Sequence[str] = LANDING_FOLDERS
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -89,7 +91,7 @@ def refresh_silver(
         only_regions(df, regions)
         for df in (
             read_stats_csv(spark, lake.raw_statistics),
-            read_stats_json(spark, lake.raw_statistics),
+            read_stats_json(spark, lake.raw_statistics, lake.landing),
         )
     ]
     if all(df.isEmpty() for df in raw):
@@ -106,7 +108,12 @@ def update_silver(
         spark, lake.raw_reference, lake.reference, f"{checkpoint}/reference", as_of=as_of
     )
     load_new_statistics(
-        spark, lake.raw_statistics, lake.statistics, f"{checkpoint}/statistics", as_of=as_of
+        spark,
+        lake.raw_statistics,
+        lake.statistics,
+        f"{checkpoint}/statistics",
+        as_of=as_of,
+        folders=lake.landing,
     )
 
 
@@ -155,7 +162,7 @@ def run_lake(
     checks pass; :class:`~trendlake.operators.quality.QualityGateError` is raised if not.
     """
     for landed in documents:
-        land_raw(landed, lake.raw_statistics)
+        land_raw(landed, lake.raw_statistics, lake.landing)
     for landed in category_documents:
         land_raw(landed, lake.raw_reference, partition_by=("region", "date"))
     if checkpoint is None:
@@ -166,7 +173,7 @@ def run_lake(
     require_quality(checks)
     return RunReport(
         ingest=ingest_summary(
-            read_video_documents(spark, lake.raw_statistics),
+            read_video_documents(spark, lake.raw_statistics, lake.landing),
             expected_regions(spark, regions),
         ),
         files=file_summary(read_category_documents(spark, lake.raw_reference)),

@@ -32,6 +32,8 @@ from trendlake.streaming.incremental import (
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Events cover every hour of a month; filed by day they make fewer, larger files.
+FOLDERS = ("region", "date")
 AS_OF = datetime(2024, 1, 31, 12, tzinfo=timezone.utc)
 LATER = datetime(2024, 2, 15, tzinfo=timezone.utc)
 DERIVED = ("trending_date_parsed", "like_ratio", "engagement_rate")
@@ -421,7 +423,7 @@ def reference_metadata(spark, sf):
     path = new_folder(spark, "reference")
     docs = adapters.supplier_categories(spark, sf).withColumn("region", F.trim("region"))
     named = documents.envelope(docs, "supplier", F.col(FILE_TIME), count_items=False)
-    land_raw(named.drop(FILE_TIME, SOURCE_FILE), path, ("region", "date"))
+    land_raw(named.drop(FILE_TIME, SOURCE_FILE), path, FOLDERS)
     read = read_categories(spark, path)
     last = dedup.keep_last(read, (SOURCE_FILE, "id"), POSITION)
     return flatten(last).select("id", "snippet_title", "snippet_assignable", "region")
@@ -484,16 +486,16 @@ def partition_overwrite_roundtrip(spark, sf):
 def raw_landing_roundtrip(spark, sf):
     """Documents landed per region and day, read back as canonical rows."""
     path = new_folder(spark, "landed")
-    land_raw(documents_of(spark, sf), path, ("region", "date"))
-    return unify(read_stats_json(spark, path), carry=())
+    land_raw(documents_of(spark, sf), path, FOLDERS)
+    return unify(read_stats_json(spark, path, FOLDERS), carry=())
 
 
 @query
 def landed_summary(spark, sf):
     path = new_folder(spark, "landed")
-    land_raw(documents_of(spark, sf), path, ("region", "date"))
+    land_raw(documents_of(spark, sf), path, FOLDERS)
     expected = adapters.table(spark, sf, "region").select(F.lower("r_name").alias("region"))
-    return documents.ingest_summary(read_video_documents(spark, path), expected)
+    return documents.ingest_summary(read_video_documents(spark, path, FOLDERS), expected)
 
 
 # --- Incremental ----------------------------------------------------------------------------
@@ -503,10 +505,16 @@ def landed_summary(spark, sf):
 def incremental_available_now(spark, sf):
     """Landed documents taken in by a file stream, twice: the second run finds nothing new."""
     path = new_folder(spark, "incremental")
-    land_raw(documents_of(spark, sf), f"{path}/raw", ("region", "date"))
+    land_raw(documents_of(spark, sf), f"{path}/raw", FOLDERS)
     for _ in range(2):
         load_new_statistics(
-            spark, f"{path}/raw", f"{path}/clean", f"{path}/progress", as_of=AS_OF, bulk=False
+            spark,
+            f"{path}/raw",
+            f"{path}/clean",
+            f"{path}/progress",
+            as_of=AS_OF,
+            bulk=False,
+            folders=FOLDERS,
         )
     return shown(spark.read.schema(schemas.CLEAN_STATISTICS).parquet(f"{path}/clean"))
 
@@ -546,12 +554,15 @@ def reference_stream(spark, sf):
 @query
 def gold_after_gate(spark, sf):
     """The whole run on files: landing, both silver tables, checks, gate, reports."""
-    lake = Lake(new_folder(spark, "lake"))
-    categories_in = documents.envelope(
+    lake = Lake(new_folder(spark, "lake"), FOLDERS)
+    names = documents.envelope(
         adapters.nation_documents(spark, sf), "nation", AS_OF, count_items=False
     )
-    docs = documents_of(spark, sf)
-    # Partition the landing by day only, as the events cover every hour of a month.
-    land_raw(docs, lake.raw_statistics, ("region", "date"))
-    run_lake(spark, lake, category_documents=[categories_in], as_of=AS_OF)
+    run_lake(
+        spark,
+        lake,
+        documents=[documents_of(spark, sf)],
+        category_documents=[names],
+        as_of=AS_OF,
+    )
     return shown(spark.read.parquet(lake.path("category_analytics")))

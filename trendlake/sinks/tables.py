@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from trendlake.sources.documents import LANDING_FOLDERS
+
 
 def count_on_write(df: DataFrame, *metrics) -> tuple[DataFrame, Observation]:
     """Count rows (and more) while they are written, without a job of their own.
@@ -88,7 +90,7 @@ def write_table(
 def land_raw(
     documents: DataFrame,
     path: str,
-    partition_by: Sequence[str] = ("region", "date", "hour"),
+    partition_by: Sequence[str] = LANDING_FOLDERS,
     mode: str = "append",
 ) -> None:
     """Land documents, one per line, under folders taken from their envelope.

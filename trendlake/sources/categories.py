@@ -35,7 +35,7 @@ def category_items(documents: DataFrame) -> DataFrame:
 
 def read_category_documents(spark: SparkSession, path: str) -> DataFrame:
     return with_region(
-        read_documents(spark, path, schemas.CATEGORY_DOCUMENT, recursive=True)
+        read_documents(spark, path, schemas.CATEGORY_DOCUMENT, folders=None)
     )
 
 

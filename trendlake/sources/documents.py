@@ -7,36 +7,74 @@ second kind can be split over tasks; reading it like the first would lose all li
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trendlake.schemas import CORRUPT
+from trendlake.schemas import CORRUPT, TEXT, TIME, struct
 
 SOURCE_FILE = "_source_file"
 FILE_TIME = "_file_time"
+FILE_COLUMNS = struct(_source_file=TEXT, _file_time=TIME)
 
-# How Spark names the files it writes, and all documents.
+# How Spark names the files it writes, all documents, and the landing folders.
 LINES_PREFIX = "part-"
 DOCUMENT_GLOB = "*.json"
+LANDING_FOLDERS = ("region", "date", "hour")
 
 
 def join_schemas(*parts: T.StructType) -> T.StructType:
     return T.StructType([field for part in parts for field in part.fields])
 
 
-def load_documents(reader, path: str, schema: T.StructType, lines: bool, recursive: bool):
-    """One kind of file through a batch or stream reader, with file name and time."""
-    loaded = (
+def below(path: str, folders: Sequence[str]) -> str:
+    """Pattern for the ``name=value`` folders below ``path``.
+
+    Raw files of several kinds may share a tree at different depths, which Spark takes for
+    inconsistent partitioning if it is given the root.
+    """
+    return "/".join([path, *(f"{name}=*" for name in folders)])
+
+
+def load_if_any(reader, pattern: str) -> DataFrame | None:
+    """Load a pattern; None if a batch finds no match (a stream waits for files)."""
+    try:
+        return reader.load(pattern)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def empty(schema: T.StructType) -> DataFrame:
+    return SparkSession.active().createDataFrame([], schema)
+
+
+def load_documents(
+    reader, path: str, schema: T.StructType, lines: bool, folders: Sequence[str] | None
+) -> DataFrame:
+    """One kind of file through a batch or stream reader, with file name and time.
+
+    ``folders`` names the partition columns, which filters on them can use to skip folders;
+    None finds files at any depth.
+    """
+    reader = (
         reader.format("json")
         .schema(schema)
         .option("multiLine", not lines)
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("mode", "PERMISSIVE")
         .option("pathGlobFilter", DOCUMENT_GLOB)
-        .option("recursiveFileLookup", recursive)
-        .load(path)
     )
+    if folders is None:
+        loaded = load_if_any(reader.option("recursiveFileLookup", True), path)
+    else:
+        loaded = load_if_any(reader.option("basePath", path), below(path, folders))
+    if loaded is None:
+        return empty(join_schemas(schema, FILE_COLUMNS))
     landed_here = F.col("_metadata.file_name").startswith(LINES_PREFIX)
     return loaded.filter(landed_here if lines else ~landed_here).withColumns(
         {
@@ -47,12 +85,13 @@ def load_documents(reader, path: str, schema: T.StructType, lines: bool, recursi
 
 
 def read_documents(
-    spark: SparkSession, path: str, schema: T.StructType, recursive: bool = False
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    folders: Sequence[str] | None = LANDING_FOLDERS,
 ) -> DataFrame:
-    """All documents below ``path``. ``recursive`` ignores ``name=value`` folders, so that
-    files at any depth are found; otherwise the partition columns in ``schema`` are read
-    from the folders, and filters on them skip folders."""
+    """All documents below ``path``, see :func:`load_documents`."""
     single, lines = (
-        load_documents(spark.read, path, schema, kind, recursive) for kind in (False, True)
+        load_documents(spark.read, path, schema, kind, folders) for kind in (False, True)
     )
     return single.unionByName(lines)

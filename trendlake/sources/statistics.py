@@ -2,34 +2,54 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trendlake import schemas
 from trendlake.schemas import INGESTED_AT
-from trendlake.sources.documents import FILE_TIME, join_schemas, read_documents
+from trendlake.sources.documents import (
+    FILE_TIME,
+    LANDING_FOLDERS,
+    below,
+    empty,
+    join_schemas,
+    load_if_any,
+    read_documents,
+)
+
+BULK_FILES = join_schemas(schemas.BULK_CSV, schemas.REGION_PARTITION)
+BULK_GLOB = "*.csv"
+
 
-VIDEO_FILES = join_schemas(schemas.VIDEO_DOCUMENT, schemas.LANDING_PARTITIONS)
+def video_files(folders: Sequence[str]) -> T.StructType:
+    """API documents with the partition columns of their folders, of declared types."""
+    partitions = [schemas.LANDING_PARTITIONS[name] for name in folders]
+    return join_schemas(schemas.VIDEO_DOCUMENT, T.StructType(partitions))
 
 
 def load_bulk(reader, path: str, multi_line: bool = True) -> DataFrame:
-    """Bulk CSV through a batch or stream reader, dated by file: a later upload of the same
-    video-day wins.
+    """Bulk CSV in ``region=..`` folders through a batch or stream reader, dated by file: a
+    later upload of the same video-day wins.
 
     Quoted text may hold line breaks, which makes a file one task; ``multi_line=False``
     splits large files that are known to have none.
     """
-    loaded = (
+    reader = (
         reader.format("csv")
-        .schema(join_schemas(schemas.BULK_CSV, schemas.REGION_PARTITION))
+        .schema(BULK_FILES)
         .option("header", True)
         .option("enforceSchema", False)  # columns in another order are an error
         .option("multiLine", multi_line)
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
-        .option("pathGlobFilter", "*.csv")
-        .load(path)
+        .option("basePath", path)
     )
+    loaded = load_if_any(reader, f"{below(path, ['region'])}/{BULK_GLOB}")
+    if loaded is None:
+        return empty(join_schemas(BULK_FILES, schemas.struct(_ingested_at=schemas.TIME)))
     return loaded.withColumn(INGESTED_AT, F.col("_metadata.file_modification_time"))
 
 
@@ -38,9 +58,11 @@ def read_stats_csv(spark: SparkSession, path: str, multi_line: bool = True) -> D
     return load_bulk(spark.read, path, multi_line)
 
 
-def read_video_documents(spark: SparkSession, path: str) -> DataFrame:
+def read_video_documents(
+    spark: SparkSession, path: str, folders: Sequence[str] = LANDING_FOLDERS
+) -> DataFrame:
     """Whole API documents below ``region=../date=../hour=..`` folders."""
-    return read_documents(spark, path, VIDEO_FILES)
+    return read_documents(spark, path, video_files(folders), folders)
 
 
 def video_rows(documents: DataFrame) -> DataFrame:
@@ -53,6 +75,8 @@ def video_rows(documents: DataFrame) -> DataFrame:
     ).select("video.*", "region", INGESTED_AT)
 
 
-def read_stats_json(spark: SparkSession, path: str) -> DataFrame:
+def read_stats_json(
+    spark: SparkSession, path: str, folders: Sequence[str] = LANDING_FOLDERS
+) -> DataFrame:
     """Videos of the API documents below ``path``."""
-    return video_rows(read_video_documents(spark, path))
+    return video_rows(read_video_documents(spark, path, folders))

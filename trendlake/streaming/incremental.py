@@ -22,8 +22,8 @@ from trendlake.plans.silver import (
 from trendlake.schemas import INGESTED_AT
 from trendlake.sinks.tables import write_partitions
 from trendlake.sources.categories import category_items, with_region
-from trendlake.sources.documents import load_documents
-from trendlake.sources.statistics import VIDEO_FILES, load_bulk, video_rows
+from trendlake.sources.documents import LANDING_FOLDERS, load_documents
+from trendlake.sources.statistics import load_bulk, video_files, video_rows
 from trendlake.streaming.upsert import merge_partitions
 
 ALL_NEW_FILES = {"availableNow": True}
@@ -84,6 +84,7 @@ def load_new_statistics(
     trigger: Trigger = ALL_NEW_FILES,
     as_of: datetime | None = None,
     bulk: bool = True,
+    folders: Sequence[str] = LANDING_FOLDERS,
 ) -> None:
     """Take new raw files of all kinds into clean_statistics, one kind after the other, as
     they write the same table."""
@@ -91,8 +92,9 @@ def load_new_statistics(
     def reader():
         return spark.readStream.option("maxFilesPerTrigger", max_files)
 
+    schema = video_files(folders)
     streams = {
-        kind: video_rows(load_documents(reader(), raw, VIDEO_FILES, kind == "lines", False))
+        kind: video_rows(load_documents(reader(), raw, schema, kind == "lines", folders))
         for kind in ("documents", "lines")
     }
     if bulk:
@@ -120,7 +122,7 @@ def load_new_reference(
     for kind in ("documents", "lines"):
         reader = spark.readStream.option("maxFilesPerTrigger", max_files)
         stream = load_documents(
-            reader, raw, schemas.CATEGORY_DOCUMENT, kind == "lines", recursive=True
+            reader, raw, schemas.CATEGORY_DOCUMENT, kind == "lines", folders=None
         )
         run_batches(with_region(stream), handle, f"{checkpoint}/{kind}", trigger)
 
