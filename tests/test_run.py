@@ -80,3 +80,17 @@ def test_no_categories_is_an_error(spark, tmp_path):
     put_categories(Path(lake.raw_reference), "us")
     with pytest.raises(ValueError, match="no category items"):
         run_lake(spark, lake)
+
+
+def test_nothing_to_read_stops_at_the_gate(spark, tmp_path, noon):
+    lake = Lake(str(tmp_path))
+    put_categories(Path(lake.raw_reference), "us", *(category(str(i), "n") for i in range(10)))
+    with pytest.raises(QualityGateError, match="clean_statistics not found"):
+        run_lake(spark, lake, as_of=noon)
+
+
+def test_only_some_regions(spark, lake, noon):
+    rules = QualityRules(min_rows=1)
+    run_lake(spark, lake, only_from=["gb"], as_of=noon, rules=rules)
+    silver = silver_frames(spark, lake)["clean_statistics"]
+    assert rows(silver.select("region").distinct()) == [("gb",)]

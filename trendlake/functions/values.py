@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from trendlake.schemas import RATIO_DIGITS
 
 # A short date is year.day.month, with years 2000 to 2099.
-SHORT_DATE = r"^(\d{2})\.(\d{2})\.(\d{2})$"
-SHORT_DATE_AS_ISO = "20$1-$3-$2"
+SHORT_DATE = r"^\d{2}\.\d{2}\.\d{2}$"
+SHORT_DATE_PLACES = (1, 4, 7)
+SHORT_DATE_CENTURY = "20"
 
 
 def to_long(col: Column) -> Column:
@@ -35,8 +36,12 @@ def convert(col: Column, from_type: str, to_type: str) -> Column:
 
 
 def trending_day(col: Column) -> Column:
-    """Both date spellings to a date. Rewriting the short one as ISO keeps it to one cast."""
-    return F.regexp_replace(col, SHORT_DATE, SHORT_DATE_AS_ISO).try_cast("date")
+    """Both date spellings to a date. Turning the short one into the long one keeps it to one
+    cast; the length check spares the pattern for the long one."""
+    short = (F.length(col) == 8) & col.rlike(SHORT_DATE)
+    year, day, month = (F.substring(col, start, 2) for start in SHORT_DATE_PLACES)
+    long = F.concat(F.lit(SHORT_DATE_CENTURY), year, F.lit("-"), month, F.lit("-"), day)
+    return F.when(short, long).otherwise(col).try_cast("date")
 
 
 def clean_region(col: Column) -> Column:
@@ -49,12 +54,12 @@ def percent(part: Column, whole: Column, digits: int = RATIO_DIGITS) -> Column:
 
 
 def fixed_point(ratio: Column) -> Column:
-    """A ratio rounded to RATIO_DIGITS as a whole number of its last digit, kept as a double.
+    """A ratio of RATIO_DIGITS places as a whole number of its last place, kept as a double.
 
     Sums of whole doubles are exact below 2**53, so that they don't depend on the order of
     addition, as sums of fractions do. A larger sum is rounded, where one of longs would fail.
     """
-    return F.round(ratio * 10**RATIO_DIGITS)
+    return F.rint(ratio * 10**RATIO_DIGITS)
 
 
 def fixed_point_mean(total: Column, n: Column) -> Column:

@@ -7,7 +7,6 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 from trendlake import schemas
 from trendlake.operators.categories import category_lookup
@@ -38,6 +37,7 @@ from trendlake.streaming.incremental import (
     load_new_reference,
     load_new_statistics,
 )
+from trendlake.streaming.upsert import read_if_there
 
 
 @dataclass(frozen=True)
@@ -117,21 +117,15 @@ def update_silver(
     )
 
 
-def silver_frames(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
-    """Both silver tables, with declared types: a partition value like 01 stays text."""
-    statistics = schemas.CLEAN_STATISTICS
+def silver_frames(spark: SparkSession, lake: Lake) -> dict[str, DataFrame | None]:
+    """Both silver tables with declared types, so that a partition value like 01 stays text;
+    None for one that was never written."""
     return {
-        "clean_statistics": spark.read.schema(statistics).parquet(lake.statistics),
-        "clean_reference_data": _as_text_region(
-            spark.read.option("mergeSchema", True).parquet(lake.reference)
-        ),
+        "clean_statistics": read_if_there(spark, lake.statistics, schemas.CLEAN_STATISTICS),
+        "clean_reference_data": read_if_there(spark, lake.reference, schemas.CLEAN_REFERENCE),
     }
 
 
-def _as_text_region(df: DataFrame) -> DataFrame:
-    return df.withColumn("region", df["region"].cast(T.StringType()))
-
-
 def write_gold(
     spark: SparkSession, lake: Lake, as_of: datetime | None = None
 ) -> dict[str, int]:
@@ -152,21 +146,24 @@ def run_lake(
     documents: Sequence[DataFrame] = (),
     category_documents: Sequence[DataFrame] = (),
     checkpoint: str | None = None,
+    only_from: Sequence[str] | None = None,
     rules: QualityRules = DEFAULT_RULES,
     as_of: datetime | None = None,
 ) -> RunReport:
     """One run over a lake.
 
     New enveloped documents are landed first, if given. With a ``checkpoint`` folder only
-    new raw files are taken in, otherwise silver is rebuilt. Reports are built only if all
-    checks pass; :class:`~trendlake.operators.quality.QualityGateError` is raised if not.
+    new raw files are taken in; otherwise silver is rebuilt, of the regions in ``only_from`` if
+    given. Reports are built only if all checks pass, otherwise
+    :class:`~trendlake.operators.quality.QualityGateError` is raised. ``regions`` are those the
+    ingest summary expects.
     """
     for landed in documents:
         land_raw(landed, lake.raw_statistics, lake.landing)
     for landed in category_documents:
         land_raw(landed, lake.raw_reference, partition_by=("region", "date"))
     if checkpoint is None:
-        refresh_silver(spark, lake, as_of=as_of)
+        refresh_silver(spark, lake, only_from, as_of)
     else:
         update_silver(spark, lake, checkpoint, as_of)
     checks = run_checks(spark, silver_frames(spark, lake), rules, as_of)

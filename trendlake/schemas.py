@@ -132,6 +132,14 @@ CATEGORY_DOCUMENT = struct(
     _corrupt_record=TEXT,
 )
 
+CLEAN_REFERENCE = struct(
+    **texts("kind", "etag", "id", "snippet_channelId", "snippet_title"),
+    snippet_assignable=FLAG,
+    region=TEXT,
+    _source_file=TEXT,
+    _ingestion_timestamp=TIME,
+)
+
 REGION_PARTITION = struct(region=TEXT)
 LANDING_PARTITIONS = struct(region=TEXT, date=DAY, hour=TEXT)
 
