@@ -25,6 +25,20 @@ from trendlake.shared import materialize
 
 DAY = ("region", "trending_date_parsed")
 
+# The statistics columns that reports are made of.
+COLUMNS_READ = (
+    "video_id",
+    "channel_title",
+    "category_id",
+    "region",
+    "trending_date_parsed",
+    "views",
+    "likes",
+    "dislikes",
+    "comment_count",
+    "like_ratio",
+    "engagement_rate",
+)
 # Totals of statistics columns in each table.
 CATEGORY_TOTALS = {
     "total_views": "views",

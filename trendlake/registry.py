@@ -18,7 +18,7 @@ from trendlake.plans import gold, reports
 from trendlake.plans.run import Lake, run_lake
 from trendlake.plans.silver import build_silver_reference, build_silver_statistics
 from trendlake.schemas import COUNT_COLUMNS, INGESTED_AT, VIDEO_DAY_KEY
-from trendlake.shared import new_folder
+from trendlake.shared import materialize, new_folder
 from trendlake.sinks.tables import land_raw, write_partitions
 from trendlake.sources.categories import POSITION, read_categories
 from trendlake.sources.documents import FILE_TIME, SOURCE_FILE
@@ -60,12 +60,21 @@ def silver(spark, sf):
     )
 
 
+def stored_silver(spark, sf):
+    """The cleansed table as reports find it: written once, then read by column."""
+    return materialize(silver(spark, sf), "silver")
+
+
 def facts(spark, sf):
     """The larger frame, cleansed. Rows of a part, region and day all count, so that reports
     see every row."""
     return cleanse.cleanse(unify(adapters.lineitem_statistics(spark, sf)))
 
 
+def stored_facts(spark, sf):
+    return materialize(facts(spark, sf).select(*gold.COLUMNS_READ), "facts")
+
+
 def lookup(spark, sf):
     return adapters.nation_lookup(spark, sf)
 
@@ -197,12 +206,12 @@ def enrich_category(spark, sf):
 
 @query
 def trending_analytics(spark, sf):
-    return shown(gold.trending_analytics(silver(spark, sf)))
+    return shown(gold.trending_analytics(stored_silver(spark, sf)))
 
 
 @query
 def channel_analytics(spark, sf):
-    return shown(gold.channel_analytics(silver(spark, sf), lookup(spark, sf)))
+    return shown(gold.channel_analytics(stored_silver(spark, sf), lookup(spark, sf)))
 
 
 @query
@@ -212,12 +221,12 @@ def category_analytics(spark, sf):
 
 @query
 def trending_analytics_facts(spark, sf):
-    return shown(gold.trending_analytics(facts(spark, sf)))
+    return shown(gold.trending_analytics(stored_facts(spark, sf)))
 
 
 @query
 def channel_analytics_facts(spark, sf):
-    return shown(gold.channel_analytics(facts(spark, sf), lookup(spark, sf)))
+    return shown(gold.channel_analytics(stored_facts(spark, sf), lookup(spark, sf)))
 
 
 @query
@@ -289,7 +298,7 @@ def regions_by_videos(spark, sf):
 
 @query
 def table_counts(spark, sf):
-    tables = gold.build_gold(silver(spark, sf), lookup(spark, sf)).tables()
+    tables = gold.build_gold(stored_silver(spark, sf), lookup(spark, sf)).tables()
     return reports.row_counts(tables)
 
 
