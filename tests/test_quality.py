@@ -114,6 +114,7 @@ def test_freshness_special_cases(spark, noon):
     assert one(F.lit("2024-03-01T11:00:00+00:00")) == (
         True, "Latest: 2024-03-01 11:00:00+00:00, Cutoff: 2024-02-28 12:00:00+00:00"
     )
+    assert one(F.lit("2024-03-01T11:00:00.5+00:00"))[1].startswith("Latest: 2024-03-01 11:00:00.500000+00:00,")
     unreadable = F.when(F.col("id") == 1, "garbage").otherwise("2001-01-01")
     assert one(unreadable) == (True, "Could not parse timestamps: 1 values — skipping")
 

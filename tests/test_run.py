@@ -37,6 +37,9 @@ def test_whole_run(spark, lake, tmp_path, noon, incremental):
                       rules=QualityRules(min_rows=4), **options)
     assert expected_regions_of(report) == [("gb", 0, "failed"), ("us", 4, "success")]
     assert rows(report.files, "region", "rows", "error") == [("US", 2, None), ("gb", 3, None)]
+    assert rows(report.outcomes) == [
+        ("gb", "failed", "trending", "no document"), ("us", "success", None, None)
+    ]
     assert {r[0] for r in rows(report.checks, "passed")} == {True}
     assert report.rows == {
         "trending_analytics": 3, "channel_analytics": 2, "category_analytics": 3

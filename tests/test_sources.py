@@ -20,6 +20,7 @@ from trendlake.operators.documents import (
     file_summary,
     ingest_summary,
     parse_regions,
+    region_outcomes,
 )
 from trendlake.operators.normalize import unify
 from trendlake.plans.silver import build_silver_reference
@@ -131,6 +132,38 @@ def test_categories_of_all_kinds_of_file(spark, tmp_path, noon):
     ]
 
 
+def test_one_odd_value_does_not_lose_a_document(spark, tmp_path):
+    put_document(tmp_path, "us", video("v1"), video("v2", category={"odd": 1}, views=7))
+    docs = read_video_documents(spark, str(tmp_path))
+    got = unify(read_stats_json(spark, str(tmp_path)))
+    assert rows(got, "video_id", "views", "category_id") == [("v1", 100, 10), ("v2", 7, None)]
+    assert rows(ingest_summary(docs, expected_regions(spark, ["us"]))) == [("us", 1, 2, 0, "success")]
+
+
+def test_outcome_of_each_region(spark, tmp_path):
+    videos, names = tmp_path / "videos", tmp_path / "names"
+    for region in ("us", "gb", "de"):
+        put_document(videos, region, video("v1"))
+    put(videos / "region=fr/date=2024-03-01/hour=09/bad.json", '{"items": [')
+    put_categories(names, "US", category("1", "a"))
+    put_categories(names, "fr", category("1", "a"))
+    put_categories(names, "gb")
+    got = region_outcomes(
+        ingest_summary(
+            read_video_documents(spark, str(videos)),
+            expected_regions(spark, ["us", "gb", "de", "fr", "jp"]),
+        ),
+        file_summary(read_category_documents(spark, str(names))),
+    )
+    assert rows(got) == [
+        ("de", "failed", "categories", "no document"),
+        ("fr", "failed", "trending", "unreadable document"),
+        ("gb", "failed", "categories", "no category items"),
+        ("jp", "failed", "trending", "no document"),
+        ("us", "success", None, None),
+    ]
+
+
 def test_newest_category_file_stands_for_its_region(spark, tmp_path, noon):
     import os
 

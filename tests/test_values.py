@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from trendlake.functions.values import (
     clean_region,
+    convert,
     fixed_point,
     fixed_point_mean,
     percent,
@@ -26,6 +27,23 @@ def test_to_long(spark):
     assert apply(spark, given, "string", to_long) == [12, 12, 12, -3, None, None, None, None, None]
 
 
+def test_convert_by_source_type(spark):
+    df = spark.createDataFrame(
+        [(12345678.9, 3, True, ["a"], "yes")],
+        "d double, i int, b boolean, a array<string>, t string",
+    )
+    got = df.select(
+        *(
+            convert(F.col(name), dict(df.dtypes)[name], kind)
+            for name, kind in [
+                ("d", "bigint"), ("i", "bigint"), ("b", "boolean"), ("a", "string"),
+                ("t", "boolean"), ("i", "string"), ("t", "bigint"),
+            ]
+        )
+    )
+    assert tuple(got.first()) == (12345678, 3, True, "a", True, "3", None)
+
+
 def test_trending_day(spark):
     day = date(2017, 11, 14)
     given = {

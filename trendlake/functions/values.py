@@ -15,11 +15,8 @@ SHORT_DATE_CENTURY = "20"
 
 def to_long(col: Column) -> Column:
     """Text to a whole number: '12' -> 12, '12.7' -> 12, anything else NULL."""
-    text = col.cast("string")
-    return F.coalesce(
-        text.try_cast("bigint"),
-        F.regexp_replace(text, r"\.\d*\s*$", "").try_cast("bigint"),
-    )
+    whole = F.regexp_replace(col, r"\.\d*\s*$", "")
+    return F.coalesce(col.try_cast("bigint"), whole.try_cast("bigint"))
 
 
 def convert(col: Column, from_type: str, to_type: str) -> Column:
@@ -30,7 +27,7 @@ def convert(col: Column, from_type: str, to_type: str) -> Column:
         if from_type.startswith("array<"):
             return F.array_join(col, "|")
         return col.cast("string")
-    if to_type == "bigint" and from_type not in ("int", "smallint", "tinyint"):
+    if to_type == "bigint" and from_type == "string":
         return to_long(col)
     return col.try_cast(to_type)
 

@@ -8,14 +8,17 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trendlake.functions.values import clean_region
 from trendlake.operators.cleanse import clock
-from trendlake.schemas import CORRUPT, INGESTION_ID_FORMAT, REGIONS
-from trendlake.sources.documents import SOURCE_FILE
+from trendlake.schemas import INGESTION_ID_FORMAT, REGIONS
+from trendlake.sources.documents import SOURCE_FILE, unreadable
+
+UNREADABLE, NO_ITEMS, NOT_LANDED = "unreadable document", "no category items", "no document"
 
 
 def region_list(text: Column) -> Column:
     """A comma-separated list of regions as an array of clean codes."""
-    return F.transform(F.split(text, ","), lambda part: F.lower(F.trim(part)))
+    return F.transform(F.split(text, ","), clean_region)
 
 
 def parse_regions(text: str | None) -> list[str]:
@@ -53,7 +56,7 @@ def ingest_summary(documents: DataFrame, expected: DataFrame) -> DataFrame:
     ``expected`` has one ``region`` column. A region is successful if it has a readable
     document and none that isn't.
     """
-    bad = F.col(CORRUPT).isNotNull() if CORRUPT in documents.columns else F.lit(False)
+    bad = unreadable(documents)
     landed = documents.groupBy("region").agg(
         F.count(F.lit(1)).alias("documents"),
         F.coalesce(F.sum(F.when(~bad, F.size("items"))), F.lit(0)).alias("videos"),
@@ -75,7 +78,7 @@ def file_summary(documents: DataFrame) -> DataFrame:
 
     Reads documents, not their items, so that files without any item show up too.
     """
-    bad = F.col(CORRUPT).isNotNull() if CORRUPT in documents.columns else F.lit(False)
+    bad = unreadable(documents)
     ids = F.array_distinct(F.transform("items", lambda item: item["id"]))
     per_document = F.when(bad, 0).when(F.col("items").isNull(), 1).otherwise(F.size(ids))
     return (
@@ -85,13 +88,37 @@ def file_summary(documents: DataFrame) -> DataFrame:
             "file",
             "region",
             "rows",
-            F.when(F.col("_bad") > 0, "unreadable document")
-            .when(F.col("rows") == 0, "no category items")
+            F.when(F.col("_bad") > 0, UNREADABLE)
+            .when(F.col("rows") == 0, NO_ITEMS)
             .alias("error"),
         )
     )
 
 
+def region_outcomes(videos: DataFrame, files: DataFrame) -> DataFrame:
+    """Per region of an :func:`ingest_summary`: success, or which step failed and why.
+
+    Category files are those of a :func:`file_summary`. A region whose videos failed is not
+    asked for its categories.
+    """
+    categories = (
+        files.groupBy(clean_region(F.col("region")).alias("region"))
+        .agg(F.count(F.lit(1)).alias("_files"), F.min("error").alias("_error"))
+    )
+    no_videos = F.col("status") == "failed"
+    video_error = F.when(F.col("unreadable") > 0, UNREADABLE).otherwise(NOT_LANDED)
+    no_categories = F.col("_files").isNull() | F.col("_error").isNotNull()
+    return videos.join(categories, "region", "left").select(
+        "region",
+        F.when(no_videos | no_categories, "failed").otherwise("success").alias("status"),
+        F.when(no_videos, "trending").when(no_categories, "categories").alias("type"),
+        F.when(no_videos, video_error)
+        .when(F.col("_files").isNull(), NOT_LANDED)
+        .otherwise(F.col("_error"))
+        .alias("error"),
+    )
+
+
 def expected_regions(spark, regions: Iterable[str]) -> DataFrame:
     """A literal list of regions as a frame."""
     return spark.createDataFrame([(region,) for region in regions], "region string")

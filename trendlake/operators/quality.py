@@ -30,7 +30,9 @@ BAD_TIME_TEXT = "Could not parse timestamps: %d values — skipping"
 NO_TABLE_TEXT = "Table %s not found"
 TIME_COLUMNS = ("_processed_at", "_ingestion_timestamp")
 RANGE_TABLE = "clean_statistics"
-TIME_TEXT_FORMAT = "yyyy-MM-dd HH:mm:ssxxx"
+TIME_TEXT_FORMAT = "yyyy-MM-dd HH:mm:ss"
+FRACTION_FORMAT = ".SSSSSS"
+ZONE_FORMAT = "xxx"
 
 
 class QualityGateError(RuntimeError):
@@ -186,14 +188,11 @@ def _freshness(table: str, rules: QualityRules, as_of: datetime | None) -> Colum
     latest, unparsed = F.col("_latest"), F.col("_unparsed")
     readable = unparsed == 0
 
-    def text(moment: Column) -> Column:
-        return F.coalesce(F.date_format(moment, TIME_TEXT_FORMAT), F.lit("NaT"))
-
     return _row(
         "freshness",
         table,
         ~readable | F.coalesce(latest >= cutoff, F.lit(False)),
-        F.when(readable, F.format_string(FRESH_TEXT, text(latest), text(cutoff))).otherwise(
+        F.when(readable, F.format_string(FRESH_TEXT, _time_text(latest), _time_text(cutoff))).otherwise(
             F.format_string(BAD_TIME_TEXT, unparsed)
         ),
         latest_record=F.when(readable, latest),
@@ -201,6 +200,17 @@ def _freshness(table: str, rules: QualityRules, as_of: datetime | None) -> Colum
     )
 
 
+def _time_text(moment: Column) -> Column:
+    """Time with zone, and with microseconds if there are any."""
+    fraction = F.date_format(moment, FRACTION_FORMAT)
+    text = F.concat(
+        F.date_format(moment, TIME_TEXT_FORMAT),
+        F.when(fraction == ".000000", "").otherwise(fraction),
+        F.date_format(moment, ZONE_FORMAT),
+    )
+    return F.coalesce(text, F.lit("NaT"))
+
+
 def unreadable_table(spark: SparkSession, table: str, message: str) -> DataFrame:
     result = _row("read_table", table, F.lit(False), F.lit(message))
     return spark.range(1).select(F.inline(F.array(result)))

@@ -227,7 +227,9 @@ freshness as (
     strftime(latest, '%Y-%m-%d %H:%M:%S') as latest_record,
     strftime(as_of - interval 48 hours, '%Y-%m-%d %H:%M:%S') as cutoff,
     latest >= as_of - interval 48 hours as passed,
-    'Latest: ' || strftime(latest, '%Y-%m-%d %H:%M:%S') || '+00:00, Cutoff: '
+    'Latest: ' || strftime(latest, '%Y-%m-%d %H:%M:%S')
+      || case when microsecond(latest) % 1000000 = 0 then '' else strftime(latest, '.%f') end
+      || '+00:00, Cutoff: '
       || strftime(as_of - interval 48 hours, '%Y-%m-%d %H:%M:%S') || '+00:00' as message
   from moments, (values (timestamp '2024-01-31 12:00:00'), (timestamp '2024-02-15 00:00:00'))
     as t(as_of)
@@ -397,6 +399,16 @@ select e.region, count(r.source_row) as documents, count(r.views) as videos,
   0::bigint as unreadable,
   case when count(r.source_row) = 0 then 'failed' else 'success' end as status
 from expected e left join raw r on e.region = lower(trim(r.region)) group by e.region""",
+    "region_outcomes": f"""{with_(RAW, SUPPLIER_ITEMS)}, expected as (
+  select lower(r_name) as region from region union all select lower(n_name) from nation),
+landed as (select distinct lower(trim(region)) as region from raw),
+named as (select distinct lower(trim(region)) as region from items)
+select e.region,
+  case when l.region is null or n.region is null then 'failed' else 'success' end as status,
+  case when l.region is null then 'trending' when n.region is null then 'categories' end as type,
+  case when l.region is null or n.region is null then 'no document' end as error
+from expected e left join landed l on e.region = l.region
+left join named n on e.region = n.region""",
     "landed_summary": f"""{TO_RAW}, expected as (select lower(r_name) as region from region)
 select e.region, count(r.source_row) as documents, count(r.views) as videos,
   0::bigint as unreadable,

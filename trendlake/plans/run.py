@@ -10,7 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trendlake import schemas
 from trendlake.operators.categories import category_lookup
-from trendlake.operators.documents import expected_regions, file_summary, ingest_summary
+from trendlake.operators.documents import (
+    expected_regions,
+    file_summary,
+    ingest_summary,
+    region_outcomes,
+)
 from trendlake.operators.quality import (
     DEFAULT_RULES,
     QualityRules,
@@ -71,6 +76,7 @@ class Lake:
 class RunReport:
     ingest: DataFrame
     files: DataFrame
+    outcomes: DataFrame
     checks: DataFrame
     rows: Mapping[str, int]
 
@@ -168,12 +174,15 @@ def run_lake(
         update_silver(spark, lake, checkpoint, as_of)
     checks = run_checks(spark, silver_frames(spark, lake), rules, as_of)
     require_quality(checks)
+    ingest = ingest_summary(
+        read_video_documents(spark, lake.raw_statistics, lake.landing),
+        expected_regions(spark, regions),
+    )
+    files = file_summary(read_category_documents(spark, lake.raw_reference))
     return RunReport(
-        ingest=ingest_summary(
-            read_video_documents(spark, lake.raw_statistics, lake.landing),
-            expected_regions(spark, regions),
-        ),
-        files=file_summary(read_category_documents(spark, lake.raw_reference)),
+        ingest=ingest,
+        files=files,
+        outcomes=region_outcomes(ingest, files),
         checks=checks,
         rows=write_gold(spark, lake, as_of),
     )

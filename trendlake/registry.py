@@ -472,6 +472,12 @@ def file_summary(spark, sf):
     return documents.file_summary(docs)
 
 
+@query
+def region_outcomes(spark, sf):
+    """Videos of regions and, for want of any, of nations; categories of regions only."""
+    return documents.region_outcomes(ingest_summary(spark, sf), file_summary(spark, sf))
+
+
 @query
 def partition_pruned_scan(spark, sf):
     path = new_folder(spark, "pruned")

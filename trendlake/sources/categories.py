@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 
 from trendlake import schemas
 from trendlake.functions.values import region_of_path
-from trendlake.schemas import CORRUPT
-from trendlake.sources.documents import FILE_TIME, SOURCE_FILE, read_documents
+from trendlake.sources.documents import (
+    FILE_TIME,
+    SOURCE_FILE,
+    read_documents,
+    unreadable,
+)
 
 POSITION = "_position"
 
@@ -26,7 +30,7 @@ def category_items(documents: DataFrame) -> DataFrame:
     A document without an ``items`` list counts as a single category.
     """
     itself = F.array(F.struct("kind", "etag", "id", "snippet"))
-    readable = documents.filter(F.col(CORRUPT).isNull())
+    readable = documents.filter(~unreadable(documents))
     file_columns = ["region", SOURCE_FILE, FILE_TIME]
     return readable.select(
         *file_columns, F.posexplode(F.coalesce("items", itself)).alias(POSITION, "item")

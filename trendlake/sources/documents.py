@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,6 +84,14 @@ def load_documents(
     )
 
 
+def unreadable(documents: DataFrame) -> Column:
+    """Documents that don't parse. One with a single value of another type than declared has
+    its other values, and counts as readable."""
+    if CORRUPT not in documents.columns:
+        return F.lit(False)
+    return F.col(CORRUPT).isNotNull() & F.col("items").isNull()
+
+
 def read_documents(
     spark: SparkSession,
     path: str,
