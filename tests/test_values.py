@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import math
+import random
 from datetime import date
 
 from pyspark.sql import functions as F
@@ -12,6 +14,7 @@ from trendlake.functions.values import (
     fixed_point_mean,
     percent,
     region_of_path,
+    round_half_up,
     to_long,
     trending_day,
 )
@@ -73,6 +76,19 @@ def test_percent(spark):
     assert got == [33.3333, 0.0, 0.0, 0.0, None]
 
 
+def test_rounding_is_that_of_spark(spark):
+    """Random values, ties and their neighbours, large, negative and special values."""
+    rng = random.Random(3)
+    values = [rng.random() * 10 ** rng.randrange(-6, 14) for _ in range(20_000)]
+    ties = [(2 * n + 1) / 20_000 for n in range(5_000)]
+    values += ties + [math.nextafter(t, 0) for t in ties] + [math.nextafter(t, 9e9) for t in ties]
+    values += [likes / views * 100 for likes in range(60) for views in range(1, 130)]
+    values += [-v for v in values[:3_000]] + [0.0, -0.0, 1e300, float("inf"), float("nan"), None]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    both = df.select("x", F.round("x", 4).alias("a"), round_half_up(F.col("x"), 4).alias("b"))
+    assert both.filter(~F.col("a").eqNullSafe(F.col("b"))).collect() == []
+
+
 def test_fixed_point_mean_ignores_order_and_size(spark):
     ratios = [0.1, 33.3333, 1e-4, 5e12, 2.5] * 40
     forward = spark.createDataFrame([(r,) for r in ratios], "r double").repartition(7)

@@ -12,6 +12,10 @@ SHORT_DATE = r"^\d{2}\.\d{2}\.\d{2}$"
 SHORT_DATE_PLACES = (1, 4, 7)
 SHORT_DATE_CENTURY = "20"
 
+# Below the limit, a double's error is much smaller than the margin.
+QUICK_ROUND_LIMIT = 1e9
+QUICK_ROUND_MARGIN = 1e-6
+
 
 def to_long(col: Column) -> Column:
     """Text to a whole number: '12' -> 12, '12.7' -> 12, anything else NULL."""
@@ -45,9 +49,21 @@ def clean_region(col: Column) -> Column:
     return F.lower(F.trim(col))
 
 
+def round_half_up(value: Column, digits: int) -> Column:
+    """As Spark's own rounding, but without its decimal arithmetic for values that aren't
+    close to a tie, which makes it several times as fast. Others go the exact way."""
+    scaled = value * 10**digits
+    nearest = F.rint(scaled)
+    plain = scaled.between(0, QUICK_ROUND_LIMIT) & (
+        F.abs(scaled - nearest) < 0.5 - QUICK_ROUND_MARGIN
+    )
+    return F.when(plain, nearest / 10**digits).otherwise(F.round(value, digits))
+
+
 def percent(part: Column, whole: Column, digits: int = RATIO_DIGITS) -> Column:
     """``part`` in percent of ``whole``; 0 where ``whole`` isn't positive."""
-    return F.when(whole > 0, F.round(part / whole * 100, digits)).otherwise(F.lit(0.0))
+    ratio = round_half_up(part / whole * 100, digits)
+    return F.when(whole > 0, ratio).otherwise(F.lit(0.0))
 
 
 def fixed_point(ratio: Column) -> Column:

@@ -250,7 +250,7 @@ def channel_rank(spark, sf):
 
 @query
 def category_share(spark, sf):
-    """Part types' share of quantity per ship mode flag."""
+    """Part types' share of quantity per return flag."""
     lines = adapters.table(spark, sf, "lineitem").select("l_partkey", "l_returnflag", "l_quantity")
     parts = adapters.table(spark, sf, "part").select("p_partkey", "p_type")
     totals = (
