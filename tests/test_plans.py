@@ -62,6 +62,20 @@ def test_checks_are_one_pass(stored, plan):
     assert physical.count("FileScan") == 1 and physical.count("Exchange") == 1
 
 
+@pytest.mark.parametrize("name", ["silver_statistics", "category_analytics_facts"])
+def test_generated_code_is_small_enough_to_be_compiled(spark, name):
+    """The JVM runs methods of more than 8000 bytes without compiling them."""
+    df = registry.QUERIES[name](spark, SF_DIR)
+    key = "spark.sql.adaptive.enabled"
+    try:
+        spark.conf.set(key, "false")
+        stages = df.select("*")._jdf.queryExecution().debug().codegenToSeq()
+        sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.length())]
+    finally:
+        spark.conf.set(key, "true")
+    assert 0 < max(sizes) < 8000
+
+
 @pytest.mark.parametrize("name", ["silver_statistics", "category_analytics_facts", "dq_results"])
 def test_no_python_in_the_plan(spark, plan, name):
     physical = plan(registry.QUERIES[name](spark, SF_DIR))

@@ -15,6 +15,7 @@ from trendlake.functions.values import (
     percent,
     region_of_path,
     round_half_up,
+    settled,
     to_long,
     trending_day,
 )
@@ -72,7 +73,8 @@ def test_percent(spark):
     df = spark.createDataFrame(
         [(1, 3), (1, 0), (1, -5), (2, None), (None, 4)], "part bigint, whole bigint"
     )
-    got = [row[0] for row in df.select(percent(F.col("part"), F.col("whole"))).collect()]
+    ratio = settled(percent(F.col("part"), F.col("whole")), F.col("whole"))
+    got = [row[0] for row in df.select(ratio).collect()]
     assert got == [33.3333, 0.0, 0.0, 0.0, None]
 
 

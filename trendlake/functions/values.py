@@ -60,10 +60,17 @@ def round_half_up(value: Column, digits: int) -> Column:
     return F.when(plain, nearest / 10**digits).otherwise(F.round(value, digits))
 
 
-def percent(part: Column, whole: Column, digits: int = RATIO_DIGITS) -> Column:
-    """``part`` in percent of ``whole``; 0 where ``whole`` isn't positive."""
-    ratio = round_half_up(part / whole * 100, digits)
-    return F.when(whole > 0, ratio).otherwise(F.lit(0.0))
+def percent(part: Column, whole: Column) -> Column:
+    """``part`` in percent of ``whole``, NULL for a whole of 0."""
+    return F.try_divide(part, whole) * 100
+
+
+def settled(pct: Column, whole: Column) -> Column:
+    """A percentage rounded to RATIO_DIGITS; 0 where ``whole`` isn't positive.
+
+    ``pct`` should be a column, not an expression: rounding mentions it several times.
+    """
+    return F.when(whole > 0, round_half_up(pct, RATIO_DIGITS)).otherwise(F.lit(0.0))
 
 
 def fixed_point(ratio: Column) -> Column:

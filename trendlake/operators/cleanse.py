@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendlake.functions.values import clean_region, percent, trending_day
+from trendlake.functions.values import clean_region, percent, settled, trending_day
 from trendlake.schemas import COUNT_COLUMNS, WARNING_COLUMNS
 
 
@@ -21,12 +21,22 @@ def fill_counts(df: DataFrame) -> DataFrame:
 
 
 def derive_ratios(df: DataFrame) -> DataFrame:
-    """Likes, and all reactions, in percent of views."""
+    """Likes, and all reactions, in percent of views.
+
+    The percentages are columns of their own first, which keeps the generated code small
+    enough to be compiled.
+    """
     views, likes = F.col("views"), F.col("likes")
     reactions = likes + F.col("dislikes") + F.col("comment_count")
-    return df.withColumns(
-        {"like_ratio": percent(likes, views), "engagement_rate": percent(reactions, views)}
+    unrounded = df.withColumns(
+        {"_likes_pct": percent(likes, views), "_reactions_pct": percent(reactions, views)}
     )
+    return unrounded.withColumns(
+        {
+            "like_ratio": settled(F.col("_likes_pct"), views),
+            "engagement_rate": settled(F.col("_reactions_pct"), views),
+        }
+    ).drop("_likes_pct", "_reactions_pct")
 
 
 def cleanse(df: DataFrame) -> DataFrame:
