@@ -48,6 +48,7 @@ RULES = (
     Rule("exclamations", "n_exclamations", "n_words", 1.0, 0.7),
     Rule("capitals", "n_capitals", "word_chars", 0.9, 0.85),
     Rule("repeated_lines", "n_dup_lines", "n_lines", 0.9, 0.85),
+    Rule("doubled_words", "n_doubled_words", "n_words", 0.6, 0.85),
     Rule("repeated_words", "n_repeat_words", "n_words", 0.3, 0.9),
 )
 
@@ -103,6 +104,9 @@ def statistics(text: str | Column) -> Column:
             F.size(words).cast("long").alias("n_words"),
             F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
             repeated_words(words).alias("n_repeat_words"),
+            F.size(F.filter(words, lambda w, i: F.coalesce(w == F.get(words, i - 1), F.lit(False))))
+            .cast("long")
+            .alias("n_doubled_words"),
         )
 
     def of_lines(lines: Column) -> Column:
@@ -130,6 +134,7 @@ def statistics(text: str | Column) -> Column:
             s[by_line]["n_lines"].alias("n_lines"),
             s["n_exclamations"].alias("n_exclamations"),
             s["n_capitals"].alias("n_capitals"),
+            s[by_word]["n_doubled_words"].alias("n_doubled_words"),
         )
 
     return let(parts, flat)
@@ -170,7 +175,7 @@ def certified_levels(
     stratum: str,
     level_column: str,
     good: str,
-    false_rejection: float = 0.01,
+    false_rejection: float = 0.02,
     error: float = 0.05,
 ) -> DataFrame:
     """stratum, max_level: what each stratum of labelled rows may keep at most, by exact bounds.

@@ -28,3 +28,5 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
 }
+
+SQL: dict[str, str] = {}
