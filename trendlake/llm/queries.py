@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendlake.llm import quality_rules
-from trendlake.llm.common import table
+from trendlake.llm import mixing, packing, quality_rules, simhash
+from trendlake.llm.common import table, word_count
 from trendlake.shared import materialize
 
 
@@ -25,8 +25,37 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as sequences of 2048 tokens."""
+    docs = table(spark, sf_dir, "documents")
+    tokens = packing.tokenize(docs, tokenizer_path("word_bpe_49k.json"), 1, "doc_id")
+    pieces = packing.pack(tokens, groups=packing.group_count(docs))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix by weights 5, 2, 1 takes of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return mixing.mix(docs, word_count("text")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_packing": op2_packing,
+    "op5_simhash": op5_simhash,
+    "op8_mixing": op8_mixing,
 }
 
 SQL: dict[str, str] = {}
