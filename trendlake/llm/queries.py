@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendlake.llm import mixing, packing, quality_rules, simhash
+from trendlake.llm import mixing, packing, pii, quality_rules, simhash, token_counts, topk
 from trendlake.llm.common import table, word_count
 from trendlake.shared import materialize
 
@@ -24,6 +24,9 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *(F.col("stats")[c].alias(c) for c in stats), quality_rules.base_failed(F.col("stats")).alias("base_failed"), "kept"
     )
 
+#: Stands for the secret that a user brings.
+PSEUDONYM_KEY = "key for the registered query"
+
 
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
@@ -39,23 +42,46 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text with pseudonyms."""
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", pii.pseudonymize(F.col("text"), PSEUDONYM_KEY).alias("text"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and greedy pieces of every document."""
+    vocabulary = token_counts.ranked_vocabulary(tokenizer_path("byte_bpe_50k.tiktoken"))
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary)
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix by weights 5, 2, 1 takes of every document."""
     docs = table(spark, sf_dir, "documents")
     return mixing.mix(docs, word_count("text")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best partners of every twentieth vector."""
+    rows = table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), topk.whole_numbers(F.col("embedding")).alias("v")
+    )
+    return topk.top_k(rows, rows.where(F.col("id") % 20 == 0), 20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_packing": op2_packing,
+    "op4_pii": op4_pii,
     "op5_simhash": op5_simhash,
+    "op7_token_counts": op7_token_counts,
     "op8_mixing": op8_mixing,
+    "op10_top_k": op10_top_k,
 }
 
 SQL: dict[str, str] = {}
