@@ -13,6 +13,7 @@ doc_id and text are read, so extra columns with any names don't matter. A text o
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,29 +30,52 @@ PIECES = (
 )
 
 
+#: A word of Latin letters and ASCII marks after them, which tokenizers that split between the two read apart.
+#: The apostrophe is left out, as it starts tokens of its own with letters.
+STEM = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\[-`{-~]*)")
+
+
 class WordTokenizer:
     """Ids of texts by a tokenizer whose tokens never span an ASCII blank, each word encoded once.
 
-    Encoded words are remembered, and forgotten together when there are ``limit`` of them.
+    With ``split_marks``, tokens must not span letters and following marks either, so that both are remembered
+    by themselves, letters without case if the tokenizer drops it; tests hold that against plain encoding. Encoded words are remembered as long as
+    the worker lives, and forgotten together when there are ``limit`` of them.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, split_marks: bool = True, limit: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        import tokenizers
 
-        self.encode = Tokenizer.from_file(path).encode_batch_fast
+        self.encode = tokenizers.Tokenizer.from_file(path).encode_batch_fast
+        self.split_marks = split_marks
+        upper, lower = self.encode(["ZÉÀ", "zéà"], add_special_tokens=False)
+        self.no_case = upper.ids == lower.ids
         self.limit = limit
-        self.known: dict[str, bytes] = {}
+        # On the library's module, because functions sent by value keep no state between tasks.
+        self.known: dict[str, bytes] = vars(tokenizers).setdefault("_known_words", {}).setdefault(path, {})
+
+    def _learn(self, words: list[str]) -> None:
+        for word, coded in zip(words, self.encode(words, add_special_tokens=False), strict=True):
+            self.known[word] = np.array(coded.ids, np.uint32).tobytes()
 
     def _lookup(self, words: list[str]) -> list[bytes]:
         if len(self.known) > self.limit:
             self.known.clear()
-        found = list(map(self.known.get, words))
-        new = [w for w, ids in zip(words, found, strict=True) if ids is None]
-        if new:
-            for word, coded in zip(new, self.encode(new, add_special_tokens=False), strict=True):
-                self.known[word] = np.array(coded.ids, np.uint32).tobytes()
-            found = [self.known[w] if ids is None else ids for w, ids in zip(words, found, strict=True)]
+        known = self.known
+        found = list(map(known.get, words))
+        new = [i for i, ids in enumerate(found) if ids is None]
+        parts: dict[int, tuple[str, str]] = {}
+        if self.split_marks:
+            for i in new:
+                if m := STEM.fullmatch(words[i]):
+                    parts[i] = (m[1].lower() if self.no_case else m[1], m[2])
+        missing = {p for pair in parts.values() for p in pair if p not in known}
+        missing.update(words[i] for i in new if i not in parts)
+        if missing:
+            self._learn(sorted(missing))
+        for i in new:
+            found[i] = known[parts[i][0]] + known[parts[i][1]] if i in parts else known[words[i]]
         return found
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
