@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendlake.llm import mixing, packing, pii, quality_rules, simhash, token_counts, topk
+from trendlake.llm import (
+    license_scan,
+    mixing,
+    packing,
+    pii,
+    quality_classifier,
+    quality_rules,
+    simhash,
+    token_counts,
+    topk,
+)
 from trendlake.llm.common import table, word_count
 from trendlake.shared import materialize
 
@@ -42,6 +52,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the license templates they contain."""
+    return license_scan.license_matches(table(spark, sf_dir, "documents"))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text with pseudonyms."""
     docs = table(spark, sf_dir, "documents")
@@ -54,6 +69,19 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's score by a model that has seen two of three folds of the labels."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    fold = quality_classifier.fold(F.col("doc_id"))
+    model = quality_classifier.fit(docs, labels.where(fold != 1))
+    return quality_classifier.score(docs, model, "doc_id").select(
+        "doc_id",
+        F.coalesce(fold == 1, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words and greedy pieces of every document."""
     vocabulary = token_counts.ranked_vocabulary(tokenizer_path("byte_bpe_50k.tiktoken"))
@@ -77,8 +105,10 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_packing": op2_packing,
+    "op3_license_scan": op3_license_scan,
     "op4_pii": op4_pii,
     "op5_simhash": op5_simhash,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_token_counts": op7_token_counts,
     "op8_mixing": op8_mixing,
     "op10_top_k": op10_top_k,
