@@ -14,6 +14,7 @@ from trendlake.llm import (
     pii,
     quality_classifier,
     quality_rules,
+    repeats,
     simhash,
     token_counts,
     topk,
@@ -94,6 +95,14 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, word_count("text")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without repeated strings of 200 bytes."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return repeats.remove_repeats(docs).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best partners of every twentieth vector."""
     rows = table(spark, sf_dir, "embeddings").select(
@@ -111,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_classifier": op6_quality_classifier,
     "op7_token_counts": op7_token_counts,
     "op8_mixing": op8_mixing,
+    "op9_repeats": op9_repeats,
     "op10_top_k": op10_top_k,
 }
 
