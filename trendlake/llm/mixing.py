@@ -24,6 +24,7 @@ WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
 #: Ranges of a source's keys: so many hex digits.
 RANGE_DIGITS = 3
+BLANKS_AND_WORD = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"
 
 
 def random_key(doc_id: str, text: str) -> Column:
@@ -132,3 +133,16 @@ def mix(
         o["target"].alias(names[2]),
         taken.alias(names[3]),
     )
+
+
+def mixed_rows(docs: DataFrame, size: Column, text: str = "text", **options) -> DataFrame:
+    """The mix itself: each document's row as often as it is taken whole, and once more up to its last word taken."""
+    names = tuple(own_name(n) for n in ("size", "source_size", "target", "taken"))
+    turn = own_name("turn")
+    chosen = mix(docs, size, names, text=text, **options)
+    of, taken = F.col(names[0]), F.col(names[3])
+    turns = chosen.where(taken > 0).withColumn(turn, F.explode(F.sequence(F.lit(0).cast("long"), F.floor((taken - 1) / of))))
+    left = F.least(of, taken - F.col(turn) * of)
+    words = F.regexp_extract_all(F.col(text), F.lit(BLANKS_AND_WORD), F.lit(0))
+    cut = F.when(left < of, F.array_join(F.slice(words, F.lit(1), left.cast("int")), "")).otherwise(F.col(text))
+    return turns.withColumn(text, cut).select(*docs.columns)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trendlake.llm.common import slices
+from trendlake.llm.common import own_name, slices
 from trendlake.llm.components import components
 from trendlake.shared import materialize
 
@@ -178,7 +178,7 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def component_ids(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """fp, component_id of every distinct fingerprint of ``prints`` (doc_id, fp)."""
+    """fp, root, component_id of every distinct fingerprint of ``prints`` (doc_id, fp)."""
     distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprints")
     roots = components(links(distinct, radius))
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
@@ -186,14 +186,40 @@ def component_ids(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     )
     rooted = materialize(rooted, "roots")
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rooted.join(names, "root").select("fp", "component_id")
+    return rooted.join(names, "root").select("fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """doc_id, fp, component_id of every row of ``docs``."""
     prints = materialize(fingerprints(docs, "doc_id"), "document-fingerprints")
     found = component_ids(prints, radius).withColumnRenamed("fp", "of")
-    return prints.join(found, F.col("fp") == F.col("of")).drop("of")
+    return prints.join(found, F.col("fp") == F.col("of")).select("doc_id", "fp", "component_id")
+
+
+def one_per_component(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """``docs`` with one row of each component: that of the least doc_id, null last, then of the least row hash.
+
+    Who stays is decided on hashes of rows; texts are joined to the decision once. Of equal rows one stays.
+    """
+    row, rep_doc, rep_row, equal = (own_name(n) for n in ("row", "doc", "rep", "equal"))
+    marked = docs.withColumn(row, F.xxhash64(*docs.columns))
+    prints = materialize(fingerprints(marked, "doc_id", row), "document-fingerprints")
+    found = component_ids(prints, radius).select(F.col("fp").alias("of"), "root")
+    rows = prints.join(found, F.col("fp") == F.col("of")).groupBy("root", "doc_id", row).agg(F.count(F.lit(1)).alias("n"))
+    first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(row).alias("row"))
+    chosen = rows.groupBy("root").agg(F.min(F.struct(first.alias("first"), F.col("n").alias("n"))).alias("one"))
+    chosen = chosen.select(
+        F.col("one.first.id").alias(rep_doc), F.col("one.first.row").alias(rep_row), F.col("one.n").alias(equal)
+    )
+    chosen = materialize(chosen, "representatives")
+    same = (F.col(row) == F.col(rep_row)) & F.col("doc_id").eqNullSafe(F.col(rep_doc))
+
+    def kept(representatives: DataFrame) -> DataFrame:
+        return marked.join(representatives, same).select(*docs.columns)
+
+    single = kept(chosen.where(F.col(equal) == 1))
+    repeated = chosen.where(F.col(equal) > 1)
+    return single if repeated.isEmpty() else single.union(kept(repeated).dropDuplicates())
 
 
 def hex16(fp: Column) -> Column:
