@@ -18,7 +18,7 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    if not context.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="trendlake-"))
     return context.getCheckpointDir().rstrip("/")
@@ -33,9 +33,10 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Cuts the lineage like a checkpoint and survives lost executors, but stays columnar, so
-    several readers each fetch only their own columns.
+    several readers each fetch only their own columns. Zstandard works within the heap; many small
+    files of other codecs pile up buffers outside of it.
     """
     spark = df.sparkSession
     path = new_folder(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
