@@ -24,6 +24,8 @@ WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
 #: Ranges of a source's keys: so many hex digits.
 RANGE_DIGITS = 3
+#: Files of the stored sums, 4096 rows per source in all.
+RANGE_FILES = 8
 BLANKS_AND_WORD = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"
 
 
@@ -77,7 +79,7 @@ def mix(
     light = light.withColumn("range", F.substring("key", 1, RANGE_DIGITS))
     light = materialize(light, "mix-sizes")
     ranges = light.groupBy("source", "range").agg(F.sum("size").alias("size"))
-    ranges = materialize(ranges, "mix-ranges")
+    ranges = materialize(ranges.repartition(RANGE_FILES, "source", "range"), "mix-ranges")
     shares = targets(ranges.groupBy("source").agg(F.sum("size").alias("source_size")), weights, repeats)
     budget = F.round("target").cast("long")
     shares = shares.withColumns(
@@ -86,7 +88,7 @@ def mix(
         }
     )
     shares = shares.withColumn("part", F.when(F.col("source_size") > 0, budget - F.col("whole") * F.col("source_size")).otherwise(F.lit(0)))
-    shares = materialize(shares, "mix-shares")
+    shares = materialize(shares.repartition(1), "mix-shares")  # a row per source
 
     # The range in which the part ends, then the key.
     one_source = Window.partitionBy("source")
@@ -116,7 +118,8 @@ def mix(
     )
     plan = shares.join(cuts, shares["source"].eqNullSafe(cuts["of"]), "left").drop("of")
     own = {c: own_name(c) for c in ("source", "source_size", "target", "whole", "cut_key", "last", "size", "key")}
-    plan = materialize(plan.select(*(F.col(c).alias(own[c]) for c in own if c not in ("size", "key"))), "mix-plan")
+    plan = plan.select(*(F.col(c).alias(own[c]) for c in own if c not in ("size", "key")))
+    plan = materialize(plan.repartition(1), "mix-plan")
     keyed = docs.withColumns({own["size"]: size, own["key"]: random_key(doc_id, text)})
     joined = keyed.join(plan, keyed[source].eqNullSafe(plan[own["source"]]), "left")
     o = {c: F.col(own[c]) for c in own}
