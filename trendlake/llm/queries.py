@@ -20,6 +20,7 @@ from trendlake.llm import (
     topk,
 )
 from trendlake.llm.common import table, word_count
+from trendlake.llm.sql import SQL  # noqa: F401
 from trendlake.shared import materialize
 
 
@@ -123,5 +124,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_repeats": op9_repeats,
     "op10_top_k": op10_top_k,
 }
-
-SQL: dict[str, str] = {}

@@ -37,7 +37,7 @@ CROWD = 1000
 #: Contexts a task sorts at once, about.
 GROUP_CONTEXTS = 20_000
 #: A side of a join is broadcast up to this size, and shuffled beyond.
-BROADCAST_BYTES = 48 << 20
+BROADCAST_BYTES = 24 << 20
 #: Positions in a stretch of text take so many low bits when the least hash is sought; the hash has the rest.
 POSITION_BITS = 28
 STRETCH = 1 << 26
@@ -130,10 +130,11 @@ def anchor_counts(texts: DataFrame, length: int) -> DataFrame:
 
 
 def contexts(texts: DataFrame, length: int, crowded: bool, places: bool) -> DataFrame:
-    """The contexts of repeated anchors in ``texts`` (raw, t, doc, hs, crowd).
+    """The contexts of repeated anchors in ``texts`` (raw, doc, few, crowd: low halves of their hashes).
 
     Either their bytes, each once per task with its number (h, c, before, after, n), of anchors that are
-    crowded or not; or the places of all (doc, h, c, at).
+    crowded or not; or the places of all (doc, h, c, at). Half a hash may let an anchor through that doesn't
+    repeat; its context then agrees with no other.
     """
     reach = length - GRAM
 
@@ -151,10 +152,10 @@ def contexts(texts: DataFrame, length: int, crowded: bool, places: bool) -> Data
                 rows = []
                 for i in np.unique(owner).tolist():
                     own = np.arange(*np.searchsorted(owner, [i, i + 1]))
-                    known = wanted[i].values.to_numpy(zero_copy_only=False)
+                    known = wanted[i].values.to_numpy(zero_copy_only=False).view(np.uint32)
                     text = texts[i]
                     signed = value[own].view(np.int64)
-                    for j in np.flatnonzero(np.isin(signed, known)).tolist():
+                    for j in np.flatnonzero(np.isin(value[own].astype(np.uint32), known)).tolist():
                         p = int(at[own[j]] - starts[i])
                         before, after = text[max(0, p - reach) : p], text[p : p + length]
                         c = digest(before + after, len(before))
@@ -194,7 +195,7 @@ def contexts(texts: DataFrame, length: int, crowded: bool, places: bool) -> Data
                 names=["h", "c", "before", "after", "n"],
             )
 
-    wanted = F.col("hs") if places else F.col("crowd" if crowded else "hs_few")
+    wanted = F.concat("few", "crowd") if places else F.col("crowd" if crowded else "few")
     source = texts.select("raw", "doc", wanted.alias("wanted")).where(F.size("wanted") > 0)
     if places:
         schema = "doc binary, h long, c long, at long"
@@ -319,7 +320,7 @@ def counted_extents(found: DataFrame, length: int) -> DataFrame:
 
 def small_side(df: DataFrame, bytes_of_row: Column) -> DataFrame:
     """A stored table, marked for broadcast if its measured size allows."""
-    size = df.agg(F.sum(bytes_of_row + 32)).first()[0] or 0
+    size = df.agg(F.sum(bytes_of_row + 64)).first()[0] or 0
     return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
@@ -335,18 +336,18 @@ def repeated_spans(docs: DataFrame, text: str, length: int) -> DataFrame:
     repeated = materialize(repeated, "repeated-anchors")
     few = repeated.where(F.col("n") <= CROWD).agg(F.sum("n")).first()[0] or 0
     groups = max(1, -(-few // GROUP_CONTEXTS))
+    half = F.shiftright(F.shiftleft("h", 32), 32).cast("int")
     held = counts.select("h", "t").join(repeated, "h").groupBy("t").agg(
-        F.collect_set("h").alias("hs"),
-        F.collect_set(F.when(F.col("n") > CROWD, F.col("h"))).alias("crowd"),
-        F.collect_set(F.when(F.col("n") <= CROWD, F.col("h"))).alias("hs_few"),
+        F.collect_set(F.when(F.col("n") <= CROWD, half)).alias("few"),
+        F.collect_set(F.when(F.col("n") > CROWD, half)).alias("crowd"),
     )
     held = materialize(held.withColumnRenamed("t", "held"), "repeated-by-text")
-    held = small_side(held, 16 * F.size("hs"))
+    held = small_side(held, 4 * (F.size("few") + F.size("crowd")) + 32)
     marked = texts.join(held, F.col("t") == F.col("held"))
-    found = sorted_extents(contexts(marked, length, False, False), groups, length).union(
-        counted_extents(contexts(marked, length, True, False), length)
-    )
-    found = materialize(found, "repeat-extents")
+    # One after the other, so that one broadcast at a time is in memory.
+    alone = materialize(sorted_extents(contexts(marked, length, False, False), groups, length), "repeat-extents")
+    crowd = materialize(counted_extents(contexts(marked, length, True, False), length), "crowded-extents")
+    found = alone.union(crowd)
     places = contexts(marked, length, False, True).join(found, ["h", "c"])
     cover = F.struct((F.col("at") - F.col("left")).alias("begin"), (F.col("at") + F.col("right")).alias("end"))
     by_doc = places.groupBy("doc").agg(F.sort_array(F.collect_set(cover)).alias("covers"))
