@@ -1,0 +1,77 @@
+from __future__ import annotations
+
+from collections import defaultdict
+
+import pytest
+
+from tests.llm import brute
+from trendlake.llm import mixing
+from trendlake.llm.common import word_count
+
+NAMES = ("size", "source_size", "target", "taken")
+
+
+def goal(sizes):
+    """Targets of sources in order, by sharing the excess again and again."""
+    weights = {s: (5, 2, 1)[i % 3] for i, s in enumerate(sorted(sizes, key=lambda s: (s is None, s or "")))}
+    total, capped = sum(sizes.values()), set()
+    while True:
+        free = [s for s in sizes if s not in capped]
+        rate = (total - sum(3 * sizes[s] for s in capped)) / (sum(weights[s] for s in free) or 1)
+        over = {s for s in free if rate * weights[s] > 3 * sizes[s]}
+        if not over:
+            return {s: 3 * sizes[s] if s in capped else rate * weights[s] for s in sizes}
+        capped |= over
+
+
+def check(rows, source_of):
+    by = defaultdict(list)
+    for row in rows:
+        by[source_of(row)].append(row)
+    sizes = {s: sum(r.size for r in rs) for s, rs in by.items()}
+    targets = goal(sizes)
+    for source, rs in by.items():
+        assert {r.source_size for r in rs} == {sizes[source]}
+        assert all(abs(r.target - targets[source]) < 1e-6 * (1 + targets[source]) for r in rs)
+        assert all(0 <= r.taken <= 3 * r.size for r in rs)
+        # Equal rows share a cut, rounded down.
+        assert -4 <= sum(r.taken for r in rs) - targets[source] <= 1
+
+
+def test_messy(messy, messy_rows):
+    got = mixing.mix(messy, word_count("text"))
+    assert sorted(got.columns) == sorted({*messy.columns, *NAMES})
+    rows = got.collect()
+    assert sorted((r.size for r in rows)) == sorted(len(brute.words(r[1])) for r in messy_rows)
+    check(rows, lambda r: r.source)
+    again = mixing.mix(messy.repartition(5), word_count("text")).collect()
+    key = lambda r: (str(r.doc_id), str(r.text), r.taken)
+    assert sorted(map(key, rows)) == sorted(map(key, again))
+
+
+@pytest.mark.parametrize("sizes", [{"a": 1, "b": 1000}, {"a": 10, "b": 0, "c": 10, None: 5}, {"a": 0}, {"x": 7}])
+def test_targets(spark, sizes):
+    totals = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+    got = {r.source: r.target for r in mixing.targets(totals).collect()}
+    assert got == pytest.approx(goal(sizes))
+
+
+def test_hot_source_and_shares(spark):
+    rows = [(i, "w " * (1 + i % 7), "hot" if i % 3 == 0 else f"s{i % 11}") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    check(mixing.mix(docs, word_count("text")).collect(), lambda r: r.source)
+
+
+def test_mixed_rows_follow_taken(messy):
+    taken = mixing.mix(messy, word_count("text")).collect()
+    got = mixing.mixed_rows(messy, word_count("text"))
+    assert got.columns == messy.columns
+    rows = got.collect()
+    assert sum(len(brute.words(r.text)) for r in rows) == sum(r.taken for r in taken)
+    texts = {r.text for r in taken}
+    assert all(r.text in texts or any((t or "").startswith(r.text) for t in texts) for r in rows)
+
+
+def test_empty(no_documents):
+    assert mixing.mix(no_documents, word_count("text")).isEmpty()
+    assert mixing.mixed_rows(no_documents, word_count("text")).isEmpty()

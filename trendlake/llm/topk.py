@@ -9,7 +9,8 @@ may hold a higher or equal score, and each block answers its queries by itself.
 Defined cases: null vectors and vectors with null, NaN or infinite components take no part. A null id takes no part.
 Vectors are compared with others of the same length only. Equal rows (same id and vector) count as one; several vectors of an
 id are separate candidates and never candidates of their own id's queries. With fewer than k candidates all are returned. Ties go
-to smaller ids. Scores are computed in whole numbers, beyond 2**53 in Python's own. Extra columns aren't read.
+to smaller ids. Scores are computed in whole numbers, beyond 2**53 in Python's
+own; beyond a long they are given as the largest or smallest one. Extra columns aren't read.
 """
 
 from __future__ import annotations
@@ -161,7 +162,7 @@ def route(queries: DataFrame, cells: Cells, k: int, chunks: int, first: bool) ->
 
 
 KEYS = ("size", "cell", "block", "chunk")
-LOWEST = -(1 << 63)
+LOWEST, HIGHEST = -(1 << 63), (1 << 63) - 1
 
 
 def best(scores: np.ndarray, ids: list[list[int]], own: int, k: int, least: int) -> list[tuple[int, int]]:
@@ -188,9 +189,9 @@ def solve(routed: DataFrame, data: DataFrame, k: int, first: bool) -> DataFrame:
                 for i, row in enumerate(scores, begin):
                     found = best(row, ids, own[i], k, least[i])
                     if not first:
-                        out += [(own[i], x, s) for s, x in found]
+                        out += [(own[i], x, max(LOWEST, min(HIGHEST, s))) for s, x in found]
                     elif len(found) == k:
-                        out.append((own[i], asked[i].tolist(), found[-1][0]))
+                        out.append((own[i], asked[i].tolist(), max(LOWEST, min(HIGHEST, found[-1][0]))))
         names = [("query_id", pa.int64()), ("v", pa.list_(pa.int64())), ("least", pa.int64())] if first else [
             (n, pa.int64()) for n in ("query_id", "vec_id", "score")
         ]
