@@ -33,7 +33,7 @@ from trendlake.llm.common import own_name, slices, text_or_empty
 from trendlake.shared import materialize
 
 GRAM = 40
-CROWD = 1000
+CROWD = 10_000
 #: Contexts a task sorts at once, about.
 GROUP_CONTEXTS = 20_000
 #: A side of a join is broadcast up to this size, and shuffled beyond.
@@ -312,7 +312,8 @@ def counted_extents(found: DataFrame, length: int) -> DataFrame:
     )
     again = each.groupBy("h", "offset", "s").agg(F.sum("n").alias("times")).where("times > 1").drop("times")
     return (
-        each.join(again, ["h", "offset", "s"])
+        # Stored contexts are small and these rows many, which a size estimate from files doesn't see.
+        each.join(again.hint("merge"), ["h", "offset", "s"])
         .groupBy("h", "c")
         .agg(F.max("offset").cast("long").alias("left"), (length - F.min("offset")).cast("long").alias("right"))
     )
