@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+import gzip
+import json
+import re
+from collections import Counter
 from datetime import date
 
 from pyspark.sql import functions as F
@@ -26,10 +30,12 @@ from trendlake.operators.normalize import unify
 from trendlake.plans.silver import build_silver_reference
 from trendlake.sinks.tables import land_raw
 from trendlake.sources.categories import read_categories, read_category_documents
+from trendlake.sources.documents import misplaced_files, unreadable
 from trendlake.sources.statistics import (
     read_stats_csv,
     read_stats_json,
     read_video_documents,
+    video_rows,
 )
 from trendlake.sources.tables import only_regions, optional_table, sample_table, scan_table
 
@@ -63,10 +69,42 @@ def test_csv_and_documents_share_a_folder(spark, tmp_path):
 
 def test_region_filter_skips_folders(spark, tmp_path, plan):
     put_csv(tmp_path, "us", csv_line("v1"))
-    put_csv(tmp_path, "gb", csv_line("v2"))
-    got = only_regions(read_stats_csv(spark, str(tmp_path)), ["gb"])
-    assert rows(got, "video_id") == [("v2",)]
-    assert "PartitionFilters: [isnotnull(region" in plan(got)
+    put_csv(tmp_path, "GB", csv_line("v2"))
+    put_csv(tmp_path, "gb", csv_line("v3"))
+    got = only_regions(read_stats_csv(spark, str(tmp_path)), [" Gb"])
+    assert rows(got, "video_id") == [("v2",), ("v3",)]
+    assert re.search(r"PartitionFilters: \[[^\]]*lower\(trim\(region", plan(got))
+
+
+def test_files_of_any_name_and_form(spark, tmp_path):
+    """Lines and single documents under foreign names, compressed or not: all are read."""
+    one = json.dumps({"items": [video("v1")]})
+    lines = "\n".join(json.dumps({"items": [video(f"l{i}")]}) for i in range(5))
+    folder = tmp_path / "region=us" / "date=2024-03-01" / "hour=09"
+    put(folder / "batch.json", lines + "\n")
+    put(folder / "part-7.json", json.dumps({"items": [video("v2")]}, indent=2))
+    put(folder / "list.jsonl", f"[{one},\n{one}]")
+    put(folder / "empty.json", "")
+    put(folder / "bad.json", "{not json")
+    (folder / "part-1.json.gz").write_bytes(gzip.compress(lines.encode()))
+    docs = read_video_documents(spark, str(tmp_path))
+    found = Counter(r.id for r in video_rows(docs).select("id").collect() if r.id)
+    assert found == {"v1": 2, "v2": 1, **{f"l{i}": 2 for i in range(5)}}
+    assert docs.filter(unreadable(docs)).count() == 1  # an empty file holds no document
+
+
+def test_declared_lines_are_split(spark, tmp_path):
+    lines = "\n".join(json.dumps({"items": [video(f"l{i}")]}) for i in range(500))
+    put(tmp_path / "region=us" / "date=2024-03-01" / "hour=09" / "x.json", lines)
+    docs = read_video_documents(spark, str(tmp_path), layout="lines")
+    assert docs.count() == 500
+
+
+def test_misplaced_files(spark, tmp_path):
+    put(tmp_path / "region=us" / "date=2024-03-01" / "hour=09" / "x.json", "{}")
+    put(tmp_path / "region=us" / "date=2024-03-01" / "y.json", "{}")
+    found = [r.file for r in misplaced_files(spark, str(tmp_path), ("region", "date", "hour")).collect()]
+    assert len(found) == 1 and found[0].endswith("date=2024-03-01/y.json")
 
 
 def test_hour_stays_text(spark, tmp_path):
@@ -121,7 +159,7 @@ def test_categories_of_all_kinds_of_file(spark, tmp_path, noon):
     ]
     assert set(table.columns) == {
         "kind", "etag", "id", "snippet_channelId", "snippet_title", "snippet_assignable",
-        "region", "_source_file", "_ingestion_timestamp",
+        "region", "_source_file", "_landed_at", "_ingestion_timestamp",
     }
     summary = file_summary(read_category_documents(spark, root))
     assert rows(summary, "region", "rows", "error") == [

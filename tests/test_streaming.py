@@ -88,7 +88,9 @@ def test_retried_batch_publishes_the_staged_rows(spark, tmp_path, monkeypatch):
     merge(batch(spark, ("a", 1, "us", 1), ("b", 1, "us", 2)), 0)
     real = upsert.write_partitions
 
-    def lose_table(df, target, by):
+    def lose_table(df, target, by, **options):
+        if target != path:
+            return real(df, target, by, **options)
         real(df.limit(0).unionByName(batch(spark, ("lost", 0, "us", 1))), target, by)
         raise RuntimeError("executor gone")
 
@@ -101,14 +103,55 @@ def test_retried_batch_publishes_the_staged_rows(spark, tmp_path, monkeypatch):
     assert rows(spark.read.parquet(path)) == [("a", 1, "us", 1), ("b", 1, "us", 2), ("c", 5, "us", 1)]
 
 
-@pytest.mark.parametrize("named", [10_000, 1])
-def test_touched_partitions_by_filter_or_join(spark, monkeypatch, named):
-    monkeypatch.setattr(upsert, "NAMED_PARTITIONS", named)
+def test_touched_partitions(spark):
     stored = batch(spark, ("a", 1, "us", 1), ("b", 1, "us", None), ("c", 1, None, 1), ("d", 1, "gb", 1))
     touched = batch(spark, ("x", 0, "us", None), ("x", 0, None, 1), ("x", 0, "gb", 2))
     assert rows(only_partitions(stored, touched, ("region", "day")), "k") == [("b",), ("c",)]
 
 
+def test_many_touched_partitions(spark):
+    many = spark.range(5000).select(F.col("id").cast("string").alias("region"), F.lit(1).alias("day"))
+    stored = many.withColumn("k", F.col("region"))
+    assert only_partitions(stored, many.filter("region < '5'"), ("region", "day")).count() == many.filter("region < '5'").count()
+
+
+def test_merge_keeps_columns_that_only_the_table_has(spark, tmp_path):
+    path = str(tmp_path / "t")
+    batch(spark, ("a", 1, "us", 1)).withColumn("note", F.lit("n")).write.partitionBy("region", "day").parquet(path)
+    merge_partitions(batch(spark, ("b", 2, "us", 1)), path, ("region", "day"), lambda df: df, f"{path}-stage", 0)
+    got = spark.read.option("mergeSchema", True).parquet(path)
+    assert rows(got, "k", "v", "note") == [("a", 1, "n"), ("b", 2, None)]
+
+
+def test_files_of_any_age_and_order(spark, tmp_path, noon):
+    """Newest first, thirty days apart, over two runs."""
+    raw, clean = tmp_path / "raw", str(tmp_path / "clean")
+    now = 1_709_280_000
+    for run in ((0, 1), (2, 3, 40)):
+        for age in run:
+            name = put_document(raw, "us", video(f"v{age}"), name=f"d{age}")
+            os.utime(name, (now - age * 30 * 86_400,) * 2)
+        load_new_statistics(spark, str(raw), clean, str(tmp_path / "progress"), as_of=noon)
+    got = rows(spark.read.schema(CLEAN_STATISTICS).parquet(clean), "video_id")
+    assert got == [("v0",), ("v1",), ("v2",), ("v3",), ("v40",)]
+
+
+def test_only_some_regions(spark, tmp_path, noon):
+    raw, clean = tmp_path / "raw", str(tmp_path / "clean")
+    put_document(raw, "US", video("v1"))
+    put_document(raw, "gb", video("v2"))
+    load_new_statistics(spark, str(raw), clean, str(tmp_path / "p"), as_of=noon, regions=["us"])
+    assert rows(spark.read.schema(CLEAN_STATISTICS).parquet(clean), "video_id") == [("v1",)]
+
+
+def test_older_reference_file_does_not_win(spark, tmp_path, noon):
+    raw, clean = tmp_path / "raw", str(tmp_path / "clean")
+    for name, title, at in (("b.json", "new", 1_709_280_000), ("a.json", "old", 1_709_280_000 - 86_400 * 20)):
+        os.utime(put_categories(raw, "us", category("1", title), name=name), (at, at))
+        load_new_reference(spark, str(raw), clean, str(tmp_path / "progress"), as_of=noon)
+    assert rows(spark.read.parquet(clean), "id", "snippet_title") == [("1", "new")]
+
+
 def test_reference_files_replace_their_region(spark, tmp_path, noon):
     raw, clean = tmp_path / "raw", str(tmp_path / "clean")
 

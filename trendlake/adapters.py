@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from trendlake.functions.values import clean_region
 from trendlake.operators.categories import unique_names
-from trendlake.schemas import INGESTED_AT, STATISTICS, VIDEO_DOCUMENT
+from trendlake.schemas import INGESTED_AT, STATISTICS
 from trendlake.sources.documents import FILE_TIME, SOURCE_FILE
 
 SOURCE_ROW = "_source_row"
@@ -103,11 +103,8 @@ def event_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same rows as API documents: one item each, or none where views are missing."""
-    video = F.struct("id", "snippet", "statistics")
-    items = F.when(F.col("statistics.viewCount").isNotNull(), F.array(video)).otherwise(
-        F.array().cast(VIDEO_DOCUMENT["items"].dataType)
-    )
+    """The same rows as API documents of one item each, in which views may be missing."""
+    items = F.array(F.struct("id", "snippet", "statistics"))
     return event_videos(spark, sf_dir).select(
         clean_region(F.col("region")).alias("region"), items.alias("items"), INGESTED_AT
     )

@@ -143,8 +143,7 @@ TO_FACTS = with_(FACTS)
 TO_NAMED_FACTS = with_(FACTS, LOOKUP, named("cleansed"))
 TO_CATEGORY = f"{TO_NAMED}, category as ({CATEGORY})"
 TO_TRENDING = f"{TO_SILVER}, trending as ({TRENDING % 'silver'})"
-# Rows without views have no item in their document.
-TO_DOCUMENTS = f"""{TO_CLEANSED.replace("where video_id is not null", "where views is not null")},
+TO_DOCUMENTS = f"""{TO_CLEANSED},
 silver as (
   select * from cleansed
   qualify row_number() over (
@@ -381,21 +380,37 @@ where "check" in ('read_table', 'row_count')""",
 select "check", "table", message, "check" as in_payload from results where not passed""",
     "flatten_reference": with_(SUPPLIER_ITEMS) + " select * exclude (s_nationkey) from items",
     "silver_reference": REFERENCE_TABLE,
-    "reference_stream": REFERENCE_TABLE,
+    "reference_stream": f"select * exclude (_source_file) from ({REFERENCE_TABLE})",
+    "table_gains_columns": f"""{TO_SILVER}
+select video_id, region, trending_date_parsed, views,
+  case when region in ('asia', 'europe') then views * 2 end as doubled from silver""",
+    "bulk_csv_roundtrip": f"""{TO_RAW}
+select source_row::varchar as video_id, title, views::varchar as views, likes::varchar as likes,
+  description || chr(10) || '"said", he' as description, trim(region) as region from raw""",
+    "silver_audit": f"""{TO_SILVER}
+select video_id, region, trending_date_parsed, timestamp '2024-01-31 12:00:00' as _processed_at,
+  'build_silver_statistics' as _job_name from silver""",
+    "gold_audit": f"""{TO_SILVER}
+select region, trending_date_parsed, count(*) as total_videos, timestamp '2024-01-31 12:00:00' as _aggregated_at
+from silver group by region, trending_date_parsed""",
+    "category_documents_without_items": """
+select n_nationkey::varchar as id, n_name as snippet_title, lower(n_name) as region from nation""",
+    "gold_rebuilt_with_less": f"""select * from (
+{TO_DOCUMENTS}, {LOOKUP}, {named('silver')} {CATEGORY}) where region <> 'asia'""",
     "reference_metadata": with_(SUPPLIER_ITEMS) + """
 select id, snippet_title, snippet_assignable, trim(region) as region from items
 where _position = 1""",
     "envelope": f"""{TO_RAW} select lower(trim(region)) as region,
   strftime(ingested_at, '%Y%m%d_%H%M%S') as ingestion_id,
   strftime(ingested_at, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' as ingestion_timestamp,
-  case when views is null then 0 else 1 end::bigint as video_count, 'events' as source
+  1::bigint as video_count, 'events' as source
 from raw""",
     "region_parameter": """
 select n_nationkey as nation, unnest([lower(r_name), cast(n_nationkey as varchar), 'us']) as region
 from nation join region on n_regionkey = r_regionkey""",
     "ingest_summary": f"""{TO_RAW}, expected as (
   select lower(r_name) as region from region union all select lower(n_name) from nation)
-select e.region, count(r.source_row) as documents, count(r.views) as videos,
+select e.region, count(r.source_row) as documents, count(r.source_row) as videos,
   0::bigint as unreadable,
   case when count(r.source_row) = 0 then 'failed' else 'success' end as status
 from expected e left join raw r on e.region = lower(trim(r.region)) group by e.region""",
@@ -410,7 +425,7 @@ select e.region,
 from expected e left join landed l on e.region = l.region
 left join named n on e.region = n.region""",
     "landed_summary": f"""{TO_RAW}, expected as (select lower(r_name) as region from region)
-select e.region, count(r.source_row) as documents, count(r.views) as videos,
+select e.region, count(r.source_row) as documents, count(r.source_row) as videos,
   0::bigint as unreadable,
   case when count(r.source_row) = 0 then 'failed' else 'success' end as status
 from expected e left join raw r on e.region = lower(trim(r.region)) group by e.region""",
@@ -427,7 +442,7 @@ select video_id, region, trending_date_parsed,
 select {CANONICAL.replace("comments_disabled, ratings_disabled, video_error_or_removed",
 "false as comments_disabled, false as ratings_disabled, false as video_error_or_removed").replace(
 "region", "lower(trim(region)) as region")}
-from raw where views is not null""",
+from raw""",
     "incremental_available_now": f"{TO_DOCUMENTS} select {API_STORED} from silver",
     "upsert_latest": f"{TO_SILVER} select {STORED} from silver",
     "gold_after_gate": f"{TO_DOCUMENTS}, {LOOKUP}, {named('silver')} {CATEGORY}",

@@ -7,9 +7,11 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from trendlake import schemas
 from trendlake.operators.categories import category_lookup
+from trendlake.operators.cleanse import row_warnings
 from trendlake.operators.documents import (
     expected_regions,
     file_summary,
@@ -30,7 +32,7 @@ from trendlake.plans.silver import (
 )
 from trendlake.sinks.tables import land_raw, stored_rows, write_partitions
 from trendlake.sources.categories import category_items, read_category_documents
-from trendlake.sources.documents import LANDING_FOLDERS
+from trendlake.sources.documents import LANDING_FOLDERS, misplaced_files
 from trendlake.sources.statistics import (
     read_stats_csv,
     read_stats_json,
@@ -42,15 +44,34 @@ from trendlake.streaming.incremental import (
     load_new_reference,
     load_new_statistics,
 )
-from trendlake.streaming.upsert import read_if_there
+from trendlake.streaming.upsert import read_if_there, stored_table
+
+
+GOLD = ("trending_analytics", "channel_analytics", "category_analytics")
+TABLES = (
+    "clean_statistics",
+    "clean_reference_data",
+    *GOLD,
+    "quality_checks",
+    "ingest_summary",
+    "file_summary",
+    "misplaced_files",
+    "row_warnings",
+)
 
 
 @dataclass(frozen=True)
 class Lake:
-    """Where the tables lie below one root folder, and how landed documents are filed."""
+    """Where the tables lie below one root folder, and how landed documents are filed.
+
+    ``layout`` is ``lines`` for raw trees of documents that hold one per line throughout, and
+    ``multi_line`` is off for bulk CSV without line breaks in quotes: such files are split over tasks.
+    """
 
     root: str
     landing: Sequence[str] = LANDING_FOLDERS
+    layout: str = "files"
+    multi_line: bool = True
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -79,6 +100,8 @@ class RunReport:
     outcomes: DataFrame
     checks: DataFrame
     rows: Mapping[str, int]
+    misplaced: DataFrame | None = None
+    warnings: DataFrame | None = None
 
 
 def refresh_silver(
@@ -92,26 +115,35 @@ def refresh_silver(
     Without any raw statistics nothing is written.
     """
     items = category_items(read_category_documents(spark, lake.raw_reference))
-    write_partitions(build_silver_reference(require_items(items), as_of), lake.reference)
+    reference = build_silver_reference(require_items(items), as_of)
+    write_partitions(reference, lake.reference, whole=True)
     raw = [
         only_regions(df, regions)
         for df in (
-            read_stats_csv(spark, lake.raw_statistics),
-            read_stats_json(spark, lake.raw_statistics, lake.landing),
+            read_stats_csv(spark, lake.raw_statistics, lake.multi_line),
+            read_stats_json(spark, lake.raw_statistics, lake.landing, lake.layout),
         )
     ]
     if all(df.isEmpty() for df in raw):
         return
     statistics = build_silver_statistics(*raw, as_of=as_of)
-    write_partitions(statistics, lake.statistics, STATISTICS_PARTITIONS)
+    write_partitions(statistics, lake.statistics, STATISTICS_PARTITIONS, whole=True)
 
 
 def update_silver(
-    spark: SparkSession, lake: Lake, checkpoint: str, as_of: datetime | None = None
+    spark: SparkSession,
+    lake: Lake,
+    checkpoint: str,
+    as_of: datetime | None = None,
+    regions: Sequence[str] | None = None,
 ) -> None:
-    """Take only new raw files into both silver tables."""
+    """Take only new raw files into both silver tables, statistics of all regions or some."""
     load_new_reference(
-        spark, lake.raw_reference, lake.reference, f"{checkpoint}/reference", as_of=as_of
+        spark,
+        lake.raw_reference,
+        lake.reference,
+        f"{checkpoint}/reference",
+        as_of=as_of,
     )
     load_new_statistics(
         spark,
@@ -120,6 +152,9 @@ def update_silver(
         f"{checkpoint}/statistics",
         as_of=as_of,
         folders=lake.landing,
+        layout=lake.layout,
+        multi_line=lake.multi_line,
+        regions=regions,
     )
 
 
@@ -141,7 +176,7 @@ def write_gold(
         silver["clean_statistics"], category_lookup(silver["clean_reference_data"]), as_of
     )
     for name, df in gold.tables().items():
-        write_partitions(df, lake.path(name))
+        write_partitions(df, lake.path(name), whole=True)
     return {name: stored_rows(spark, lake.path(name)) for name in gold.tables()}
 
 
@@ -155,12 +190,14 @@ def run_lake(
     only_from: Sequence[str] | None = None,
     rules: QualityRules = DEFAULT_RULES,
     as_of: datetime | None = None,
+    database: str | None = None,
 ) -> RunReport:
     """One run over a lake.
 
     New enveloped documents are landed first, if given. With a ``checkpoint`` folder only
-    new raw files are taken in; otherwise silver is rebuilt, of the regions in ``only_from`` if
-    given. Reports are built only if all checks pass, otherwise
+    new raw files are taken in; otherwise silver is rebuilt. Either way ``only_from`` limits the
+    regions. Checks and summaries are stored beside the tables. With a ``database`` all stored tables can be
+    named in SQL. Reports are built only if all checks pass, otherwise
     :class:`~trendlake.operators.quality.QualityGateError` is raised. ``regions`` are those the
     ingest summary expects.
     """
@@ -171,18 +208,64 @@ def run_lake(
     if checkpoint is None:
         refresh_silver(spark, lake, only_from, as_of)
     else:
-        update_silver(spark, lake, checkpoint, as_of)
-    checks = run_checks(spark, silver_frames(spark, lake), rules, as_of)
-    require_quality(checks)
+        update_silver(spark, lake, checkpoint, as_of, only_from)
     ingest = ingest_summary(
-        read_video_documents(spark, lake.raw_statistics, lake.landing),
+        read_video_documents(spark, lake.raw_statistics, lake.landing, lake.layout),
         expected_regions(spark, regions),
     )
     files = file_summary(read_category_documents(spark, lake.raw_reference))
+    silver = silver_frames(spark, lake)
+    # Stored before the gate: they are what one needs if it closes.
+    checks = stored(lake, "quality_checks", run_checks(spark, silver, rules, as_of))
+    ingest, files = stored(lake, "ingest_summary", ingest), stored(lake, "file_summary", files)
+    misplaced = stored(lake, "misplaced_files", misplaced_files(spark, lake.raw_statistics, lake.landing))
+    warnings = None
+    if silver["clean_statistics"] is not None:
+        warnings = stored(lake, "row_warnings", row_warnings(silver["clean_statistics"]))
+    if database is not None:
+        register_tables(spark, lake, database)
+    require_quality(checks)
+    rows = write_gold(spark, lake, as_of)
+    if database is not None:
+        register_tables(spark, lake, database)
     return RunReport(
         ingest=ingest,
         files=files,
         outcomes=region_outcomes(ingest, files),
         checks=checks,
-        rows=write_gold(spark, lake, as_of),
+        rows=rows,
+        misplaced=misplaced,
+        warnings=warnings,
     )
+
+
+def stored(lake: Lake, name: str, report: DataFrame) -> DataFrame:
+    """A report of the run, a few rows, written as a table of the lake and read back."""
+    report.coalesce(1).write.mode("overwrite").parquet(lake.path(name))
+    return report.sparkSession.read.schema(report.schema).parquet(lake.path(name))
+
+
+def register_tables(spark: SparkSession, lake: Lake, database: str) -> list[str]:
+    """Make the tables that are stored so far available to SQL as ``database.table``; their names."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    names = []
+    for table in TABLES:
+        if stored_table(spark, lake.path(table), T.StructType()) is None:
+            continue
+        name = f"{database}.{table}"
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        known = {"clean_statistics": schemas.CLEAN_STATISTICS, "clean_reference_data": schemas.CLEAN_REFERENCE}
+        partitions = {"clean_statistics": STATISTICS_PARTITIONS}.get(table, ("region",))
+        if table in known:
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in known[table].fields)
+            spark.sql(
+                f"CREATE TABLE {name} ({columns}) USING parquet OPTIONS (path '{lake.path(table)}')"
+                f" PARTITIONED BY ({', '.join(partitions)})"
+            )
+            spark.catalog.recoverPartitions(name)
+        else:
+            spark.catalog.createTable(name, path=lake.path(table), source="parquet")
+            if table in GOLD:
+                spark.catalog.recoverPartitions(name)
+        names.append(name)
+    return names

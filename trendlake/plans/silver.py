@@ -15,8 +15,8 @@ from trendlake.operators.cleanse import cleanse, clock, with_audit
 from trendlake.operators.dedup import keep_last, latest_per_key
 from trendlake.operators.normalize import unify
 from trendlake.schemas import INGESTED_AT
-from trendlake.sources.categories import POSITION
-from trendlake.sources.documents import FILE_TIME, SOURCE_FILE
+from trendlake.sources.categories import LANDED_AT, POSITION
+from trendlake.sources.documents import SOURCE_FILE
 
 STATISTICS_JOB = "build_silver_statistics"
 
@@ -43,22 +43,23 @@ def latest_statistics(
 def build_silver_reference(items: DataFrame, as_of: datetime | None = None) -> DataFrame:
     """Category items of all files at once to clean_reference_data.
 
-    The newest file of a region stands for the region, and within it the last item of an id
-    wins. Regions are spelled as in the statistics.
+    The newest document of a region stands for the region, and within it the last item of an
+    id wins. Regions are spelled as in the statistics.
     """
     require_columns(items.schema, ("id", "snippet.title"), on_missing="warn")
     clean = items.withColumn("region", clean_region(F.col("region")))
-    last = keep_last(newest_file(clean), ("region", SOURCE_FILE, "id"), POSITION)
-    return flatten(last.drop(FILE_TIME)).withColumn("_ingestion_timestamp", clock(as_of))
+    last = keep_last(newest_document(clean), ("region", SOURCE_FILE, "id"), POSITION)
+    return flatten(last).withColumn("_ingestion_timestamp", clock(as_of))
 
 
-def newest_file(items: DataFrame) -> DataFrame:
-    """Only the items of each region's newest file."""
-    file = F.struct(FILE_TIME, SOURCE_FILE)
-    newest = items.groupBy("region").agg(F.max(file).alias("_file")).select(
-        "region", "_file.*"
+def newest_document(items: DataFrame) -> DataFrame:
+    """Only the items of each region's newest document; of equally old files the last by name."""
+    document = F.struct(LANDED_AT, SOURCE_FILE)
+    newest = items.groupBy("region").agg(F.max(document).alias("_document")).select(
+        F.col("region").alias("_region"), F.col("_document").alias("_newest")
     )
-    return items.join(newest, ["region", FILE_TIME, SOURCE_FILE], "left_semi")
+    same = F.col("region").eqNullSafe(F.col("_region")) & document.eqNullSafe(F.col("_newest"))
+    return items.join(newest, same, "left_semi")
 
 
 def require_items(items: DataFrame) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,12 +21,13 @@ from trendlake.plans.run import Lake, run_lake
 from trendlake.plans.silver import build_silver_reference, build_silver_statistics
 from trendlake.schemas import COUNT_COLUMNS, INGESTED_AT, VIDEO_DAY_KEY
 from trendlake.shared import materialize, new_folder
-from trendlake.sinks.tables import land_raw, write_partitions
-from trendlake.sources.categories import POSITION, read_categories
+from trendlake.sinks.tables import land_raw, write_partitions, write_table
+from trendlake.sources.categories import LANDED_AT, POSITION, read_categories
 from trendlake.sources.documents import FILE_TIME, SOURCE_FILE
-from trendlake.sources.statistics import read_stats_json, read_video_documents
-from trendlake.sources.tables import only_regions
+from trendlake.sources.statistics import read_stats_csv, read_stats_json, read_video_documents
+from trendlake.sources.tables import only_regions, optional_table, scan_table
 from trendlake.streaming.incremental import (
+    load_new_reference,
     load_new_statistics,
     run_batches,
     statistics_upsert,
@@ -86,6 +89,28 @@ def documents_of(spark, sf):
     ).drop(INGESTED_AT)
 
 
+def own_table(spark, label):
+    """A name in the session's catalog that no other call uses."""
+    return f"{label}_{new_folder(spark, label).rsplit('-', 1)[-1]}"
+
+
+def part_files(spark, path):
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
+    try:
+        return [row.path for row in files.load(path).select("path").collect()]
+    except AnalysisException:
+        return []
+
+
+def set_age(spark, files, seconds):
+    """Dates files back, through whatever file system they are in."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    at = int((time.time() - seconds) * 1000)
+    for name in sorted(files):
+        path = hadoop.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).setTimes(path, at, -1)
+
+
 def shown(df: DataFrame) -> DataFrame:
     """Without run times, and lists as text, to compare results."""
     lists = {"categories", "missing_columns"} & set(df.columns)
@@ -334,7 +359,7 @@ def quality_frames(spark, sf):
     return {
         "clean_statistics": stamped,
         "clean_reference_data": named,
-        "missing_table": None,
+        "missing_table": optional_table(spark, "table_never_written"),
     }
 
 
@@ -409,21 +434,21 @@ def dq_failed(spark, sf):
 def reference_items(spark, sf):
     return (
         adapters.supplier_categories(spark, sf)
-        .select("region", SOURCE_FILE, FILE_TIME, F.posexplode("items").alias(POSITION, "item"))
-        .select("item.*", "region", SOURCE_FILE, FILE_TIME, POSITION)
+        .select("region", SOURCE_FILE, F.col(FILE_TIME).alias(LANDED_AT), F.posexplode("items").alias(POSITION, "item"))
+        .select("item.*", "region", SOURCE_FILE, LANDED_AT, POSITION)
     )
 
 
 @query
 def flatten_reference(spark, sf):
-    return flatten(reference_items(spark, sf)).drop(FILE_TIME).withColumn(
+    return flatten(reference_items(spark, sf)).drop(LANDED_AT).withColumn(
         POSITION, F.col(POSITION).cast("bigint")
     )
 
 
 @query
 def silver_reference(spark, sf):
-    return build_silver_reference(reference_items(spark, sf), AS_OF).drop("_ingestion_timestamp")
+    return build_silver_reference(reference_items(spark, sf), AS_OF).drop("_ingestion_timestamp", LANDED_AT)
 
 
 @query
@@ -480,9 +505,9 @@ def region_outcomes(spark, sf):
 
 @query
 def partition_pruned_scan(spark, sf):
-    path = new_folder(spark, "pruned")
-    write_partitions(silver(spark, sf), path)
-    stored = only_regions(spark.read.parquet(path), PRUNED_REGIONS)
+    name = own_table(spark, "pruned")
+    write_table(silver(spark, sf), name, path=new_folder(spark, "pruned"))
+    stored = scan_table(spark, name, (" ASIA", "europe"))
     return stored.select("region", "video_id", "trending_date_parsed", "views")
 
 
@@ -497,6 +522,53 @@ def partition_overwrite_roundtrip(spark, sf):
     return spark.read.parquet(path)
 
 
+@query
+def table_gains_columns(spark, sf):
+    """A catalog table written twice, the second time with a column more, read by name in SQL."""
+    name = own_table(spark, "evolved")
+    rows = silver(spark, sf).select(*VIDEO_DAY_KEY, "views")
+    write_table(rows, name, path=new_folder(spark, "evolved"))
+    more = only_regions(rows, PRUNED_REGIONS).withColumn("doubled", F.col("views") * 2)
+    write_table(more, name)
+    return spark.sql(f"SELECT video_id, region, trending_date_parsed, views, doubled FROM {name}")
+
+
+@query
+def bulk_csv_roundtrip(spark, sf):
+    """Bulk CSV with quotes, commas and line breaks inside of texts, read back as text."""
+    path = new_folder(spark, "bulk")
+    odd = F.concat("description", F.lit('\n"said", he'))
+    rows = adapters.event_statistics(spark, sf).withColumns(
+        {"description": odd, "region": F.trim("region"), "video_id": F.col(SOURCE_ROW).cast("string")}
+    )
+    columns = [name for name in schemas.STATISTICS if name != "region"]
+    rows.select(*columns, "region").write.partitionBy("region").option("header", True).option(
+        "escape", '"'
+    ).csv(path)
+    return read_stats_csv(spark, path).select("video_id", "title", "views", "likes", "description", "region")
+
+
+@query
+def silver_audit(spark, sf):
+    return silver(spark, sf).select(*VIDEO_DAY_KEY, "_processed_at", "_job_name")
+
+
+@query
+def gold_audit(spark, sf):
+    table = gold.trending_analytics(stored_silver(spark, sf), AS_OF)
+    return table.select("region", "trending_date_parsed", "total_videos", "_aggregated_at")
+
+
+@query
+def category_documents_without_items(spark, sf):
+    """Documents that are themselves one category, beside lists, in files of foreign names."""
+    path = new_folder(spark, "single-categories")
+    nations = adapters.nation_documents(spark, sf)
+    single = nations.select("region", "kind", F.col("items")[0]["id"].alias("id"), F.col("items")[0]["snippet"].alias("snippet"))
+    for df in (single.filter("region < 'i'"), nations.filter("region >= 'i'")):
+        df.write.mode("append").partitionBy("region").json(path)
+    return flatten(read_categories(spark, path)).select("id", "snippet_title", "region")
+
 @query
 def raw_landing_roundtrip(spark, sf):
     """Documents landed per region and day, read back as canonical rows."""
@@ -518,10 +590,17 @@ def landed_summary(spark, sf):
 
 @query
 def incremental_available_now(spark, sf):
-    """Landed documents taken in by a file stream, twice: the second run finds nothing new."""
+    """Landed documents taken in by a file stream in two runs, the newer half first; the files of the
+    other half, with times of two months before, all count. A third run finds nothing new."""
     path = new_folder(spark, "incremental")
-    land_raw(documents_of(spark, sf), f"{path}/raw", FOLDERS)
-    for _ in range(2):
+    newer = F.to_timestamp("_pipeline_metadata.ingestion_timestamp") >= "2024-01-16"
+    docs = documents_of(spark, sf)
+    for part in (docs.filter(newer), docs.filter(~newer), None):
+        if part is not None:
+            before = set(part_files(spark, f"{path}/raw"))
+            land_raw(part, f"{path}/raw", FOLDERS)
+            if before:
+                set_age(spark, set(part_files(spark, f"{path}/raw")) - before, 60 * 86_400)
         load_new_statistics(
             spark,
             f"{path}/raw",
@@ -540,30 +619,43 @@ def upsert_latest(spark, sf):
     path = new_folder(spark, "upsert")
     rows = adapters.event_statistics(spark, sf)
     late = F.col("title").isin("click", "view")
-    stage = f"{path}/stage"
     for part, condition in (("first", ~late), ("second", late)):
         rows.filter(condition).write.parquet(f"{path}/raw/{part}")
         stream = spark.readStream.schema(rows.schema).parquet(f"{path}/raw/{part}")
+        progress = f"{path}/progress/{part}"
         handle = statistics_upsert(
-            f"{path}/clean", f"{stage}/{part}", as_of=AS_OF, newest_first=NEWEST_FIRST
+            f"{path}/clean", progress, as_of=AS_OF, newest_first=NEWEST_FIRST
         )
-        run_batches(stream, handle, f"{path}/progress/{part}")
+        run_batches(stream, handle, progress)
     return shown(spark.read.parquet(f"{path}/clean"))
 
 
 @query
 def reference_stream(spark, sf):
-    """Category items taken in by a file stream."""
+    """Category documents taken in by a file stream in two runs, the older ones last."""
     path = new_folder(spark, "reference-stream")
-    items = reference_items(spark, sf)
-    items.write.parquet(f"{path}/raw")
-    stream = spark.readStream.schema(items.schema).parquet(f"{path}/raw")
+    docs = adapters.supplier_categories(spark, sf).withColumn("region", F.trim("region"))
+    named = documents.envelope(docs, "supplier", F.col(FILE_TIME), count_items=False)
+    recent = F.col(FILE_TIME) >= F.timestamp_seconds(F.lit(adapters.FIRST_FILE_SECOND + 12 * 86_400))
+    for part in (named.filter(recent), named.filter(~recent)):
+        land_raw(part.drop(FILE_TIME, SOURCE_FILE).coalesce(1), f"{path}/raw", FOLDERS)
+        load_new_reference(spark, f"{path}/raw", f"{path}/clean", f"{path}/progress", as_of=AS_OF)
+    stored = spark.read.schema(schemas.CLEAN_REFERENCE).parquet(f"{path}/clean")
+    return stored.drop("_ingestion_timestamp", LANDED_AT, SOURCE_FILE)
 
-    def handle(batch, batch_id):
-        write_partitions(build_silver_reference(batch, AS_OF), f"{path}/clean")
 
-    run_batches(stream, handle, f"{path}/progress")
-    return spark.read.parquet(f"{path}/clean").drop("_ingestion_timestamp")
+@query
+def gold_rebuilt_with_less(spark, sf):
+    """The whole run twice; before the second one, the raw documents of a region are taken away."""
+    lake = Lake(new_folder(spark, "rebuilt"), FOLDERS)
+    names = documents.envelope(
+        adapters.nation_documents(spark, sf), "nation", AS_OF, count_items=False
+    )
+    docs = documents_of(spark, sf)
+    run_lake(spark, lake, documents=[docs], category_documents=[names], as_of=AS_OF)
+    land_raw(docs.filter("region <> 'asia'"), lake.raw_statistics, FOLDERS, mode="overwrite")
+    run_lake(spark, lake, as_of=AS_OF)
+    return shown(spark.read.parquet(lake.path("category_analytics")))
 
 
 @query

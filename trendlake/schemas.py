@@ -129,6 +129,7 @@ CATEGORY_DOCUMENT = struct(
     items=T.ArrayType(_CATEGORY),
     id=TEXT,
     snippet=_CATEGORY_SNIPPET,
+    _pipeline_metadata=_ENVELOPE,
     _corrupt_record=TEXT,
 )
 
@@ -137,6 +138,7 @@ CLEAN_REFERENCE = struct(
     snippet_assignable=FLAG,
     region=TEXT,
     _source_file=TEXT,
+    _landed_at=TIME,
     _ingestion_timestamp=TIME,
 )
 

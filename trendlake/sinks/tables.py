@@ -31,9 +31,11 @@ def write_partitions(
     partition_by: Sequence[str] = ("region",),
     mode: str = "overwrite",
     rebalance: bool = True,
+    whole: bool = False,
 ) -> None:
     """Write Snappy Parquet folders. ``overwrite`` replaces only the partitions in ``df``,
-    so running a job again doesn't double its rows; ``append`` adds files.
+    so running a job again doesn't double its rows; with ``whole`` it replaces the table, so that
+    partitions that ``df`` lacks are gone. ``append`` adds files.
 
     ``rebalance`` brings a partition's rows together before writing, and splits a partition
     that is much larger than others over several tasks, instead of putting it in one. Leave
@@ -44,7 +46,7 @@ def write_partitions(
     (
         df.write.mode(mode)
         .option("compression", "snappy")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)
     )

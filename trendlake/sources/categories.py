@@ -15,6 +15,7 @@ from trendlake.sources.documents import (
 )
 
 POSITION = "_position"
+LANDED_AT = "_landed_at"
 
 
 def with_region(documents: DataFrame) -> DataFrame:
@@ -25,14 +26,18 @@ def with_region(documents: DataFrame) -> DataFrame:
 
 
 def category_items(documents: DataFrame) -> DataFrame:
-    """One row per category, with its position in the document.
+    """One row per category, with its position in the document and the time the document landed:
+    that of its envelope, else of its file.
 
     A document without an ``items`` list counts as a single category.
     """
     itself = F.array(F.struct("kind", "etag", "id", "snippet"))
     readable = documents.filter(~unreadable(documents))
-    file_columns = ["region", SOURCE_FILE, FILE_TIME]
-    return readable.select(
+    landed = F.col(FILE_TIME)
+    if "_pipeline_metadata" in documents.columns:
+        landed = F.coalesce(F.try_to_timestamp(F.col("_pipeline_metadata.ingestion_timestamp")), landed)
+    file_columns = ["region", SOURCE_FILE, LANDED_AT]
+    return readable.withColumn(LANDED_AT, landed).select(
         *file_columns, F.posexplode(F.coalesce("items", itself)).alias(POSITION, "item")
     ).select("item.*", *file_columns, POSITION)
 

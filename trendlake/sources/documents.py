@@ -1,8 +1,9 @@
 """JSON documents in the raw zone, as batches or as file streams.
 
-Two kinds of file may lie side by side: documents of one file each, indented or not, and
-documents this library landed itself, one per line, which Spark names ``part-*``. Only the
-second kind can be split over tasks; reading it like the first would lose all lines but one.
+Files of any name and of the usual extensions, compressed or not, are read. What a file holds is told by
+its content: one document, indented or not, a list of documents, or one document per line. A file is
+read by one task then. A tree that is known to hold lines only, such as one of large landed files, can be
+declared as such (``layout="lines"``); its files are split over tasks.
 """
 
 from __future__ import annotations
@@ -20,12 +21,10 @@ SOURCE_FILE = "_source_file"
 FILE_TIME = "_file_time"
 FILE_COLUMNS = struct(_source_file=TEXT, _file_time=TIME)
 
-# How Spark names the files it writes, all documents, and the landing folders.
-LINES_PREFIX = "part-"
-DOCUMENT_GLOB = "*.json"
+# The extensions of documents, and the landing folders.
+DOCUMENT_GLOB = "{*.json,*.jsonl,*.ndjson,*.json.gz,*.jsonl.gz,*.ndjson.gz,*.json.bz2,*.jsonl.bz2}"
 LANDING_FOLDERS = ("region", "date", "hour")
 
-
 def join_schemas(*parts: T.StructType) -> T.StructType:
     return T.StructType([field for part in parts for field in part.fields])
 
@@ -54,34 +53,94 @@ def empty(schema: T.StructType) -> DataFrame:
 
 
 def load_documents(
-    reader, path: str, schema: T.StructType, lines: bool, folders: Sequence[str] | None
+    reader,
+    path: str,
+    schema: T.StructType,
+    folders: Sequence[str] | None,
+    layout: str = "files",
 ) -> DataFrame:
-    """One kind of file through a batch or stream reader, with file name and time.
+    """Documents through a batch or stream reader, with file name and time.
 
     ``folders`` names the partition columns, which filters on them can use to skip folders;
-    None finds files at any depth.
+    None finds files at any depth. ``layout`` is ``files`` or ``lines``, see above.
     """
-    reader = (
-        reader.format("json")
-        .schema(schema)
-        .option("multiLine", not lines)
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("mode", "PERMISSIVE")
-        .option("pathGlobFilter", DOCUMENT_GLOB)
-    )
+    if layout not in ("files", "lines"):
+        raise ValueError(f"unknown layout {layout}")
+    names = [name for name in folders or () if name in schema.fieldNames()]
+    own = T.StructType([field for field in schema.fields if field.name not in names])
+    placed = [schema[name] for name in names]
+    if layout == "lines":
+        reader = (
+            reader.format("json")
+            .schema(schema)
+            .option("columnNameOfCorruptRecord", CORRUPT)
+            .option("mode", "PERMISSIVE")
+        )
+    else:
+        reader = (
+            reader.format("text")
+            .schema(T.StructType([T.StructField("value", TEXT), *placed]))
+            .option("wholetext", True)
+        )
+    reader = reader.option("pathGlobFilter", DOCUMENT_GLOB)
     if folders is None:
         loaded = load_if_any(reader.option("recursiveFileLookup", True), path)
     else:
         loaded = load_if_any(reader.option("basePath", path), below(path, folders))
     if loaded is None:
         return empty(join_schemas(schema, FILE_COLUMNS))
-    landed_here = F.col("_metadata.file_name").startswith(LINES_PREFIX)
-    return loaded.filter(landed_here if lines else ~landed_here).withColumns(
-        {
-            SOURCE_FILE: F.col("_metadata.file_path"),
-            FILE_TIME: F.col("_metadata.file_modification_time"),
-        }
+    file = [
+        F.col("_metadata.file_path").alias(SOURCE_FILE),
+        F.col("_metadata.file_modification_time").alias(FILE_TIME),
+    ]
+    if layout == "lines":
+        return loaded.select(*schema.fieldNames(), *file)
+    texts = loaded.select(F.explode(document_texts(F.col("value"))).alias("value"), *names, *file)
+    parsed = texts.select(F.explode(parse(F.col("value"), own)).alias("doc"), *names, SOURCE_FILE, FILE_TIME)
+    return parsed.select(
+        *(F.col("doc")[name].alias(name) if name in own.fieldNames() else name for name in schema.fieldNames()),
+        SOURCE_FILE,
+        FILE_TIME,
+    )
+
+
+def document_texts(content: Column) -> Column:
+    """The documents of a file: its lines if each of several is an object, else the whole."""
+    plain = F.regexp_replace(content, "^\uFEFF", "")
+    lines = F.filter(F.transform(F.split(plain, "\r?\n"), F.trim), lambda line: line != "")
+    objects = F.forall(lines, lambda line: line.startswith("{") & line.endswith("}"))
+    return F.when((F.size(lines) > 1) & objects, lines).otherwise(F.array(plain))
+
+
+def parse(text: Column, schema: T.StructType) -> Column:
+    """One document or a list of them; what isn't JSON becomes a document with that text alone."""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    listed = F.from_json(text, T.ArrayType(schema), options)
+    single = F.array(F.from_json(text, schema, options))
+    broken = F.array(
+        F.struct(
+            *(
+                (text if field.name == CORRUPT else F.lit(None)).cast(field.dataType).alias(field.name)
+                for field in schema.fields
+            )
+        )
+    )
+    blank = F.trim(text) == ""
+    return F.when(blank, broken).when(text.rlike(r"^\s*\["), F.coalesce(listed, broken)).otherwise(single)
+
+
+def misplaced_files(spark: SparkSession, path: str, folders: Sequence[str]) -> DataFrame:
+    """Documents below ``path`` that lie outside of the ``name=value`` folders and so aren't read."""
+    listed = load_if_any(
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", DOCUMENT_GLOB),
+        path,
     )
+    if listed is None:
+        return empty(struct(file=TEXT))
+    expected = "/".join([*(f"{name}=[^/]*" for name in folders), "[^/]*$"])
+    return listed.select(F.col("path").alias("file")).where(~F.col("file").rlike("/" + expected))
 
 
 def unreadable(documents: DataFrame) -> Column:
@@ -97,9 +156,7 @@ def read_documents(
     path: str,
     schema: T.StructType,
     folders: Sequence[str] | None = LANDING_FOLDERS,
+    layout: str = "files",
 ) -> DataFrame:
     """All documents below ``path``, see :func:`load_documents`."""
-    single, lines = (
-        load_documents(spark.read, path, schema, kind, folders) for kind in (False, True)
-    )
-    return single.unionByName(lines)
+    return load_documents(spark.read, path, schema, folders, layout)

@@ -59,10 +59,13 @@ def read_stats_csv(spark: SparkSession, path: str, multi_line: bool = True) -> D
 
 
 def read_video_documents(
-    spark: SparkSession, path: str, folders: Sequence[str] = LANDING_FOLDERS
+    spark: SparkSession,
+    path: str,
+    folders: Sequence[str] = LANDING_FOLDERS,
+    layout: str = "files",
 ) -> DataFrame:
     """Whole API documents below ``region=../date=../hour=..`` folders."""
-    return read_documents(spark, path, video_files(folders), folders)
+    return read_documents(spark, path, video_files(folders), folders, layout)
 
 
 def video_rows(documents: DataFrame) -> DataFrame:
@@ -76,7 +79,10 @@ def video_rows(documents: DataFrame) -> DataFrame:
 
 
 def read_stats_json(
-    spark: SparkSession, path: str, folders: Sequence[str] = LANDING_FOLDERS
+    spark: SparkSession,
+    path: str,
+    folders: Sequence[str] = LANDING_FOLDERS,
+    layout: str = "files",
 ) -> DataFrame:
     """Videos of the API documents below ``path``."""
-    return video_rows(read_video_documents(spark, path, folders))
+    return video_rows(read_video_documents(spark, path, folders, layout))

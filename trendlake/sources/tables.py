@@ -16,10 +16,12 @@ def scan_table(
 
 
 def only_regions(df: DataFrame, regions: Iterable[str] | None) -> DataFrame:
-    """Filter on the bare partition column, so that Spark skips the other folders."""
+    """Rows of the given regions, in any spelling. The filter is on the partition column alone, so
+    Spark skips the other folders."""
     if regions is None:
         return df
-    return df.filter(F.col("region").isin(*regions))
+    wanted = {region.strip().lower() for region in regions}
+    return df.filter(F.lower(F.trim("region")).isin(*sorted(wanted)))
 
 
 def optional_table(spark: SparkSession, name: str) -> DataFrame | None:

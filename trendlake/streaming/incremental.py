@@ -18,18 +18,21 @@ from trendlake.plans.silver import (
     STATISTICS_JOB,
     build_silver_reference,
     latest_statistics,
+    newest_document,
 )
 from trendlake.schemas import INGESTED_AT
-from trendlake.sinks.tables import write_partitions
 from trendlake.sources.categories import category_items, with_region
 from trendlake.sources.documents import LANDING_FOLDERS, load_documents
 from trendlake.sources.statistics import load_bulk, video_files, video_rows
+from trendlake.sources.tables import only_regions
 from trendlake.streaming.upsert import merge_partitions
 
 ALL_NEW_FILES = {"availableNow": True}
 STATISTICS_PARTITIONS = ("region", "trending_date_parsed")
 
 Trigger = Mapping[str, object]
+#: Files count as new however old they are; by default Spark leaves out what is a week older than the newest.
+ANY_AGE = {"maxFileAge": "365000d"}
 
 
 def run_batches(
@@ -50,9 +53,14 @@ def run_batches(
     return query
 
 
+def staging(checkpoint: str) -> str:
+    """Inside of a stream's progress, so that a renewed progress doesn't find old batches."""
+    return f"{checkpoint}/staged-batches"
+
+
 def statistics_upsert(
     path: str,
-    stage: str,
+    checkpoint: str,
     partition_by: Sequence[str] = STATISTICS_PARTITIONS,
     as_of: datetime | None = None,
     newest_first: Sequence[str] = (INGESTED_AT,),
@@ -70,7 +78,7 @@ def statistics_upsert(
     def handle(batch: DataFrame, batch_id: int) -> None:
         rows = cleanse(unify(batch, run_time=clock(as_of), carry=newest_first))
         new = with_audit(resolve(rows), STATISTICS_JOB, as_of)
-        merge_partitions(new, path, partition_by, resolve, stage, batch_id)
+        merge_partitions(new, path, partition_by, resolve, staging(checkpoint), batch_id)
 
     return handle
 
@@ -85,23 +93,23 @@ def load_new_statistics(
     as_of: datetime | None = None,
     bulk: bool = True,
     folders: Sequence[str] = LANDING_FOLDERS,
+    layout: str = "files",
+    multi_line: bool = True,
+    regions: Sequence[str] | None = None,
 ) -> None:
     """Take new raw files of all kinds into clean_statistics, one kind after the other, as
-    they write the same table."""
+    they write the same table. Files of regions other than ``regions``, if given, count as seen."""
 
     def reader():
-        return spark.readStream.option("maxFilesPerTrigger", max_files)
+        return spark.readStream.options(**ANY_AGE).option("maxFilesPerTrigger", max_files)
 
-    schema = video_files(folders)
-    streams = {
-        kind: video_rows(load_documents(reader(), raw, schema, kind == "lines", folders))
-        for kind in ("documents", "lines")
-    }
+    documents = load_documents(reader(), raw, video_files(folders), folders, layout)
+    streams = {"documents": video_rows(only_regions(documents, regions))}
     if bulk:
-        streams["bulk"] = load_bulk(reader(), raw)
+        streams["bulk"] = only_regions(load_bulk(reader(), raw, multi_line), regions)
     for kind, stream in streams.items():
-        handle = statistics_upsert(path, f"{checkpoint}/{kind}-stage", as_of=as_of)
-        run_batches(stream, handle, f"{checkpoint}/{kind}", trigger)
+        progress = f"{checkpoint}/{kind}"
+        run_batches(stream, statistics_upsert(path, progress, as_of=as_of), progress, trigger)
 
 
 def load_new_reference(
@@ -112,19 +120,18 @@ def load_new_reference(
     max_files: int = 10_000,
     trigger: Trigger = ALL_NEW_FILES,
     as_of: datetime | None = None,
+    layout: str = "files",
 ) -> None:
-    """Take new category files into clean_reference_data, replacing the regions they are of."""
+    """Take new category files into clean_reference_data. As in a full build the newest document of a
+    region stands for it, so an older one that arrives later changes nothing."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        table = build_silver_reference(category_items(batch), as_of)
-        write_partitions(table, path)
-
-    for kind in ("documents", "lines"):
-        reader = spark.readStream.option("maxFilesPerTrigger", max_files)
-        stream = load_documents(
-            reader, raw, schemas.CATEGORY_DOCUMENT, kind == "lines", folders=None
-        )
-        run_batches(with_region(stream), handle, f"{checkpoint}/{kind}", trigger)
+        new = build_silver_reference(category_items(batch), as_of)
+        merge_partitions(new, path, ("region",), newest_document, staging(checkpoint), batch_id)
+
+    reader = spark.readStream.options(**ANY_AGE).option("maxFilesPerTrigger", max_files)
+    stream = load_documents(reader, raw, schemas.CATEGORY_DOCUMENT, None, layout)
+    run_batches(with_region(stream), handle, checkpoint, trigger)
 
 
 def first_of_video_day(

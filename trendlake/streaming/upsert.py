@@ -5,16 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendlake.sinks.tables import write_partitions
 
-# Up to this many touched partitions are named in the scan's filter; beyond it they are joined.
-NAMED_PARTITIONS = 10_000
-
-
 def read_if_there(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
     """Parquet with the given schema, or None if the path doesn't exist."""
     try:
@@ -28,37 +24,38 @@ def read_if_there(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 def only_partitions(
     df: DataFrame, partitions: DataFrame, columns: Sequence[str]
 ) -> DataFrame:
-    """Rows of the listed partitions. A list of moderate length becomes a partition filter,
-    so that other folders aren't read; a longer one is joined, with the same result."""
+    """Rows of the partitions that occur in ``partitions``, whatever their number.
+
+    The join decides; the range of each column, one row in all, goes before it as a filter on
+    partition columns, so that folders outside of it aren't read.
+    """
     listed = partitions.select(*columns).distinct()
-    rows = listed.limit(NAMED_PARTITIONS + 1).collect()
-    if len(rows) > NAMED_PARTITIONS:
-        renamed = listed.toDF(*(f"_{name}" for name in columns))
-        return df.join(renamed, _all_equal(columns), "left_semi")
-    *outer, inner = columns
-    values: dict[tuple, list] = {}
-    for row in rows:
-        values.setdefault(tuple(row[name] for name in outer), []).append(row[inner])
-    keep = F.lit(False)
-    for key, members in values.items():
-        here = _one_of(F.col(inner), members)
-        for name, value in zip(outer, key):
-            here = here & F.col(name).eqNullSafe(F.lit(value))
-        keep = keep | here
-    return df.filter(keep)
-
-
-def _all_equal(columns: Sequence[str]) -> Column:
+    bounds = listed.agg(
+        *(F.min(name).alias(f"{name}_low") for name in columns),
+        *(F.max(name).alias(f"{name}_high") for name in columns),
+        *(F.coalesce(F.bool_or(F.col(name).isNull()), F.lit(False)).alias(f"{name}_none") for name in columns),
+    ).first()
+    for name in columns:
+        within = F.col(name).between(F.lit(bounds[f"{name}_low"]), F.lit(bounds[f"{name}_high"]))
+        df = df.filter(within | F.col(name).isNull() if bounds[f"{name}_none"] else within)
+    renamed = listed.toDF(*(f"_{name}" for name in columns))
     same = F.lit(True)
     for name in columns:
         same = same & F.col(name).eqNullSafe(F.col(f"_{name}"))
-    return same
+    return df.join(renamed, same, "left_semi")
 
 
-def _one_of(column: Column, members: list) -> Column:
-    known = [value for value in members if value is not None]
-    found = column.isin(*known) if known else F.lit(False)
-    return found | column.isNull() if None in members else found
+def stored_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """The stored table with the types of ``schema`` and all columns that it has besides."""
+    found = None
+    try:
+        found = spark.read.option("mergeSchema", True).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+    more = [field for field in found.schema.fields if field.name not in schema.fieldNames()]
+    return spark.read.schema(T.StructType([*schema.fields, *more])).parquet(path)
 
 
 def merge_partitions(
@@ -74,22 +71,25 @@ def merge_partitions(
     The merged partitions are written to a staging folder first and published from there. If
     publishing is cut short, the retried batch publishes the same staged rows again instead
     of merging with a half-replaced table. Two staging folders take turns, as only the last
-    batch is ever retried.
+    batch is ever retried. ``stage`` has to live and die with the progress that numbers the batches:
+    keep it inside of the checkpoint folder. Columns that only the stored table has are kept.
     """
     spark = new.sparkSession
     slot = f"{stage}/slot-{batch_id % 2}"
     if not _is_staged(spark, slot, batch_id):
         new.write.mode("overwrite").parquet(f"{slot}/new")
         arrived = spark.read.schema(new.schema).parquet(f"{slot}/new")
-        stored = read_if_there(spark, path, new.schema)
+        stored = stored_table(spark, path, new.schema)
         merged = arrived
         if stored is not None:
             touched = only_partitions(stored, arrived, partition_by)
-            merged = touched.unionByName(arrived)
-        resolve(merged).write.mode("overwrite").parquet(f"{slot}/merged")
+            merged = touched.unionByName(arrived, allowMissingColumns=True)
+        write_partitions(resolve(merged), f"{slot}/merged", partition_by, whole=True)
         _mark_staged(spark, slot, batch_id)
-    staged = spark.read.schema(new.schema).parquet(f"{slot}/merged")
-    write_partitions(staged, path, partition_by)
+    staged = stored_table(spark, f"{slot}/merged", new.schema)
+    if staged is not None:
+        # Brought together when staged: publishing needs no shuffle.
+        write_partitions(staged, path, partition_by, rebalance=False)
 
 
 def _is_staged(spark: SparkSession, slot: str, batch_id: int) -> bool:
