@@ -37,7 +37,7 @@ CROWD = 10_000
 #: Contexts a task sorts at once, about.
 GROUP_CONTEXTS = 20_000
 #: A side of a join is broadcast up to this size, and shuffled beyond.
-BROADCAST_BYTES = 24 << 20
+BROADCAST_BYTES = 64 << 20
 #: Positions in a stretch of text take so many low bits when the least hash is sought; the hash has the rest.
 POSITION_BITS = 28
 STRETCH = 1 << 26
