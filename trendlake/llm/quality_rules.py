@@ -205,7 +205,10 @@ def judge(docs: DataFrame, limits: DataFrame, stratum: str, stats: str, kept: st
     """``docs`` with the boolean ``kept``; ``limits`` is what ``certified_levels`` returns."""
     key, most = own_name("stratum"), own_name("most")
     limits = limits.select(F.col(stratum).alias(key), F.col("max_level").alias(most))
-    verdict = ~base_failed(F.col(stats)) & (level(F.col(stats)) <= F.coalesce(F.col(most), F.lit(STEPS)))
+    # One expression, which isn't split into filters that would each compute the statistics again.
+    verdict = F.when(base_failed(F.col(stats)), F.lit(False)).otherwise(
+        level(F.col(stats)) <= F.coalesce(F.col(most), F.lit(STEPS))
+    )
     joined = docs.join(limits, docs[stratum].eqNullSafe(limits[key]), "left")
     return joined.withColumn(kept, verdict).drop(key, most)
 
