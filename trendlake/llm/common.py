@@ -57,6 +57,11 @@ def slices(batch: pa.RecordBatch, column: int, limit: int = 4 << 20) -> Iterator
         yield batch.slice(int(begin), int(end - begin))
 
 
+def small_batches(spark: SparkSession, size: str = "8m") -> None:
+    """Bounds what an Arrow batch of whole texts holds in the session's tasks, by bytes and not by rows alone."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Indices ``starts[i] .. starts[i] + lengths[i] - 1`` of all i, one after the other."""
     total = int(lengths.sum())

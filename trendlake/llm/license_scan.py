@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from trendlake.llm.common import slices
+from trendlake.llm.common import slices, small_batches
 
 SHINGLE = 5
 TOKEN = re.compile(r"[^\W_]+")
@@ -195,6 +195,7 @@ def scan(texts: list[str | None], templates: Templates) -> list[tuple[int, str,
 def license_matches(docs: DataFrame, texts: dict[str, str] = TEMPLATES, least: float = 0.8) -> DataFrame:
     """doc_id, template, containment, first_word, windows."""
     templates = Templates(texts, least)
+    small_batches(docs.sparkSession)
     source = docs.select("doc_id", "text")
     schema = source.drop("text").schema
     for name, kind in (("template", "string"), ("containment", "double"), ("first_word", "long"), ("windows", "long")):

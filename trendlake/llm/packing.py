@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendlake.llm.common import ragged, slices
+from trendlake.llm.common import ragged, slices, small_batches
 
 GROUP_ROWS = 2048
 PIECES = (
@@ -43,7 +43,7 @@ class WordTokenizer:
     the worker lives, and forgotten together when there are ``limit`` of them.
     """
 
-    def __init__(self, path: str, split_marks: bool = True, limit: int = 800_000):
+    def __init__(self, path: str, split_marks: bool = True, limit: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import tokenizers
 
@@ -95,12 +95,13 @@ class WordTokenizer:
 
 def tokenize(docs: DataFrame, path: str, end_id: int, *carry: str) -> DataFrame:
     """``carry`` columns and ids (little-endian unsigned 32-bit, with the end id) of each document."""
+    small_batches(docs.sparkSession)
     kept = docs.select(*carry, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = WordTokenizer(path)
         for whole in batches:
-            for batch in slices(whole, len(carry)):
+            for batch in slices(whole, len(carry), 2 << 20):
                 ids, count = tokenizer(batch.column(len(carry)))
                 cuts = np.cumsum(count)
                 parts = np.split(ids, cuts[:-1])

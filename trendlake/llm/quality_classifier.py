@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trendlake.llm.common import one_label, slices
+from trendlake.llm.common import one_label, slices, small_batches
 
 PIECE = 1024
 DICTIONARY_BYTES = 64 << 10
@@ -125,6 +125,7 @@ def model_of(rows: list[tuple[str | None, int]]) -> Model:
 
 def score(docs: DataFrame, model: Model, *carry: str) -> DataFrame:
     """``carry`` columns and ``score`` of every row."""
+    small_batches(docs.sparkSession)
     source = docs.select(*carry, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

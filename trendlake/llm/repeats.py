@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trendlake.llm.common import own_name, slices, text_or_empty
+from trendlake.llm.common import own_name, slices, small_batches, text_or_empty
 from trendlake.shared import materialize
 
 GRAM = 40
@@ -327,6 +327,7 @@ def small_side(df: DataFrame, bytes_of_row: Column) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, text: str, length: int) -> DataFrame:
     """doc (MD5 of a text's bytes), spans: merged runs of bytes that repeats cover, for texts that have some."""
+    small_batches(docs.sparkSession)
     plain = text_or_empty(text)
     raw = F.encode(plain, "UTF-8")
     texts = docs.select(raw.alias("raw"), F.xxhash64(plain).alias("t"), F.unhex(F.md5(raw)).alias("doc")).where(

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trendlake.llm.common import own_name, slices
+from trendlake.llm.common import own_name, slices, small_batches
 from trendlake.llm.components import components
 from trendlake.shared import materialize
 
@@ -69,6 +69,7 @@ def fingerprint(text: str | None) -> int:
 
 def fingerprints(docs: DataFrame, *carry: str) -> DataFrame:
     """``carry`` columns and ``fp``, the fingerprint as a signed long."""
+    small_batches(docs.sparkSession)
     source = docs.select(*carry, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -20,7 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from trendlake.llm.common import slices
+from trendlake.llm.common import slices, small_batches
 
 NOWHERE = -1
 
@@ -87,6 +87,7 @@ def token_counts(docs: DataFrame, vocabulary: list[bytes], prefix: bytes = b" ",
     ``limit`` words at most, then forgets them together.
     """
     automaton = Automaton(vocabulary)
+    small_batches(docs.sparkSession)
     source = docs.select("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
