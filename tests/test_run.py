@@ -97,3 +97,34 @@ def test_only_some_regions(spark, lake, noon):
     run_lake(spark, lake, only_from=["gb"], as_of=noon, rules=rules)
     silver = silver_frames(spark, lake)["clean_statistics"]
     assert rows(silver.select("region").distinct()) == [("gb",)]
+
+
+def test_tables_can_be_named_in_sql(spark, lake, noon):
+    run_lake(spark, lake, regions=["us", "gb"], as_of=noon, rules=QualityRules(min_rows=4), database="lake_names")
+    names = {t.name for t in spark.catalog.listTables("lake_names")}
+    assert names >= {"clean_statistics", "clean_reference_data", "category_analytics", "quality_checks", "row_warnings"}
+    count = spark.sql("SELECT count(*) FROM lake_names.clean_statistics WHERE region = 'us'").first()[0]
+    assert count == 12
+    assert spark.sql("SELECT sum(video_count) FROM lake_names.category_analytics").first()[0] == 13
+    assert spark.sql("SELECT sum(rows) FROM lake_names.row_warnings").first()[0] == 13
+
+
+def test_reports_are_stored_when_the_gate_closes(spark, lake, noon):
+    with pytest.raises(QualityGateError):
+        run_lake(spark, lake, as_of=noon, rules=QualityRules(min_rows=1000))
+    checks = spark.read.parquet(lake.path("quality_checks"))
+    assert checks.filter("not passed").count() > 0
+    assert spark.read.parquet(lake.path("ingest_summary")).count() == 10
+    assert not Path(lake.path("category_analytics")).exists()
+
+
+def test_rebuild_drops_what_raw_files_no_longer_hold(spark, lake, noon):
+    import shutil
+
+    options = {"as_of": noon, "rules": QualityRules(min_rows=1)}
+    run_lake(spark, lake, **options)
+    shutil.rmtree(Path(lake.raw_statistics) / "region=gb")
+    run_lake(spark, lake, **options)
+    for table in ("clean_statistics", "trending_analytics", "channel_analytics"):
+        got = spark.read.option("basePath", lake.path(table)).parquet(lake.path(table))
+        assert {r.region for r in got.select("region").distinct().collect()} == {"us"}
