@@ -89,6 +89,11 @@ def documents_of(spark, sf):
     ).drop(INGESTED_AT)
 
 
+def one_of(column, *values):
+    """A condition that is false, not NULL, for a NULL, so that it and its opposite split all rows."""
+    return F.coalesce(F.col(column).isin(*values), F.lit(False))
+
+
 def own_table(spark, label):
     """A name in the session's catalog that no other call uses."""
     return f"{label}_{new_folder(spark, label).rsplit('-', 1)[-1]}"
@@ -131,8 +136,8 @@ def normalize_two_formats(spark, sf):
     bulk, nested = adapters.event_statistics(spark, sf), adapters.event_videos(spark, sf)
     from_api = ("click", "view")
     return unify(
-        bulk.filter(~F.col("title").isin(*from_api)),
-        nested.filter(F.col("snippet.title").isin(*from_api)),
+        bulk.filter(~one_of("title", *from_api)),
+        nested.filter(one_of("snippet.title", *from_api)),
         carry=(SOURCE_ROW,),
     )
 
@@ -618,7 +623,7 @@ def upsert_latest(spark, sf):
     """A stream that brings newer rows before older ones still ends with the newest."""
     path = new_folder(spark, "upsert")
     rows = adapters.event_statistics(spark, sf)
-    late = F.col("title").isin("click", "view")
+    late = one_of("title", "click", "view")
     for part, condition in (("first", ~late), ("second", late)):
         rows.filter(condition).write.parquet(f"{path}/raw/{part}")
         stream = spark.readStream.schema(rows.schema).parquet(f"{path}/raw/{part}")

@@ -22,6 +22,11 @@ CLUSTER_SETTINGS = {
 }
 
 
+def cluster_settings(builder: SparkSession.Builder) -> SparkSession.Builder:
+    """A builder for a cluster's session, with all settings the jobs are meant to run with."""
+    return builder.config(map=SETTINGS | CLUSTER_SETTINGS)
+
+
 def local_session(cores: int | str = "*", app: str = "trendlake") -> SparkSession:
     """A session for tests and measurements on one machine."""
     builder = (
