@@ -33,7 +33,8 @@ from trendlake.llm.common import own_name, slices, small_batches, text_or_empty
 from trendlake.shared import materialize
 
 GRAM = 40
-CROWD = 10_000
+#: An anchor's contexts, 360 bytes each at most for strings of 200, that one task may hold: some 20 MB.
+CROWD = 50_000
 #: Contexts a task sorts at once, about.
 GROUP_CONTEXTS = 20_000
 #: A side of a join is broadcast up to this size, and shuffled beyond.
