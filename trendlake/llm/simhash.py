@@ -202,10 +202,19 @@ def one_per_component(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
 
     Who stays is decided on hashes of rows; texts are joined to the decision once. Of equal rows one stays.
     """
-    row, rep_doc, rep_row, equal = (own_name(n) for n in ("row", "doc", "rep", "equal"))
+    row = own_name("row")
     marked = docs.withColumn(row, F.xxhash64(*docs.columns))
     prints = materialize(fingerprints(marked, "doc_id", row), "document-fingerprints")
-    found = component_ids(prints, radius).select(F.col("fp").alias("of"), "root")
+    return first_rows(docs, marked, row, prints, component_ids(prints, radius))
+
+
+def first_rows(docs: DataFrame, marked: DataFrame, row: str, prints: DataFrame, roots: DataFrame) -> DataFrame:
+    """The row of ``docs`` that stays of each root.
+
+    ``marked`` has the hash ``row`` besides; ``prints`` has doc_id, this hash and fp, ``roots`` fp and root.
+    """
+    rep_doc, rep_row, equal = (own_name(n) for n in ("doc", "rep", "equal"))
+    found = roots.select(F.col("fp").alias("of"), "root")
     rows = prints.join(found, F.col("fp") == F.col("of")).groupBy("root", "doc_id", row).agg(F.count(F.lit(1)).alias("n"))
     first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(row).alias("row"))
     chosen = rows.groupBy("root").agg(F.min(F.struct(first.alias("first"), F.col("n").alias("n"))).alias("one"))
