@@ -93,6 +93,29 @@ def test_files_of_any_name_and_form(spark, tmp_path):
     assert docs.filter(unreadable(docs)).count() == 1  # an empty file holds no document
 
 
+def test_a_bad_line_costs_that_line_only(spark, tmp_path):
+    lines = [json.dumps({"items": [video(f"l{i}")]}) for i in range(4)]
+    files = {
+        "us": "\n".join([*lines, lines[0][:40]]),
+        "gb": "\r\n".join([lines[0], "INFO a log line", *lines[1:], f"[{lines[0]}]"]),
+        "fr": "\n".join(["INFO a log line", *lines]),
+        "de": lines[0] + " and more",
+        "ca": json.dumps({"items": [video("v")]}, indent=2) + "\n}",
+        "in": json.dumps({"items": [video("v")]}, indent=2),
+    }
+    for region, text in files.items():
+        put(tmp_path / f"region={region}/date=2024-03-01/hour=09/x.json", text)
+    expected = expected_regions(spark, list(files))
+    assert rows(ingest_summary(read_video_documents(spark, str(tmp_path)), expected)) == [
+        ("ca", 1, 0, 1, "failed"),
+        ("de", 1, 0, 1, "failed"),
+        ("fr", 5, 4, 1, "failed"),
+        ("gb", 6, 5, 1, "failed"),
+        ("in", 1, 1, 0, "success"),
+        ("us", 5, 4, 1, "failed"),
+    ]
+
+
 def test_declared_lines_are_split(spark, tmp_path):
     lines = "\n".join(json.dumps({"items": [video(f"l{i}")]}) for i in range(500))
     put(tmp_path / "region=us" / "date=2024-03-01" / "hour=09" / "x.json", lines)

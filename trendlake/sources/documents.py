@@ -104,16 +104,30 @@ def load_documents(
     )
 
 
+def whole_value(text: Column) -> Column:
+    """Whether a text is one JSON value with nothing left after its end, which from_json alone ignores."""
+    framed = F.concat(F.lit('{"_value":'), text, F.lit(',"_text_end":1}'))
+    end = F.from_json(framed, "_text_end int", {"mode": "PERMISSIVE"})["_text_end"]
+    return F.coalesce(end == 1, F.lit(False))
+
+
 def document_texts(content: Column) -> Column:
-    """The documents of a file: its lines if each of several is an object, else the whole."""
+    """The documents of a file: its lines if it isn't one value and a line of several is, else the whole.
+
+    The first line counts, and any other object that isn't indented, so that a bad line costs that line only.
+    """
     plain = F.regexp_replace(content, "^\uFEFF", "")
-    lines = F.filter(F.transform(F.split(plain, "\r?\n"), F.trim), lambda line: line != "")
-    objects = F.forall(lines, lambda line: line.startswith("{") & line.endswith("}"))
-    return F.when((F.size(lines) > 1) & objects, lines).otherwise(F.array(plain))
+    lines = F.filter(F.split(plain, "\r?\n"), lambda line: F.trim(line) != "")
+    first = F.coalesce(F.trim(F.get(lines, F.lit(0))), F.lit(""))
+    alone = (first.rlike(r"^[{\[]") & whole_value(first)) | F.exists(
+        lines, lambda line: line.startswith("{") & whole_value(line)
+    )
+    split = (F.size(lines) > 1) & ~whole_value(plain) & alone
+    return F.when(split, F.transform(lines, F.trim)).otherwise(F.array(plain))
 
 
 def parse(text: Column, schema: T.StructType) -> Column:
-    """One document or a list of them; what isn't JSON becomes a document with that text alone."""
+    """One document or a list of them; what isn't one JSON value becomes a document with that text alone."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     listed = F.from_json(text, T.ArrayType(schema), options)
     single = F.array(F.from_json(text, schema, options))
@@ -126,7 +140,7 @@ def parse(text: Column, schema: T.StructType) -> Column:
         )
     )
     blank = F.trim(text) == ""
-    return F.when(blank, broken).when(text.rlike(r"^\s*\["), F.coalesce(listed, broken)).otherwise(single)
+    return F.when(blank | ~whole_value(text), broken).when(text.rlike(r"^\s*\["), F.coalesce(listed, broken)).otherwise(single)
 
 
 def misplaced_files(spark: SparkSession, path: str, folders: Sequence[str]) -> DataFrame:
