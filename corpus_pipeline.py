@@ -1,11 +1,16 @@
-"""The training corpus: stages over ``documents``, each written as Parquet and read again."""
+"""The training corpus: stages over ``documents``, each written as Parquet and read again.
+
+Defined cases, of every stage: an empty table gives an empty table; columns besides those of ``documents`` are carried
+along under their names; a null text counts as empty and stays null where its row stays; a null doc_id is an id like any
+other; equal rows are judged alike, and the near-duplicate stage keeps one of them.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendlake.llm import mixing, near_copies, packing, pii, quality_rules
+from trendlake.llm import mixing, packing, pii, quality_rules, simhash
 from trendlake.llm.common import own_name, table, word_count
 from trendlake.llm.queries import PSEUDONYM_KEY, tokenizer_path
 from trendlake.shared import materialize
@@ -14,16 +19,17 @@ from trendlake.shared import materialize
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rule and the certified cutoffs of their language."""
     stats, kept = own_name("stats"), own_name("kept")
-    scored = docs.withColumn(stats, quality_rules.statistics("text"))
-    numbers = materialize(scored.select("doc_id", "lang", stats), "quality-statistics")
+    # With their statistics once, so that judging them doesn't count again.
+    scored = materialize(docs.withColumn(stats, quality_rules.statistics("text")), "quality-statistics")
+    numbers = scored.select("doc_id", "lang", stats)
     limits = materialize(quality_rules.fit(numbers, table(spark, sf_dir, "labels"), "lang", stats), "quality-limits")
     judged = quality_rules.judge(scored, limits, "lang", stats, kept)
     return judged.where(F.col(kept)).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: five-word shingles, a Jaccard similarity of 0.8."""
-    return near_copies.one_per_component(docs)
+    """One document of each component of SimHash fingerprints: three-word shingles, links of two bits at most."""
+    return simhash.one_per_component(docs, simhash.RADIUS)
 
 
 def with_length(docs: DataFrame) -> DataFrame:
