@@ -29,14 +29,14 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/trendlake/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, options: dict[str, str] | None = None) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Cuts the lineage like a checkpoint and survives lost executors, but stays columnar, so
     several readers each fetch only their own columns. Zstandard works within the heap; many small
-    files of other codecs pile up buffers outside of it.
+    files of other codecs pile up buffers outside of it. ``options`` go to the Parquet writer.
     """
     spark = df.sparkSession
     path = new_folder(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(compression="zstd", **(options or {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
