@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendlake.llm import (
+    decontamination,
     license_scan,
     mixing,
     packing,
@@ -112,6 +113,12 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(rows, rows.where(F.col("id") % 20 == 0), 20)
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's words inside of benchmark passages of ten words."""
+    index = decontamination.build_index(table(spark, sf_dir, "documents"))
+    return decontamination.contamination(index, decontamination.phrases_of(table(spark, sf_dir, "benchmark")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_packing": op2_packing,
@@ -123,4 +130,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_repeats": op9_repeats,
     "op10_top_k": op10_top_k,
+    "op11_decontamination": op11_decontamination,
 }

@@ -98,4 +98,38 @@ select query_id, rank::int as rank, vec_id, score from (
 ) where rank <= 20
 """
 
-SQL = {"op1_quality_rules": QUALITY_RULES, "op8_mixing": MIXING, "op10_top_k": TOP_K}
+DECONTAMINATION = r"""
+with doc_words as (
+    select row_number() over () as row, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w
+    from documents
+), item_words as (
+    select item_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w
+    from benchmark
+), phrases as (
+    select distinct item_id, least(len(w), 10) as size, array_to_string(w[i:i + 9], ' ') as phrase
+    from (select item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as i from item_words where len(w) > 0)
+), windows as (
+    select row, size, i, array_to_string(w[i:i + size - 1], ' ') as phrase
+    from (select row, w, size, unnest(range(1, len(w) - size + 2)) as i
+        from doc_words, (select distinct size from phrases) where len(w) >= size)
+), found as (
+    select row, windows.size, i, item_id from windows join phrases using (phrase)
+), hit as (
+    select row, count(distinct i + j) as n_hit from (select row, i, unnest(range(0, size)) as j from found) group by row
+), items as (
+    select row, count(distinct item_id) as n_items, string_agg(distinct item_id::varchar, ',' order by item_id::varchar) as ids
+    from found group by row
+)
+select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+    sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from doc_words left join hit using (row) left join items using (row)
+"""
+
+SQL = {
+    "op1_quality_rules": QUALITY_RULES,
+    "op8_mixing": MIXING,
+    "op10_top_k": TOP_K,
+    "op11_decontamination": DECONTAMINATION,
+}
