@@ -17,8 +17,10 @@ from trendlake.llm import (
     quality_rules,
     repeats,
     simhash,
+    spelling,
     token_counts,
     topk,
+    vector_codes,
 )
 from trendlake.llm.common import table, word_count
 from trendlake.llm.sql import SQL  # noqa: F401
@@ -119,6 +121,41 @@ def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(index, decontamination.phrases_of(table(spark, sf_dir, "benchmark")))
 
 
+def slipped_words(docs: DataFrame, every: int = 199) -> DataFrame:
+    """A ``word`` per run of letters; where ``every`` divides the run's checksum one letter is missing. A null doc_id is empty."""
+    run = F.explode(spelling.runs_of("text"))
+    summed = docs.select("doc_id", run.alias("run")).withColumn(
+        "h", F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("run")))
+    )
+    at = (F.col("h") % F.length("run")).cast("int")
+    cut = F.concat(F.substr("run", F.lit(1), at), F.substr("run", at + 2))
+    return summed.select(F.when(F.col("h") % every == 0, cut).otherwise(F.col("run")).alias("word"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word of the documents with its most frequent neighbour and the root of its group."""
+    words = spelling.count_words(slipped_words(table(spark, sf_dir, "documents")), 6, 5)
+    return spelling.variant_groups(words, 5)
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of four parts for every vector, with errors and the codebooks' digest."""
+    rows = table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), "label", topk.whole_numbers(F.col("embedding"), 1024).alias("v")
+    )
+    vectors, length = vector_codes.filled(rows, 4)
+    books = vector_codes.train(vectors, length, parts=4, entries=256, rounds=4)
+    coded = materialize(vector_codes.encode(vectors, books), "vector-codes")
+    hexadecimal = F.array_join(F.transform("code", lambda c: F.lower(F.lpad(F.hex(c), 2, "0"))), "")
+    return vector_codes.group_errors(coded, "label", "label_error").select(
+        F.col("id").alias("vec_id"),
+        hexadecimal.alias("code"),
+        "error",
+        "label_error",
+        F.lit(vector_codes.digest(books)).alias("codebooks_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_packing": op2_packing,
@@ -131,4 +168,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_repeats": op9_repeats,
     "op10_top_k": op10_top_k,
     "op11_decontamination": op11_decontamination,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_vector_codes": op13_vector_codes,
 }

@@ -127,9 +127,97 @@ select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items,
 from doc_words left join hit using (row) left join items using (row)
 """
 
+SPELLING = r"""
+with recursive crc_bytes as (
+    select list(c order by n) as crc from (
+        select n, list_reduce(list_prepend(n, range(8)), lambda c, k:
+            case when c & 1 = 1 then xor(3988292384::bigint, c >> 1) else c >> 1 end) as c
+        from (select unnest(range(256)) as n)
+    )
+), runs as (
+    select coalesce(doc_id::varchar, '') || ':' || run as keyed, run, count(*) as times from (
+        select doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{00C0}-\x{00FF}]+')) as run from documents
+    ) group by all
+), summed as (
+    select run, times, xor(4294967295::bigint, list_reduce(list_prepend(4294967295::bigint,
+        list_transform(range(0, octet_length(encode(keyed))), lambda i: ('0x' || substr(hex(encode(keyed)), 2 * i + 1, 2))::bigint)),
+        lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1]))) as h
+    from runs, crc_bytes
+), words as materialized (
+    select word, sum(times)::bigint as n from (
+        select times, case when h % 199 = 0 then left(run, h % length(run)) || substr(run, h % length(run) + 2) else run end as word
+        from summed
+    ) where length(word) >= 6 group by word having sum(times) >= 5
+), holes as (
+    select word, n, i, left(word, i - 1) as head, substr(word, i + 1) as tail
+    from (select word, n, unnest(range(1, length(word) + 1)) as i from words)
+), pairs as (
+    select a.word, b.word as near, b.n as near_n from holes a join holes b
+        on a.head = b.head and a.tail = b.tail and a.word <> b.word
+    union select a.word, b.word, b.n from holes a join words b on a.head || a.tail = b.word
+    union select b.word, a.word, a.n from holes a join words b on a.head || a.tail = b.word
+), best as (
+    select word, count(*) as n_near, arg_min(near, (-near_n, near)) as near, max(near_n) as near_n from pairs group by word
+), forms as materialized (
+    select words.word, n, coalesce(n_near, 0) as n_near, case when near_n >= 5 * n then near end as form,
+        case when near_n >= 5 * n then near_n end as form_n
+    from words left join best using (word)
+), ways as (
+    select word, word as root from forms where form is null
+    union all select f.word, w.root from forms f join ways w on f.form = w.word
+)
+select word, form, root, n, n_near, form_n from forms join ways using (word)
+"""
+
+
+def _assigned(round: int) -> str:
+    return f"""assigned_{round} as materialized (
+    select row, part, v, arg_min(entry, d * 1024 + entry) as entry, min(d) as d from (
+        select row, part, v, entry, (list_dot_product(v, v) - 2 * list_dot_product(v, c) + list_dot_product(c, c))::bigint as d
+        from parts join book_{round} using (part)
+    ) group by row, part, v
+)"""
+
+
+def _next_book(round: int) -> str:
+    return f"""places_{round} as (
+    select part, entry, place, sum(x)::bigint as s, count(*) as n from (
+        select part, entry, unnest(range(1, len(v) + 1)) as place, unnest(v)::bigint as x from assigned_{round}
+    ) group by all
+), book_{round + 1} as materialized (
+    select part, entry, coalesce(m, c) as c from book_{round} left join (
+        select part, entry, list(((s - ((s % n) + n) % n) // n)::double order by place) as m from places_{round} group by all
+    ) using (part, entry)
+)"""
+
+
+VECTOR_CODES = f"""
+with kept as (
+    select *, row_number() over (order by vec_id, whole) as row from (
+        select vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::double)) as whole from embeddings
+        where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    )
+), parts as materialized (
+    select row, part, whole[part * (len(whole) // 4) + 1:(part + 1) * (len(whole) // 4)] as v
+    from kept, (select unnest(range(4)) as part)
+), book_0 as materialized (
+    select part, row - 1 as entry, v as c from parts where row <= 256
+), {", ".join(_assigned(r) + ", " + _next_book(r) for r in range(4))}, {_assigned(4)}, digested as (
+    select sha256(string_agg(array_to_string(list_transform(c, lambda x: x::bigint), ','), ',' order by part, entry)) as codebooks_sha256
+    from book_4
+), coded as (
+    select row, string_agg(lower(lpad(to_hex(entry), 2, '0')), '' order by part) as code, sum(d)::bigint as error from assigned_4 group by row
+)
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, codebooks_sha256
+from kept join coded using (row), digested
+"""
+
 SQL = {
     "op1_quality_rules": QUALITY_RULES,
     "op8_mixing": MIXING,
     "op10_top_k": TOP_K,
     "op11_decontamination": DECONTAMINATION,
+    "op12_spelling_variants": SPELLING,
+    "op13_vector_codes": VECTOR_CODES,
 }
