@@ -103,3 +103,27 @@ def test_empty_table_and_plan(no_documents, plan):
     got = no_documents.select(pii.pseudonymize(F.col("text"), KEY).alias("text"))
     assert got.isEmpty()
     assert "Python" not in plan(got)
+
+
+def test_words_and_numbers_behind_a_value_are_no_part_of_it(spark):
+    bare = ["ES9121000418450200051332", "ES91 2100 0418 4502 0005 1332", "NO93 8601 1117 947", "4111 1111 1111 1111", "4111-1111-1111-1111"]
+    alone = run(spark, bare)
+    assert all(a != b for a, b in zip(alone, bare, strict=True))
+    for tail in (" PAGO", " BIC CAIXESBB", " 2024", " ABCD 1234", ", NOW"):
+        followed = run(spark, [v + tail for v in bare[:3]])
+        assert followed == [a + tail for a in alone[:3]]
+    for tail in (" 12", " 2024", "-7", " EUR"):
+        assert run(spark, [v + tail for v in bare[3:]]) == [a + tail for a in alone[3:]]
+
+
+def test_nineteen_digits_in_groups_stay_one_number(spark):
+    grouped, plain = run(spark, ["6304 0000 0000 0000 000", "6304000000000000000"])
+    assert re.sub(" ", "", grouped) == plain and plain[:16] != "6304000000000000"
+
+
+@pytest.mark.parametrize("length,names", pii.IBAN_LENGTHS.items())
+def test_every_listed_country(length, names):
+    for name in names.split():
+        value = name + "00" + "1" * (length - 4)
+        found = re.search(pii.IBAN, f"x {value} ABCD 12")
+        assert found and found[0] == value

@@ -40,7 +40,39 @@ TEXT_CLASSES = (
 HEX_CLASSES = ("0123456789abcdef",)
 
 MAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}"
-IBAN = r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])"
+#: The length of the account numbers of each country in the IBAN registry.
+IBAN_LENGTHS = {
+    15: "NO",
+    16: "BE",
+    18: "DK FK FO FI GL NL SD",
+    19: "MK SI",
+    20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST",
+    26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA",
+    30: "JO KW MU YE",
+    31: "MT SC",
+    32: "LC",
+    33: "RU",
+}
+
+
+def _iban() -> str:
+    """Numbers of known countries end at their length, so that no word or number behind them is taken in."""
+    known = [
+        f"(?:{'|'.join(names.split())})[0-9]{{2}}(?: ?[A-Z0-9]){{{length - 4}}}(?![0-9A-Za-z])"
+        for length, names in IBAN_LENGTHS.items()
+    ]
+    return rf"(?<![0-9A-Za-z])(?:{'|'.join(known)}|[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?(?![0-9A-Za-z]))"
+
+
+IBAN = _iban()
 ISO_DATE = r"(?<![0-9A-Za-z.-])[0-9]{4}(?:-[0-9]{2}-[0-9]{2}|/[0-9]{2}/[0-9]{2})(?![0-9A-Za-z-])"
 DAY_FIRST = r"(?<![0-9A-Za-z./])[0-9]{1,2}(?:/[0-9]{1,2}/|\.[0-9]{1,2}\.)[0-9]{4}(?![0-9A-Za-z])"
 IPV4 = r"(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])"
@@ -49,7 +81,11 @@ PHONE = (
     r"(?:(?<![0-9A-Za-z+])\+[0-9](?:[ ().-]{0,2}[0-9]){6,14}|(?<![0-9A-Za-z])\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}"
     r"|(?<![0-9A-Za-z.-])[0-9]{3}([.-])[0-9]{3}\1[0-9]{4})(?![0-9A-Za-z])"
 )
-ACCOUNT = r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])"
+#: Four groups of four digits are a number by themselves, unless a fifth group of three makes nineteen.
+ACCOUNT = (
+    r"(?<![0-9A-Za-z])(?:[0-9]{4}(?:[ -][0-9]{4}){3}(?![0-9A-Za-z]|[ -][0-9]{3}(?![0-9A-Za-z]))"
+    r"|[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z]))"
+)
 SECRET = r"(?<=[\"'=:])[0-9a-fA-F]{32,128}(?![0-9A-Za-z])"
 #: In order of precedence.
 KINDS = {
