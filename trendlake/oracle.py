@@ -445,5 +445,19 @@ select {CANONICAL.replace("comments_disabled, ratings_disabled, video_error_or_r
 from raw""",
     "incremental_available_now": f"{TO_DOCUMENTS} select {API_STORED} from silver",
     "upsert_latest": f"{TO_SILVER} select {STORED} from silver",
+    "gold_incremental": f"""{TO_DOCUMENTS}, {LOOKUP}, {named('silver')},
+trending as ({TRENDING % 'silver'}), channel as ({CHANNEL}), category as ({CATEGORY})
+select 'trending_analytics' as table_name, region, trending_date_parsed as day, unique_categories::varchar as key,
+  total_videos as rows, total_views, unique_channels as distinct_count, avg_like_ratio as mean, null::double as place
+from trending
+union all select 'channel_analytics', region, first_trending, channel_title || ':' || categories,
+  times_trending, total_views, total_videos, avg_engagement_rate, rank_in_region::double from channel
+union all select 'category_analytics', region, trending_date_parsed, category_name,
+  video_count, total_views, unique_channels, avg_engagement_rate, view_share_pct from category""",
+    "partial_rebuild": f"{TO_DOCUMENTS}, {LOOKUP}, {named('silver')} {CATEGORY}",
+    "table_switched": f"""{TO_SILVER}
+select 'now' as state, region, count(*) as row_count, (3 * sum(views))::bigint as views
+from silver where region in ('asia', 'europe') group by region
+union all select 'before', region, count(*), sum(views)::bigint from silver group by region""",
     "gold_after_gate": f"{TO_DOCUMENTS}, {LOOKUP}, {named('silver')} {CATEGORY}",
 }

@@ -1,10 +1,12 @@
 """Cleansed statistics to the three report tables.
 
-Totals per category and day serve both the regional and the category table; the channel table
-needs videos, so it has an aggregate of its own. Distinct counts are spread over the distinct
-values first, and every grouping is combined within each task before the shuffle: a region, day
-or channel with a third of all rows costs no more than others. Category names are joined to
-grouped rows only.
+A table by itself is built from one or two aggregates of silver. All three together are built from one stored base, a row
+per region, day, category and channel: distinct channels of a category's day are rows there, those of a day distinct rows,
+and all sums merge, so that only a channel's distinct videos need a second scan of silver. Bitmaps over numbered ids would
+merge too, but one has 4 kB per channel and day, where most channels have few videos.
+
+Distinct counts are spread over the distinct values first, and every grouping is combined within each task before the shuffle: a
+region, day or channel with a third of all rows costs no more than others. Category names are joined to grouped rows only.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from trendlake.operators.ranking import number_rows, share_of_group
 from trendlake.shared import materialize
 
 DAY = ("region", "trending_date_parsed")
+CHANNEL = ("channel_title", "region")
 
 # The statistics columns that reports are made of.
 COLUMNS_READ = (
@@ -45,7 +48,6 @@ CATEGORY_TOTALS = {
     "total_likes": "likes",
     "total_comments": "comment_count",
 }
-CHANNEL_TOTALS = CATEGORY_TOTALS
 # What a region's day adds up from its categories: the totals, and the parts of means.
 DAY_TOTALS = {
     "total_videos": "video_count",
@@ -61,7 +63,7 @@ def _known_name(df: DataFrame) -> list[str]:
     return [name for name in ("category_name",) if name in df.columns]
 
 
-def _stamped(df: DataFrame, as_of: datetime | None) -> DataFrame:
+def stamped(df: DataFrame, as_of: datetime | None) -> DataFrame:
     return df.withColumn("_aggregated_at", clock(as_of))
 
 
@@ -139,7 +141,7 @@ def channel_totals(stats: DataFrame) -> DataFrame:
     """One row per channel and region, without the channel's categories."""
     return stats.groupBy("channel_title", "region").agg(
         F.count_distinct("video_id").alias("total_videos"),
-        *(F.sum(part).alias(name) for name, part in CHANNEL_TOTALS.items()),
+        *(F.sum(part).alias(name) for name, part in CATEGORY_TOTALS.items()),
         F.try_divide(F.sum("views"), F.count("views")).alias("avg_views_per_video"),
         fixed_point_mean(
             F.sum(fixed_point(F.col("engagement_rate"))), F.count("engagement_rate")
@@ -170,30 +172,93 @@ def channel_categories(stats: DataFrame, lookup: DataFrame | None = None) -> Dat
 
 def unranked_channels(stats: DataFrame, lookup: DataFrame | None = None) -> DataFrame:
     names = channel_categories(stats, lookup)
-    return _null_safe_join(channel_totals(stats), names, ("channel_title", "region"))
+    return _null_safe_join(channel_totals(stats), names, CHANNEL)
+
+
+def channel_category_days(stats: DataFrame) -> DataFrame:
+    """Totals per region, day, category and channel: the base of all three tables."""
+    typed = stats.withColumn("category_id", pick(stats, "category_id", "bigint"))
+    return typed.groupBy(*DAY, "category_id", *_known_name(stats), "channel_title").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count("video_id").alias("video_count"),
+        *(F.sum(column).alias(name) for name, column in CATEGORY_TOTALS.items()),
+        F.sum("dislikes").alias("total_dislikes"),
+        F.count("views").alias("views_n"),
+        F.max("views").alias("max_views"),
+        F.sum(fixed_point(F.col("like_ratio"))).alias("like_ratio"),
+        F.count("like_ratio").alias("like_ratio_n"),
+        F.sum(fixed_point(F.col("engagement_rate"))).alias("engagement"),
+        F.count("engagement_rate").alias("engagement_n"),
+    )
+
+
+def channel_videos(stats: DataFrame, approximate: float | None = None) -> DataFrame:
+    """Distinct videos per channel and region; ``approximate`` is the relative error of a sketch that counts instead."""
+    counted = (
+        F.count_distinct("video_id")
+        if approximate is None
+        else F.approx_count_distinct("video_id", approximate)
+    )
+    return stats.groupBy(*CHANNEL).agg(counted.alias("total_videos"))
+
+
+def day_tables(base: DataFrame, lookup: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """The regional and the category table from :func:`channel_category_days`."""
+    merged = (*CATEGORY_TOTALS, "video_count", "total_dislikes", "views_n", "like_ratio", "like_ratio_n", "engagement", "engagement_n")
+    by_category = materialize(
+        base.groupBy(*DAY, "category_id", *_known_name(base)).agg(
+            *(F.sum(name).alias(name) for name in merged),
+            F.max("max_views").alias("max_views"),
+            # A row per channel: none counts twice.
+            F.count("channel_title").alias("unique_channels"),
+        ),
+        "category-days",
+    )
+    return trending_by_day(by_category, channel_days(base)), categories_by_day(by_category, lookup)
+
+
+def channels_of(base: DataFrame, videos: DataFrame, lookup: DataFrame | None = None) -> DataFrame:
+    """One row per channel and region from :func:`channel_category_days` and :func:`channel_videos`, without rank."""
+    # Of rows without a day none counts as a day of trending.
+    dated = F.when(F.col("trending_date_parsed").isNotNull(), F.col("rows")).otherwise(0)
+    totals = base.groupBy(*CHANNEL).agg(
+        *(F.sum(name).alias(name) for name in CATEGORY_TOTALS),
+        F.try_divide(F.sum("total_views"), F.sum("views_n")).alias("avg_views_per_video"),
+        fixed_point_mean(F.sum("engagement"), F.sum("engagement_n")).alias("avg_engagement_rate"),
+        F.max("max_views").alias("peak_views"),
+        F.sum(dated).alias("times_trending"),
+        F.min("trending_date_parsed").alias("first_trending"),
+        F.max("trending_date_parsed").alias("last_trending"),
+    )
+    counted = _null_safe_join(totals, videos, CHANNEL)
+    columns = [*CHANNEL, "total_videos", *totals.columns[2:]]
+    return _null_safe_join(counted.select(*columns), channel_categories(base, lookup), CHANNEL)
 
 
 def trending_analytics(stats: DataFrame, as_of: datetime | None = None) -> DataFrame:
-    return _stamped(trending_by_day(category_days(stats), channel_days(stats)), as_of)
+    return stamped(trending_by_day(category_days(stats), channel_days(stats)), as_of)
 
 
 def category_analytics(
     stats: DataFrame, lookup: DataFrame | None = None, as_of: datetime | None = None
 ) -> DataFrame:
-    return _stamped(categories_by_day(category_days(stats), lookup), as_of)
+    return stamped(categories_by_day(category_days(stats), lookup), as_of)
 
 
 def channel_analytics(
     stats: DataFrame, lookup: DataFrame | None = None, as_of: datetime | None = None
 ) -> DataFrame:
     """Channels per region, numbered by views; equal views go by channel title."""
-    ranked = number_rows(
-        unranked_channels(stats, lookup),
+    return stamped(ranked(unranked_channels(stats, lookup)), as_of)
+
+
+def ranked(channels: DataFrame) -> DataFrame:
+    return number_rows(
+        channels,
         ["region"],
         [F.col("total_views").desc_nulls_last(), F.col("channel_title").asc_nulls_first()],
         "rank_in_region",
     )
-    return _stamped(ranked, as_of)
 
 
 @dataclass(frozen=True)
@@ -206,15 +271,24 @@ class Gold:
         return dict(vars(self))
 
 
-def build_gold(
-    stats: DataFrame, lookup: DataFrame | None = None, as_of: datetime | None = None
+def gold_of(
+    base: DataFrame, videos: DataFrame, lookup: DataFrame | None = None, as_of: datetime | None = None
 ) -> Gold:
-    """All three tables. The rows two of them share, a few per region and day, are stored."""
-    by_category = materialize(category_days(stats), "category-days")
+    """All three tables from a stored :func:`channel_category_days` and :func:`channel_videos`."""
+    trending, category = day_tables(base, lookup)
     return Gold(
-        trending_analytics=_stamped(
-            trending_by_day(by_category, channel_days(stats)), as_of
-        ),
-        channel_analytics=channel_analytics(stats, lookup, as_of),
-        category_analytics=_stamped(categories_by_day(by_category, lookup), as_of),
+        trending_analytics=stamped(trending, as_of),
+        channel_analytics=stamped(ranked(channels_of(base, videos, lookup)), as_of),
+        category_analytics=stamped(category, as_of),
     )
+
+
+def build_gold(
+    stats: DataFrame,
+    lookup: DataFrame | None = None,
+    as_of: datetime | None = None,
+    approximate: float | None = None,
+) -> Gold:
+    """All three tables by two scans of the statistics; ``approximate`` as in :func:`channel_videos`."""
+    base = materialize(channel_category_days(stats), "channel-category-days")
+    return gold_of(base, channel_videos(stats, approximate), lookup, as_of)

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendlake import schemas
@@ -24,13 +26,21 @@ from trendlake.operators.quality import (
     require_quality,
     run_checks,
 )
-from trendlake.plans.gold import build_gold
+from trendlake.plans.maintenance import BASE, maintain_gold, rebuild_gold, statistics_checkpoints
 from trendlake.plans.silver import (
     build_silver_reference,
     build_silver_statistics,
     require_items,
 )
-from trendlake.sinks.tables import land_raw, stored_rows, write_partitions
+from trendlake.sinks.tables import (
+    create_external,
+    finish_replacement,
+    land_raw,
+    replace_table,
+    stored_rows,
+    table_location,
+    write_partitions,
+)
 from trendlake.sources.categories import category_items, read_category_documents
 from trendlake.sources.documents import LANDING_FOLDERS, misplaced_files
 from trendlake.sources.statistics import (
@@ -112,11 +122,12 @@ def refresh_silver(
 ) -> None:
     """Build both silver tables from all raw files.
 
-    Without any raw statistics nothing is written.
+    Without any raw statistics nothing is written. With ``regions`` only days that their
+    raw files hold are replaced; other days and regions stay as they are.
     """
     items = category_items(read_category_documents(spark, lake.raw_reference))
     reference = build_silver_reference(require_items(items), as_of)
-    write_partitions(reference, lake.reference, whole=True)
+    replace_table(reference, lake.reference)
     raw = [
         only_regions(df, regions)
         for df in (
@@ -127,7 +138,10 @@ def refresh_silver(
     if all(df.isEmpty() for df in raw):
         return
     statistics = build_silver_statistics(*raw, as_of=as_of)
-    write_partitions(statistics, lake.statistics, STATISTICS_PARTITIONS, whole=True)
+    if regions is None:
+        replace_table(statistics, lake.statistics, STATISTICS_PARTITIONS)
+    else:
+        write_partitions(statistics, lake.statistics, STATISTICS_PARTITIONS)
 
 
 def update_silver(
@@ -168,16 +182,18 @@ def silver_frames(spark: SparkSession, lake: Lake) -> dict[str, DataFrame | None
 
 
 def write_gold(
-    spark: SparkSession, lake: Lake, as_of: datetime | None = None
+    spark: SparkSession, lake: Lake, as_of: datetime | None = None, checkpoint: str | None = None
 ) -> dict[str, int]:
-    """Build and write the report tables; their stored row counts."""
+    """Build and write the report tables; their stored row counts. With the ``checkpoint`` of an incremental load
+    only what its new rows touched is built."""
     silver = silver_frames(spark, lake)
-    gold = build_gold(
-        silver["clean_statistics"], category_lookup(silver["clean_reference_data"]), as_of
-    )
-    for name, df in gold.tables().items():
-        write_partitions(df, lake.path(name), whole=True)
-    return {name: stored_rows(spark, lake.path(name)) for name in gold.tables()}
+    lookup = category_lookup(silver["clean_reference_data"])
+    if checkpoint is None:
+        rebuild_gold(spark, lake.path, silver["clean_statistics"], lookup, as_of)
+    else:
+        progress = statistics_checkpoints(f"{checkpoint}/statistics")
+        maintain_gold(spark, lake.path, silver["clean_statistics"], lookup, progress, as_of)
+    return {name: stored_rows(spark, lake.path(name)) for name in GOLD}
 
 
 def run_lake(
@@ -201,6 +217,8 @@ def run_lake(
     :class:`~trendlake.operators.quality.QualityGateError` is raised. ``regions`` are those the
     ingest summary expects.
     """
+    for table in (lake.statistics, lake.reference, lake.path(BASE), *map(lake.path, GOLD)):
+        finish_replacement(spark, table)
     for landed in documents:
         land_raw(landed, lake.raw_statistics, lake.landing)
     for landed in category_documents:
@@ -225,7 +243,7 @@ def run_lake(
     if database is not None:
         register_tables(spark, lake, database)
     require_quality(checks)
-    rows = write_gold(spark, lake, as_of)
+    rows = write_gold(spark, lake, as_of, checkpoint)
     if database is not None:
         register_tables(spark, lake, database)
     return RunReport(
@@ -245,6 +263,18 @@ def stored(lake: Lake, name: str, report: DataFrame) -> DataFrame:
     return report.sparkSession.read.schema(report.schema).parquet(lake.path(name))
 
 
+def _forget(spark: SparkSession, name: str, path: str) -> None:
+    """Drop the catalog's entry of a table at ``path``. A table of that name elsewhere, or one that the catalog manages and
+    would delete, is the user's."""
+    if not spark.catalog.tableExists(name):
+        return
+    kind = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Type'").first()
+    location = table_location(spark, name) if kind and kind["data_type"] == "EXTERNAL" else None
+    if location is None or urlsplit(location).path.rstrip("/") != urlsplit(path).path.rstrip("/"):
+        raise ValueError(f"{name} is a table of its own, not {path}; choose another database")
+    spark.sql(f"DROP TABLE {name}")
+
+
 def register_tables(spark: SparkSession, lake: Lake, database: str) -> list[str]:
     """Make the tables that are stored so far available to SQL as ``database.table``; their names."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
@@ -253,16 +283,11 @@ def register_tables(spark: SparkSession, lake: Lake, database: str) -> list[str]
         if stored_table(spark, lake.path(table), T.StructType()) is None:
             continue
         name = f"{database}.{table}"
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        _forget(spark, name, lake.path(table))
         known = {"clean_statistics": schemas.CLEAN_STATISTICS, "clean_reference_data": schemas.CLEAN_REFERENCE}
         partitions = {"clean_statistics": STATISTICS_PARTITIONS}.get(table, ("region",))
         if table in known:
-            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in known[table].fields)
-            spark.sql(
-                f"CREATE TABLE {name} ({columns}) USING parquet OPTIONS (path '{lake.path(table)}')"
-                f" PARTITIONED BY ({', '.join(partitions)})"
-            )
-            spark.catalog.recoverPartitions(name)
+            create_external(spark, name, known[table], lake.path(table), partitions)
         else:
             spark.catalog.createTable(name, path=lake.path(table), source="parquet")
             if table in GOLD:

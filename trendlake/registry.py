@@ -21,7 +21,7 @@ from trendlake.plans.run import Lake, run_lake
 from trendlake.plans.silver import build_silver_reference, build_silver_statistics
 from trendlake.schemas import COUNT_COLUMNS, INGESTED_AT, VIDEO_DAY_KEY
 from trendlake.shared import materialize, new_folder
-from trendlake.sinks.tables import land_raw, write_partitions, write_table
+from trendlake.sinks.tables import land_raw, switch_table, write_partitions, write_table
 from trendlake.sources.categories import LANDED_AT, POSITION, read_categories
 from trendlake.sources.documents import FILE_TIME, SOURCE_FILE
 from trendlake.sources.statistics import read_stats_csv, read_stats_json, read_video_documents
@@ -663,6 +663,75 @@ def gold_rebuilt_with_less(spark, sf):
     return shown(spark.read.parquet(lake.path("category_analytics")))
 
 
+def gold_rows(spark, lake):
+    """Rows of all three report tables in one shape."""
+
+    def part(table, day, key, *values):
+        df = spark.read.parquet(lake.path(table))
+        names = ("rows", "total_views", "distinct_count", "mean", "place")
+        return df.select(
+            F.lit(table).alias("table_name"), "region", day.alias("day"), key.alias("key"),
+            *(value.alias(name) for name, value in zip(names, values, strict=True)),
+        )
+
+    trending = part(
+        "trending_analytics", F.col("trending_date_parsed"), F.col("unique_categories").cast("string"),
+        F.col("total_videos"), F.col("total_views"), F.col("unique_channels"), F.col("avg_like_ratio"), F.lit(None).cast("double"),
+    )
+    channel = part(
+        "channel_analytics", F.col("first_trending"), F.concat_ws(":", "channel_title", F.concat_ws("|", "categories")),
+        F.col("times_trending"), F.col("total_views"), F.col("total_videos"), F.col("avg_engagement_rate"),
+        F.col("rank_in_region").cast("double"),
+    )
+    category = part(
+        "category_analytics", F.col("trending_date_parsed"), F.col("category_name"),
+        F.col("video_count"), F.col("total_views"), F.col("unique_channels"), F.col("avg_engagement_rate"), F.col("view_share_pct"),
+    )
+    return trending.union(channel).union(category)
+
+
+def lake_with_names(spark, sf, label):
+    """A lake with category documents landed, and the event documents to land."""
+    lake = Lake(new_folder(spark, label), FOLDERS)
+    names = documents.envelope(adapters.nation_documents(spark, sf), "nation", AS_OF, count_items=False)
+    land_raw(names, lake.raw_reference, partition_by=("region", "date"))
+    return lake, documents_of(spark, sf)
+
+
+@query
+def gold_incremental(spark, sf):
+    """Two incremental runs: the second builds the days of its own documents only, which are older, and the channels in them."""
+    lake, docs = lake_with_names(spark, sf, "maintained")
+    newer = F.to_timestamp("_pipeline_metadata.ingestion_timestamp") >= "2024-01-21"
+    for part in (docs.filter(newer), docs.filter(~newer)):
+        run_lake(spark, lake, documents=[part], checkpoint=lake.path("progress"), as_of=AS_OF)
+    return gold_rows(spark, lake)
+
+
+@query
+def partial_rebuild(spark, sf):
+    """A rebuild of one region from raw files that hold a part of their documents: other regions stay as they were."""
+    lake, docs = lake_with_names(spark, sf, "partial")
+    run_lake(spark, lake, documents=[docs], as_of=AS_OF)
+    fewer = docs.filter(F.to_timestamp("_pipeline_metadata.ingestion_timestamp") >= "2024-01-16")
+    land_raw(fewer, lake.raw_statistics, FOLDERS, mode="overwrite")
+    run_lake(spark, lake, only_from=["asia"], as_of=AS_OF)
+    return shown(spark.read.parquet(lake.path("category_analytics")))
+
+
+@query
+def table_switched(spark, sf):
+    """A catalog table replaced as a whole by fewer partitions, read by name, beside what it held before."""
+    name = own_table(spark, "switched")
+    rows = silver(spark, sf).select(*VIDEO_DAY_KEY, "views")
+    write_table(rows, name, path=f"{new_folder(spark, 'switched')}/first")
+    switch_table(only_regions(rows, PRUNED_REGIONS).withColumn("views", F.col("views") * 3), name)
+    return spark.sql(
+        f"SELECT 'now' AS state, region, count(*) AS row_count, sum(views) AS views FROM {name} GROUP BY region"
+        f" UNION ALL SELECT 'before', region, count(*), sum(views) FROM {name}__before GROUP BY region"
+    )
+
+
 @query
 def gold_after_gate(spark, sf):
     """The whole run on files: landing, both silver tables, checks, gate, reports."""

@@ -157,3 +157,6 @@ CHECK_RESULT = struct(
     passed=FLAG,
     message=TEXT,
 )
+
+# The kinds of raw statistics files, each with progress of its own.
+RAW_KINDS = ("documents", "bulk")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trendlake.sources.documents import LANDING_FOLDERS
 
@@ -52,6 +55,106 @@ def write_partitions(
     )
 
 
+# What is known of a replacement: its rows once they are staged in full, and whether they are published.
+NOTE = "rows long, published boolean, partition_by array<string>"
+
+
+def _staged(path: str) -> str:
+    return f"{path.rstrip('/')}__replacement"
+
+
+def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ("region",)) -> int:
+    """Replace the whole table at ``path`` by ``df``, so that a failure doesn't lose it; the rows written.
+
+    The new rows are written beside the table and counted first: until that is done the old ones stay as they are. Then they are
+    published and counted again. If publishing is cut short, the staged rows are complete, and
+    :func:`finish_replacement`, or the next replacement, puts the table right. In a catalog :func:`switch_table` does
+    without publishing.
+    """
+    spark, staged = df.sparkSession, _staged(path)
+    _note(spark, staged, -1, partition_by)
+    write_partitions(df, f"{staged}/rows", partition_by, whole=True)
+    stored = spark.read.schema(df.schema).parquet(f"{staged}/rows")
+    _note(spark, staged, stored.count(), partition_by)
+    return _publish(stored, path, partition_by, staged)
+
+
+def _note(spark: SparkSession, staged: str, rows: int, partition_by: Sequence[str]) -> None:
+    noted = spark.createDataFrame([(rows, rows < 0, list(partition_by))], NOTE)
+    noted.coalesce(1).write.mode("overwrite").json(f"{staged}/note")
+
+
+def _publish(stored: DataFrame, path: str, partition_by: Sequence[str], staged: str) -> int:
+    spark = stored.sparkSession
+    # Brought together when staged: publishing needs no shuffle.
+    write_partitions(stored, path, partition_by, rebalance=False, whole=True)
+    wanted = stored.count()
+    found = spark.read.schema(stored.schema).parquet(path).count()
+    if found != wanted:
+        raise OSError(f"{path} holds {found} rows of {wanted}; the complete ones are in {staged}")
+    _note(spark, staged, -1, partition_by)
+    return found
+
+
+def finish_replacement(spark: SparkSession, path: str) -> bool:
+    """Publish what a replacement that was cut short has staged in full; whether there was any."""
+    staged = _staged(path)
+    try:
+        note = spark.read.schema(NOTE).json(f"{staged}/note").first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    if note is None or note.published:
+        return False
+    # Partition values as text, so that they are written as they were.
+    found = spark.read.parquet(f"{staged}/rows").schema
+    schema = T.StructType([T.StructField(f.name, T.StringType() if f.name in note.partition_by else f.dataType) for f in found])
+    stored = spark.read.schema(schema).parquet(f"{staged}/rows")
+    if stored.count() != note.rows:
+        return False
+    _publish(stored, path, note.partition_by, staged)
+    return True
+
+
+def create_external(
+    spark: SparkSession, name: str, schema: T.StructType, path: str, partition_by: Sequence[str]
+) -> None:
+    """A catalog table over folders that exist, with declared types: a partition value like 01 stays text."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}) USING parquet OPTIONS (path '{path}')"
+        f" PARTITIONED BY ({', '.join(partition_by)})"
+    )
+    spark.catalog.recoverPartitions(name)
+
+
+def switch_table(df: DataFrame, name: str, partition_by: Sequence[str] = ("region",)) -> str:
+    """Replace a catalog table by ``df``; the new folder.
+
+    The rows are written to a new folder beside the table's, registered under another name and counted there; until then a failure
+    leaves the table as it is. Then the two names are switched in the catalog, without moving rows. The table as it
+    was stays as ``name__before``, for readers that are under way and for a way back, until the next switch. (Setting a new location
+    for the old entry isn't enough: partitions of the catalog keep the location they were added with.)
+    """
+    spark = df.sparkSession
+    folder = table_location(spark, name).rstrip("/").rsplit("/", 1)[0]
+    path = f"{folder}/{name.rsplit('.', 1)[-1]}-{uuid.uuid4().hex}"
+    before, coming = f"{name}__before", f"{name}__coming"
+    counted, seen = count_on_write(df)
+    write_partitions(counted, path, partition_by, whole=True)
+    spark.sql(f"DROP TABLE IF EXISTS {coming}")
+    create_external(spark, coming, df.schema, path, partition_by)
+    # A stage that ran twice is counted twice, never less than once.
+    rows, written = spark.table(coming).count(), seen.get["rows"]
+    if rows > written or (written and not rows):
+        raise OSError(f"{path} holds {rows} rows of {written}; {name} is unchanged")
+    spark.sql(f"DROP TABLE IF EXISTS {before}")
+    spark.sql(f"ALTER TABLE {name} RENAME TO {before}")
+    spark.sql(f"ALTER TABLE {coming} RENAME TO {name}")
+    return path
+
+
 def table_location(spark: SparkSession, name: str) -> str:
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
     return described.filter("col_name = 'Location'").first()["data_type"]

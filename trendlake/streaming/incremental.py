@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from trendlake import schemas
 from trendlake.operators.cleanse import cleanse, clock, with_audit
 from trendlake.operators.normalize import unify
+from trendlake.plans.maintenance import record_touched
 from trendlake.plans.silver import (
     STATISTICS_JOB,
     build_silver_reference,
@@ -67,7 +68,7 @@ def statistics_upsert(
 ) -> Callable[[DataFrame, int], None]:
     """A batch handler that merges raw statistics rows into clean_statistics.
 
-    The newest row of a video-day wins, however late it arrives. The partition columns have
+    The newest row of a video-day wins, however late it arrives. The days touched are recorded for the report tables. The partition columns have
     to be part of the key; with the day among them, a batch rewrites the days it touches and
     not whole regions.
     """
@@ -78,7 +79,9 @@ def statistics_upsert(
     def handle(batch: DataFrame, batch_id: int) -> None:
         rows = cleanse(unify(batch, run_time=clock(as_of), carry=newest_first))
         new = with_audit(resolve(rows), STATISTICS_JOB, as_of)
-        merge_partitions(new, path, partition_by, resolve, staging(checkpoint), batch_id)
+        arrived = merge_partitions(new, path, partition_by, resolve, staging(checkpoint), batch_id)
+        # After publishing: a batch that died before is made again, and leaves its record then.
+        record_touched(arrived, checkpoint, batch_id)
 
     return handle
 

@@ -65,7 +65,7 @@ def merge_partitions(
     resolve: Callable[[DataFrame], DataFrame],
     stage: str,
     batch_id: int,
-) -> None:
+) -> DataFrame:
     """Merge ``new`` into the partitions it touches; ``resolve`` settles rows of equal key.
 
     The merged partitions are written to a staging folder first and published from there. If
@@ -73,6 +73,7 @@ def merge_partitions(
     of merging with a half-replaced table. Two staging folders take turns, as only the last
     batch is ever retried. ``stage`` has to live and die with the progress that numbers the batches:
     keep it inside of the checkpoint folder. Columns that only the stored table has are kept.
+    Returns the rows of ``new``, as staged.
     """
     spark = new.sparkSession
     slot = f"{stage}/slot-{batch_id % 2}"
@@ -90,6 +91,7 @@ def merge_partitions(
     if staged is not None:
         # Brought together when staged: publishing needs no shuffle.
         write_partitions(staged, path, partition_by, rebalance=False)
+    return spark.read.schema(new.schema).parquet(f"{slot}/new")
 
 
 def _is_staged(spark: SparkSession, slot: str, batch_id: int) -> bool:
