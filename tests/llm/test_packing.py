@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -100,6 +100,27 @@ def test_messy(spark, messy, messy_rows):
         assert at <= 64
 
 
+def test_equal_rows_spread_over_groups(spark):
+    same = spark.range(2000).selectExpr("cast(null as long) AS doc_id", "'a b c d e' AS text")
+    docs = same.union(spark.range(2000).selectExpr("id AS doc_id", "concat('word ', id) AS text"))
+    pieces = packing.pack(packing.tokenize(docs, PATH, 1, "doc_id"), 8, 64).collect()
+    assert len(pieces) == 4000
+    groups = Counter(p.sequence_id >> 31 for p in pieces)
+    assert set(groups) == set(range(8)) and max(groups.values()) < 2 * 500
+
+
+def test_full_pieces_are_not_shuffled(spark):
+    docs = spark.createDataFrame([(1, "a " * 1000), (None, "b " * 127), (3, "")], "doc_id long, text string")
+    pieces = packing.pack(packing.tokenize(docs, PATH, 1, "doc_id"), 4, 64)
+    rows = pieces.collect()
+    full = [p for p in rows if p.length == 64]
+    assert len(full) == 1001 // 64 + 2 and all(p.offset == 0 and p.sequence_id >> 31 >= 4 for p in full)
+    assert len({p.sequence_id for p in full}) == len(full)
+    assert sorted((p.doc_id, p.start, p.length) for p in rows if p.length < 64) == [(1, 960, 41), (3, 0, 1)]
+    plan = pieces._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("FlatMapGroupsInArrow") == 1 and "MapInArrow" not in plan
+
+
 def test_empty(no_documents):
     assert packing.group_count(no_documents) == 1
     assert packing.pack(packing.tokenize(no_documents, PATH, 1, "doc_id"), 1).isEmpty()

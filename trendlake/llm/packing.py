@@ -1,19 +1,19 @@
 """Packing of tokenized documents into training sequences.
 
-Documents are dealt by hash into random groups of about ``group_rows``, and each group is packed for
-itself by first-fit decreasing: what is longer than a sequence is cut into full pieces and a rest,
-rests go longest first into the first bin with room. A tournament tree over the bins' room finds that
-bin in logarithmic time. Groups bound what a task holds, whatever the size of the input.
-
-Defined cases: a null text is empty; an empty text still has its end id. Equal rows are all packed. A
-null doc_id is kept; such rows are dealt by text. An empty table gives no piece. Of the input only
-doc_id and text are read, so extra columns with any names don't matter. A text of any length is cut.
+What is longer than a sequence is cut into full pieces and a rest. A full piece is a sequence by itself and isn't shuffled.
+Rests are dealt at random, by a hash of the piece's own number, into groups of about ``group_rows``, and each group is
+packed for itself by first-fit decreasing: longest first into the first bin with room. A tournament tree over the bins' room
+finds that bin in logarithmic time. A group holds rests below a sequence's length only, so a task has a bound in bytes as well
+as rows, whatever the length of the documents and however many rows are equal.
+
+Defined cases: a null text is empty; an empty text still has its end id. Equal rows are all packed, and a null doc_id is
+kept. An empty table gives no piece. Of the input only doc_id and text are read, so extra columns with any names don't
+matter. A text of any length is cut.
 """
 
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +22,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendlake.llm.common import ragged, slices, small_batches
+from trendlake.llm.common import slices, small_batches
+from trendlake.shared import materialize
 
 GROUP_ROWS = 2048
 PIECES = (
@@ -32,15 +33,45 @@ PIECES = (
 
 #: A word of Latin letters and ASCII marks after them, which tokenizers that split between the two read apart.
 #: The apostrophe is left out, as it starts tokens of its own with letters.
-STEM = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\[-`{-~]*)")
+STEM = "^(?P<stem>[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)(?P<marks>[!-&(-/:-@\\[-`{-~]*)$"
+#: Longer words are encoded anew each time, so that the memory is bounded in bytes too.
+LONGEST = 64
+
+
+class Memory:
+    """Encoded words in two generations of ``limit`` / 2: the older one is dropped, what is still in use moves on."""
+
+    def __init__(self, limit: int):
+        self.half = max(1, limit // 2)
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def put(self, word: str, ids: bytes) -> None:
+        if len(word) > LONGEST:
+            return
+        if len(self.new) >= self.half:
+            self.old, self.new = self.new, {}
+        self.new[word] = ids
+
+    def find(self, words: list[str]) -> list[bytes | None]:
+        found = list(map(self.new.get, words))
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            ids = found[i] = self.old.get(words[i])
+            if ids is not None:
+                self.put(words[i], ids)
+        return found
+
+
+#: Of this process by tokenizer and bound: a Python worker keeps it between tasks.
+MEMORIES: dict[tuple[str, int], Memory] = {}
 
 
 class WordTokenizer:
     """Ids of texts by a tokenizer whose tokens never span an ASCII blank, each word encoded once.
 
     With ``split_marks``, tokens must not span letters and following marks either, so that both are remembered
-    by themselves, letters without case if the tokenizer drops it; tests hold that against plain encoding. Encoded words are remembered as long as
-    the worker lives, and forgotten together when there are ``limit`` of them.
+    by themselves, letters without case if the tokenizer drops it; tests hold that against plain encoding. About ``limit``
+    encoded words are remembered as long as the worker lives.
     """
 
     def __init__(self, path: str, split_marks: bool = True, limit: int = 500_000):
@@ -51,46 +82,56 @@ class WordTokenizer:
         self.split_marks = split_marks
         upper, lower = self.encode(["ZÉÀ", "zéà"], add_special_tokens=False)
         self.no_case = upper.ids == lower.ids
-        self.limit = limit
-        # On the library's module, because functions sent by value keep no state between tasks.
-        self.known: dict[str, bytes] = vars(tokenizers).setdefault("_known_words", {}).setdefault(path, {})
-
-    def _learn(self, words: list[str]) -> None:
-        for word, coded in zip(words, self.encode(words, add_special_tokens=False), strict=True):
-            self.known[word] = np.array(coded.ids, np.uint32).tobytes()
-
-    def _lookup(self, words: list[str]) -> list[bytes]:
-        if len(self.known) > self.limit:
-            self.known.clear()
-        known = self.known
-        found = list(map(known.get, words))
+        self.memory = MEMORIES.setdefault((path, limit), Memory(limit))
+
+    def _encoded(self, words: pa.Array) -> pa.Array:
+        """The ids of distinct words."""
+        names = words.to_pylist()
+        found = self.memory.find(names)
         new = [i for i, ids in enumerate(found) if ids is None]
-        parts: dict[int, tuple[str, str]] = {}
-        if self.split_marks:
-            for i in new:
-                if m := STEM.fullmatch(words[i]):
-                    parts[i] = (m[1].lower() if self.no_case else m[1], m[2])
-        missing = {p for pair in parts.values() for p in pair if p not in known}
-        missing.update(words[i] for i in new if i not in parts)
-        if missing:
-            self._learn(sorted(missing))
-        for i in new:
-            found[i] = known[parts[i][0]] + known[parts[i][1]] if i in parts else known[words[i]]
-        return found
+        for i, coded in zip(new, self.encode([names[i] for i in new], add_special_tokens=False), strict=True):
+            found[i] = np.array(coded.ids, "<u4").tobytes()
+            self.memory.put(names[i], found[i])
+        return pa.array(found, pa.large_binary())
+
+    def _table(self, words: pa.Array) -> pa.Array:
+        """The ids of distinct words, put together from their stems and marks."""
+        if not self.split_marks:
+            return self._encoded(words)
+        parts = pc.extract_regex(words, STEM)
+        stem, marks = pc.struct_field(parts, "stem"), pc.struct_field(parts, "marks")
+        first = pc.coalesce(pc.utf8_lower(stem) if self.no_case else stem, words)
+        both = pa.concat_arrays([first, pc.fill_null(marks, "")]).dictionary_encode()
+        ids = self._encoded(both.dictionary)
+        index = both.indices
+        return pc.binary_join_element_wise(
+            ids.take(index[: len(words)]), ids.take(index[len(words) :]), pa.scalar(b"", pa.large_binary())
+        )
 
-    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, text by text, and the number of each text."""
+    def rows(self, texts: pa.Array, end_id: int | None = None) -> pa.LargeBinaryArray:
+        """The ids of each text, little-endian unsigned 32-bit, ``end_id`` behind them."""
         words = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         coded = words.flatten().dictionary_encode()
-        table = self._lookup(coded.dictionary.to_pylist())
-        size = np.fromiter(map(len, table), np.int64, len(table)) // 4
-        start = np.cumsum(size) - size
-        flat = np.frombuffer(b"".join(table), np.uint32)
-        index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        ids = flat[ragged(start[index], size[index])] if len(index) else flat[:0]
-        ends = np.concatenate([[0], np.cumsum(size[index])])
-        edges = words.offsets.to_numpy() - words.offsets[0].as_py()
-        return ids, np.diff(ends[edges])
+        table = self._table(coded.dictionary)
+        index = coded.indices.to_numpy(zero_copy_only=False)
+        edges = (words.offsets.to_numpy() - words.offsets[0].as_py()).astype(np.int64)
+        if end_id is not None:
+            end = pa.array([np.uint32(end_id).astype("<u4").tobytes()], pa.large_binary())
+            index = np.insert(index, edges[1:], len(table))
+            edges += np.arange(len(edges))
+            table = pa.concat_arrays([table, end])
+        taken = table.take(pa.array(index))
+        if not len(taken):
+            return pa.array([b""] * len(texts), pa.large_binary())
+        _, offsets, data = taken.buffers()
+        bounds = np.frombuffer(offsets, np.int64)[taken.offset + edges]
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(bounds), data])
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, text by text, and the number of each text."""
+        rows = self.rows(texts)
+        count = pc.binary_length(rows).to_numpy(zero_copy_only=False) // 4
+        return np.frombuffer(b"".join(rows.to_pylist()), "<u4"), count
 
 
 def tokenize(docs: DataFrame, path: str, end_id: int, *carry: str) -> DataFrame:
@@ -101,14 +142,9 @@ def tokenize(docs: DataFrame, path: str, end_id: int, *carry: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = WordTokenizer(path)
         for whole in batches:
-            for batch in slices(whole, len(carry), 2 << 20):
-                ids, count = tokenizer(batch.column(len(carry)))
-                cuts = np.cumsum(count)
-                parts = np.split(ids, cuts[:-1])
-                rows = [np.append(p, np.uint32(end_id)).astype("<u4").tobytes() for p in parts]
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:-1], pa.array(rows, pa.binary())], names=[*carry, "ids"]
-                )
+            for batch in slices(whole, len(carry)):
+                ids = tokenizer.rows(batch.column(len(carry)), end_id).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids], names=[*carry, "ids"])
 
     schema = kept.drop("text").schema.add("ids", "binary")
     return kept.mapInArrow(run, schema)
@@ -154,47 +190,42 @@ def group_count(docs: DataFrame, group_rows: int = GROUP_ROWS) -> int:
     return max(1, -(-docs.count() // group_rows))
 
 
+def cut(tokens: DataFrame, capacity: int) -> DataFrame:
+    """doc_id, start, length, ids, doc_tokens of the pieces of ``tokens`` (doc_id, ids): full ones, and a rest per document."""
+    size = F.floor(F.coalesce(F.length("ids"), F.lit(0)) / 4).cast("long")
+    counted = tokens.select("doc_id", "ids", size.alias("doc_tokens")).where(F.col("doc_tokens") > 0)
+    starts = F.sequence(F.lit(0).cast("long"), F.col("doc_tokens") - 1, F.lit(capacity).cast("long"))
+    return counted.withColumn("start", F.explode(starts)).select(
+        "doc_id",
+        "start",
+        F.least(F.lit(capacity).cast("long"), F.col("doc_tokens") - F.col("start")).alias("length"),
+        F.substring("ids", (4 * F.col("start") + 1).cast("int"), F.lit(4 * capacity)).alias("ids"),
+        "doc_tokens",
+    )
+
+
 def pack(tokens: DataFrame, groups: int, capacity: int = 2048) -> DataFrame:
     """Pieces of the documents of ``tokens`` (doc_id, ids), placed in sequences of ``capacity`` tokens.
 
     ``groups`` is what ``group_count`` gives for the documents.
     """
-    row = F.xxhash64("doc_id", "ids")
-    dealt = tokens.select("doc_id", "ids", F.pmod(row, F.lit(groups)).alias("group"))
-    id_type = tokens.schema["doc_id"].dataType
+    # Stored, so that texts are read once for both kinds of pieces and a piece's number stays the same when a task runs again.
+    numbered = cut(tokens, capacity).withColumn("piece", F.monotonically_increasing_id())
+    stored = materialize(numbered, "packing-pieces")
+    columns = ["doc_id", "start", "length", "ids", "doc_tokens"]
+    # A full piece is a sequence by itself, numbered behind those of the groups.
+    own = (F.lit(groups << 31) + F.col("piece")).alias("sequence_id")
+    full = stored.where(F.col("length") == capacity).select(*columns, own, F.lit(0).cast("long").alias("offset"))
+
+    # Dealt by the piece's own number, which equal rows don't share.
+    rests = stored.where(F.col("length") < capacity).withColumn("group", F.pmod(F.xxhash64("piece"), F.lit(groups)))
 
     def run(group: pa.Table) -> pa.Table:
-        # In a fixed order, so that a task that runs again gives the same sequences.
-        group = group.sort_by([("doc_id", "ascending"), ("ids", "ascending")])
-        number = group["group"][0].as_py()
-        all_ids = group["ids"].combine_chunks().to_pylist()
-        total = np.array([len(x) // 4 for x in all_ids], np.int64)
-        full, rest = total // capacity, total % capacity
-        bins, offsets = first_fit_decreasing(rest[rest > 0], capacity)
-        place = dict(zip(np.flatnonzero(rest).tolist(), zip(bins.tolist(), offsets.tolist(), strict=True), strict=True))
-        next_bin = int(bins.max()) + 1 if len(bins) else 0
-        doc, start, length, ids, sequence, offset = [], [], [], [], [], []
-        for i, data in enumerate(all_ids):
-            for k in range(int(full[i])):
-                doc.append(i), start.append(k * capacity), length.append(capacity)
-                sequence.append(next_bin), offset.append(0)
-                next_bin += 1
-            if rest[i]:
-                doc.append(i), start.append(int(full[i]) * capacity), length.append(int(rest[i]))
-                sequence.append(place[i][0]), offset.append(place[i][1])
-            first = len(ids)
-            ids += [data[4 * s : 4 * (s + n)] for s, n in zip(start[first:], length[first:], strict=True)]
-        index = np.array(doc, np.int64)
-        return pa.table(
-            {
-                "doc_id": group["doc_id"].take(pa.array(index)),
-                "start": pa.array(start, pa.int64()),
-                "length": pa.array(length, pa.int64()),
-                "ids": pa.array(ids, pa.binary()),
-                "doc_tokens": pa.array(total[index]),
-                "sequence_id": pa.array(np.array(sequence, np.int64) + (number << 31)),
-                "offset": pa.array(offset, pa.int64()),
-            }
-        )
+        group = group.sort_by("piece")
+        bins, offsets = first_fit_decreasing(group["length"].to_numpy(), capacity)
+        first = group["group"][0].as_py() << 31
+        placed = group.select(columns).append_column("sequence_id", pa.array(bins + first))
+        return placed.append_column("offset", pa.array(offsets))
 
-    return dealt.groupBy("group").applyInArrow(run, PIECES.format(id=id_type.simpleString()))
+    id_type = tokens.schema["doc_id"].dataType
+    return full.unionByName(rests.groupBy("group").applyInArrow(run, PIECES.format(id=id_type.simpleString())))
