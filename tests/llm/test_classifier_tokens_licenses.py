@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+import math
 import random
 import zlib
 
 import numpy as np
 import pytest
+import zstandard
 
 from tests.llm import brute
 from tests.llm.conftest import SF_DIR
@@ -34,6 +36,50 @@ def test_classifier_without_labels(spark, messy, labels):
     assert C.fit(messy, labels.limit(0)).scores(np.zeros(1))[0] == 0.5
 
 
+def plain_sizes(content, texts):
+    """Bytes of each text's pieces of 1024 bytes, compressed one by one with a dictionary."""
+    made = zstandard.ZstdCompressionDict(content)
+    out = []
+    for text in texts:
+        raw, total = (text or "").encode(), 0
+        while raw:
+            packer = zstandard.ZstdCompressor(
+                dict_data=made, level=3, write_content_size=False, write_checksum=False, write_dict_id=False
+            )
+            total, raw = total + len(packer.compress(raw[:1024])), raw[1024:]
+        out.append(total)
+    return out
+
+
+def test_classifier_against_plain_scores(spark):
+    docs, labels = (spark.read.parquet(f"{SF_DIR}/{name}.parquet") for name in ("documents", "labels"))
+    model = C.fit(docs, labels)
+    assert model.good and model.bad
+    rows = docs.select("doc_id", "text").collect()
+    good, bad = (plain_sizes(content, [r.text for r in rows]) for content in (model.good, model.bad))
+    wanted = {}
+    for r, g, b in zip(rows, good, bad, strict=True):
+        x = (b - g) / (b + g) if b + g else 0.0
+        wanted[r.doc_id] = 1 / (1 + math.exp(-max(-500, min(500, model.slope * x + model.offset))))
+    got = {r.doc_id: r.score for r in C.score(docs, model, "doc_id").collect()}
+    assert got == pytest.approx(wanted, abs=1e-12)
+
+
+def test_classifier_learns_from_whole_texts(spark):
+    """What tells the labels apart stands behind 30,000 characters that all texts share."""
+    rng = random.Random(5)
+    shared = " ".join(rng.choices(["alpha", "beta", "gamma", "delta"], k=6000))
+    words = [["tidy", "clear", "careful", "reasoned"], ["spam", "click", "casino", "winner"]]
+    rows = [(i, shared + " " + " ".join(rng.choices(words[i % 2], k=4000))) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(40)], "doc_id long, quality int")
+    model = C.fit(docs, labels)
+    scores = {r.doc_id: r.score for r in C.score(docs, model, "doc_id").collect()}
+    assert all((s > 0.5) == (i % 2 == 0) for i, s in scores.items())
+    positions = [bytes(r.piece) for r in C.chosen_pieces(docs.join(labels, "doc_id"), 10)]
+    assert len(positions) == 20 and any(b"casino" in p for p in positions) and any(b"tidy" in p for p in positions)
+
+
 def test_logistic_is_calibrated():
     rng = np.random.default_rng(0)
     x = rng.normal(size=20_000)

@@ -5,8 +5,10 @@ each; pieces are short, so that the dictionary and not the text itself decides.
 which kind of text it resembles, and a logistic curve, fitted on labelled rows that the dictionaries haven't seen,
 turns it into a probability of label 1.
 
-Fitting uses a bounded sample: the ``sample`` labelled rows of each label with the least hash, and of each
-at most ``sample_chars`` characters. Scoring reads every text whole.
+Fitting uses a bounded sample: the ``sample`` labelled rows of each label with the least hash. Every other one of them is for
+the dictionaries: its whole text is cut to pieces in tasks, and the ``sample_pieces`` pieces of a label with the least hash, from all over
+the texts, are what a dictionary is trained on. The rest are for the curve: their whole texts are compressed in tasks, and
+only their differences reach the driver. Scoring reads every text whole.
 
 Defined cases: a null or empty text differs by zero and gets the score of that. With one label only, or too few rows for
 dictionaries, the score is the share of label 1 in the sample (0.5 without labels). Rows with null ids or labels
@@ -20,14 +22,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from trendlake.llm.common import one_label, slices, small_batches
+from trendlake.shared import materialize
 
 PIECE = 1024
 DICTIONARY_BYTES = 64 << 10
 LEVEL = 3
+#: A hundred times a dictionary's size, at most, is what training it makes use of.
+SAMPLE_PIECES = 6400
 
 
 def pieces(text: str | None) -> list[bytes]:
@@ -87,54 +92,99 @@ def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(weights[0] / scale), float(weights[1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = 2000, sample_chars: int = 20_000) -> Model:
-    """A model from ``labels`` (doc_id, quality) and the texts of ``docs``; only bounded samples reach the driver."""
+def fit(docs: DataFrame, labels: DataFrame, sample: int = 2000, sample_pieces: int = SAMPLE_PIECES) -> Model:
+    """A model from ``labels`` (doc_id, quality) and the texts of ``docs``. At most 2 * ``sample`` ids and differences and
+    2 * ``sample_pieces`` pieces of 1024 bytes reach the driver, whatever the length of the texts."""
+    picked = sampled(labels, sample)
+    # At most two samples of ids: small enough to send to every task.
+    found = (
+        docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+        .groupBy("doc_id", "quality", "place").agg(F.min("text").alias("text"))
+    )
+    rows = materialize(found, "labelled-texts")
+    shown = {r.quality: r["count"] for r in rows.groupBy("quality").count().collect()}
+    share = (shown.get(1, 0) + 1) / (sum(shown.values()) + 2)
+    constant = Model(offset=float(np.log(share / (1 - share))))
+    teaches = F.col("place") % 2 == 1
+    drawn = chosen_pieces(rows.where(teaches), sample_pieces)
+    good, bad = (dictionary([bytes(r.piece) for r in drawn if r.quality == label]) for label in (1, 0))
+    if not good or not bad:
+        return constant
+    model = Model(good, bad)
+    held = differences_of(rows.where(~teaches), model, "doc_id", "quality").orderBy("doc_id").collect()
+    if len({r.quality for r in held}) < 2:
+        return constant
+    model.slope, model.offset = logistic(
+        np.array([r.difference for r in held]), np.array([r.quality for r in held], float)
+    )
+    return model
+
+
+def sampled(labels: DataFrame, sample: int) -> DataFrame:
+    """doc_id, quality and place (from 1, by hash within the label) of the ``sample`` rows of each label."""
     known = one_label(labels, "quality").withColumn("at", F.xxhash64(F.col("doc_id").cast("string")))
     picked = None
     for label in (0, 1):
         part = known.where(F.col("quality") == label).orderBy("at", "doc_id").limit(sample)
         picked = part if picked is None else picked.union(part)
-    # At most two samples of ids: small enough to send to every task.
-    texts = docs.select("doc_id", F.substring("text", 1, sample_chars).alias("text"))
-    rows = texts.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "quality", "at").agg(F.min("text").alias("text")).orderBy("at", "doc_id").collect()
-    return model_of([(r.text, r.quality) for r in rows])
+    # The window sees the sample only.
+    order = Window.partitionBy("quality").orderBy("at", "doc_id")
+    return picked.select("doc_id", "quality", F.row_number().over(order).alias("place"))
 
 
-def model_of(rows: list[tuple[str | None, int]]) -> Model:
-    """Every other row of each label trains a dictionary, the rest the curve."""
-    by_label = {label: [t for t, q in rows if q == label] for label in (0, 1)}
-    share = (len(by_label[1]) + 1) / (len(rows) + 2)
-    constant = Model(offset=float(np.log(share / (1 - share))))
+def chosen_pieces(rows: DataFrame, limit: int) -> list[Row]:
+    """quality and piece: the ``limit`` pieces of each label with the least hash of document and position, in that order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, 2):
+                for name, quality, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    parts = pieces(text)
+                    if parts:
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([name] * len(parts)), pa.array([quality] * len(parts), pa.int32()), pa.array(range(len(parts)), pa.int64()), pa.array(parts, pa.binary())],
+                            names=["name", "quality", "position", "piece"],
+                        )
+
+    source = rows.select(F.col("doc_id").cast("string").alias("name"), F.col("quality").cast("int").alias("quality"), "text")
+    small_batches(rows.sparkSession)
+    cut = source.mapInArrow(run, "name string, quality int, position long, piece binary")
+    cut = cut.withColumn("at", F.xxhash64("name", "position"))
+    order = ("at", "name", "position")
+    return [
+        r for label in (0, 1) for r in cut.where(F.col("quality") == label).orderBy(*order).limit(limit).select("quality", "piece").collect()
+    ]
+
+
+def dictionary(parts: list[bytes]) -> bytes:
+    """A dictionary trained on the pieces; empty if they are too few for one."""
     import zstandard
 
-    held, dictionaries = [], {}
-    for label, texts in by_label.items():
-        held += [(t, label) for t in texts[1::2]]
-        try:
-            parts = [p for t in texts[::2] for p in pieces(t)]
-            dictionaries[label] = zstandard.train_dictionary(DICTIONARY_BYTES, parts).as_bytes()
-        except (zstandard.ZstdError, ValueError):
-            return constant
-    if len({label for _, label in held}) < 2:
-        return constant
-    model = Model(dictionaries[1], dictionaries[0])
-    x = model.differences([t for t, _ in held])
-    model.slope, model.offset = logistic(x, np.array([label for _, label in held], float))
-    return model
+    try:
+        return zstandard.train_dictionary(DICTIONARY_BYTES, parts).as_bytes()
+    except (zstandard.ZstdError, ValueError):
+        return b""
 
 
-def score(docs: DataFrame, model: Model, *carry: str) -> DataFrame:
-    """``carry`` columns and ``score`` of every row."""
+def differences_of(docs: DataFrame, model: Model, *carry: str) -> DataFrame:
+    """``carry`` columns and ``difference`` of every row's whole text."""
     small_batches(docs.sparkSession)
     source = docs.select(*carry, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, len(carry)):
-                found = model.scores(model.differences(batch.column(len(carry)).to_pylist()))
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found)], names=[*carry, "score"])
+                found = model.differences(batch.column(len(carry)).to_pylist())
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found)], names=[*carry, "difference"])
+
+    return source.mapInArrow(run, source.drop("text").schema.add("difference", "double"))
+
 
-    return source.mapInArrow(run, source.drop("text").schema.add("score", "double"))
+def score(docs: DataFrame, model: Model, *carry: str) -> DataFrame:
+    """``carry`` columns and ``score`` of every row."""
+    margin = F.lit(model.slope) * F.col("difference") + F.lit(model.offset)
+    bounded = F.greatest(F.lit(-500.0), F.least(F.lit(500.0), margin))
+    return differences_of(docs, model, *carry).select(*carry, (1 / (1 + F.exp(-bounded))).alias("score"))
 
 
 def fold(doc_id: Column, folds: int = 3) -> Column:
