@@ -172,3 +172,18 @@ def test_empty(no_documents):
     assert license_scan.license_matches(no_documents).isEmpty()
     assert token_counts.token_counts(no_documents, [b"a"]).isEmpty()
     assert C.score(no_documents, C.Model(), "doc_id").isEmpty()
+
+
+def test_every_given_license_is_found_in_a_text_of_several_slices(spark):
+    """Texts longer than a slice, a column that clashes with the result's, and each template once, far behind."""
+    rng = random.Random(8)
+    filler = " ".join(f"word{rng.randrange(5000)}" for _ in range(5000))
+    names = sorted(license_scan.TEMPLATES)
+    rows = [(i, filler + " " + license_scan.TEMPLATES[n] + " " + filler, "clash") for i, n in enumerate(names)]
+    rows += [(100, filler * 120, "clash"), (101, filler * 120 + " " + license_scan.TEMPLATES["mit-text"], "clash")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, template string").repartition(3)
+    found = {}
+    for r in license_scan.license_matches(docs).collect():
+        found.setdefault(r.doc_id, {})[r.template] = r
+    assert all(found[i][n].containment == 1.0 for i, n in enumerate(names))
+    assert 100 not in found and {"mit-text", "mit-grant"} <= set(found[101])
