@@ -8,7 +8,7 @@ from datetime import datetime
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -278,6 +278,31 @@ def run_checks(
     return spark.createDataFrame(rows, CHECK_RESULT)
 
 
+def of_run(results: DataFrame, run_id: str, as_of: datetime | None = None) -> DataFrame:
+    """Results as rows of the history: with the run they belong to and its time."""
+    return results.select(F.lit(run_id).alias("run_id"), clock(as_of).alias("checked_at"), "*")
+
+
+def compare_runs(history: DataFrame) -> DataFrame:
+    """Each result of each run beside the same check's result in the run before.
+
+    ``change`` is first, same, mended or broken. ``advanced`` says for freshness whether there is any newer record than in the run
+    before: a table may be fresh by its cutoff and yet stand still, or go back. A window's group is one check, a row per run.
+    """
+    before = Window.partitionBy("check", "table", "column").orderBy("checked_at", "run_id")
+    earlier = F.lag("passed").over(before)
+    change = (
+        F.when(earlier.isNull(), "first").when(earlier == F.col("passed"), "same").when(F.col("passed"), "mended").otherwise("broken")
+    )
+    return history.withColumns(
+        {
+            "change": change,
+            "previous_value": F.lag("value").over(before),
+            "advanced": F.col("latest_record") > F.lag("latest_record").over(before),
+        }
+    )
+
+
 def verdict(results: DataFrame) -> DataFrame:
     """One row: did everything pass, how many checks passed, how many there were."""
     return results.agg(

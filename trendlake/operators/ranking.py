@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -51,11 +52,14 @@ def number_rows(
 
 
 def share_of_group(df: DataFrame, value: str, group: Sequence[str], name: str) -> DataFrame:
-    """``value`` in percent of its group's total; NULL for a total of 0.
+    """``value`` in percent of its group's total; NULL for a total of 0. NULL is a group like any other.
 
-    For aggregated rows: a group is one task here.
+    For groups of any size: totals are summed within tasks first and joined back, one row per group. Spark broadcasts them
+    while they are below ``spark.sql.autoBroadcastJoinThreshold``, and splits a large group's side of a shuffled join
+    otherwise. ``df`` is evaluated for the totals and for the rows: give it stored or aggregated.
     """
-    total = F.sum(value).over(Window.partitionBy(*group))
-    return df.withColumn(
-        name, F.round(F.try_divide(F.col(value), total) * 100, SHARE_DIGITS)
-    )
+    keys = {g: f"_group_{i}" for i, g in enumerate(group)}
+    totals = df.groupBy(*(F.col(g).alias(key) for g, key in keys.items())).agg(F.sum(value).alias("_total"))
+    same = reduce(Column.__and__, (F.col(g).eqNullSafe(F.col(key)) for g, key in keys.items()), F.lit(True))
+    share = F.round(F.try_divide(F.col(value), F.col("_total")) * 100, SHARE_DIGITS)
+    return df.join(totals, same).select(*df.columns, share.alias(name))

@@ -133,7 +133,6 @@ def categories_by_day(by_category: DataFrame, lookup: DataFrame | None = None) -
         ),
         "unique_channels",
     )
-    # A window's group is at most one row per category here.
     return share_of_group(named, "total_views", DAY, "view_share_pct")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -14,6 +15,7 @@ from pyspark.sql import types as T
 from trendlake import schemas
 from trendlake.operators.categories import category_lookup
 from trendlake.operators.cleanse import row_warnings
+from trendlake.operators.counts import LoadCounts, total_counts
 from trendlake.operators.documents import (
     expected_regions,
     file_summary,
@@ -23,6 +25,7 @@ from trendlake.operators.documents import (
 from trendlake.operators.quality import (
     DEFAULT_RULES,
     QualityRules,
+    of_run,
     require_quality,
     run_checks,
 )
@@ -63,6 +66,8 @@ TABLES = (
     "clean_reference_data",
     *GOLD,
     "quality_checks",
+    "quality_history",
+    "run_counts",
     "ingest_summary",
     "file_summary",
     "misplaced_files",
@@ -112,6 +117,8 @@ class RunReport:
     rows: Mapping[str, int]
     misplaced: DataFrame | None = None
     warnings: DataFrame | None = None
+    counts: DataFrame | None = None
+    history: DataFrame | None = None
 
 
 def refresh_silver(
@@ -119,8 +126,8 @@ def refresh_silver(
     lake: Lake,
     regions: Sequence[str] | None = None,
     as_of: datetime | None = None,
-) -> None:
-    """Build both silver tables from all raw files.
+) -> list[dict[str, int]]:
+    """Build both silver tables from all raw files; what was counted while writing.
 
     Without any raw statistics nothing is written. With ``regions`` only days that their
     raw files hold are replaced; other days and regions stay as they are.
@@ -136,12 +143,14 @@ def refresh_silver(
         )
     ]
     if all(df.isEmpty() for df in raw):
-        return
-    statistics = build_silver_statistics(*raw, as_of=as_of)
+        return []
+    counts = LoadCounts()
+    statistics = build_silver_statistics(*raw, as_of=as_of, counts=counts)
     if regions is None:
         replace_table(statistics, lake.statistics, STATISTICS_PARTITIONS)
     else:
         write_partitions(statistics, lake.statistics, STATISTICS_PARTITIONS)
+    return [counts.values()]
 
 
 def update_silver(
@@ -150,8 +159,9 @@ def update_silver(
     checkpoint: str,
     as_of: datetime | None = None,
     regions: Sequence[str] | None = None,
-) -> None:
-    """Take only new raw files into both silver tables, statistics of all regions or some."""
+) -> list[dict[str, int]]:
+    """Take only new raw files into both silver tables, statistics of all regions or some; the counts of each batch."""
+    loads: list[dict[str, int]] = []
     load_new_reference(
         spark,
         lake.raw_reference,
@@ -169,7 +179,9 @@ def update_silver(
         layout=lake.layout,
         multi_line=lake.multi_line,
         regions=regions,
+        loads=loads,
     )
+    return loads
 
 
 def silver_frames(spark: SparkSession, lake: Lake) -> dict[str, DataFrame | None]:
@@ -224,9 +236,10 @@ def run_lake(
     for landed in category_documents:
         land_raw(landed, lake.raw_reference, partition_by=("region", "date"))
     if checkpoint is None:
-        refresh_silver(spark, lake, only_from, as_of)
+        loads = refresh_silver(spark, lake, only_from, as_of)
     else:
-        update_silver(spark, lake, checkpoint, as_of, only_from)
+        loads = update_silver(spark, lake, checkpoint, as_of, only_from)
+    counts = stored(lake, "run_counts", total_counts(spark, loads))
     ingest = ingest_summary(
         read_video_documents(spark, lake.raw_statistics, lake.landing, lake.layout),
         expected_regions(spark, regions),
@@ -235,6 +248,7 @@ def run_lake(
     silver = silver_frames(spark, lake)
     # Stored before the gate: they are what one needs if it closes.
     checks = stored(lake, "quality_checks", run_checks(spark, silver, rules, as_of))
+    history = remembered(lake, "quality_history", of_run(checks, uuid.uuid4().hex, as_of))
     ingest, files = stored(lake, "ingest_summary", ingest), stored(lake, "file_summary", files)
     misplaced = stored(lake, "misplaced_files", misplaced_files(spark, lake.raw_statistics, lake.landing))
     warnings = None
@@ -254,6 +268,8 @@ def run_lake(
         rows=rows,
         misplaced=misplaced,
         warnings=warnings,
+        counts=counts,
+        history=history,
     )
 
 
@@ -263,6 +279,12 @@ def stored(lake: Lake, name: str, report: DataFrame) -> DataFrame:
     return report.sparkSession.read.schema(report.schema).parquet(lake.path(name))
 
 
+def remembered(lake: Lake, name: str, report: DataFrame) -> DataFrame:
+    """As :func:`stored`, beside the reports of earlier runs."""
+    report.coalesce(1).write.mode("append").parquet(lake.path(name))
+    return report.sparkSession.read.schema(report.schema).parquet(lake.path(name))
+
+
 def _forget(spark: SparkSession, name: str, path: str) -> None:
     """Drop the catalog's entry of a table at ``path``. A table of that name elsewhere, or one that the catalog manages and
     would delete, is the user's."""

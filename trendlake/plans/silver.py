@@ -12,6 +12,7 @@ from trendlake import schemas
 from trendlake.functions.columns import flatten, require_columns
 from trendlake.functions.values import clean_region
 from trendlake.operators.cleanse import cleanse, clock, with_audit
+from trendlake.operators.counts import LoadCounts
 from trendlake.operators.dedup import keep_last, latest_per_key
 from trendlake.operators.normalize import unify
 from trendlake.schemas import INGESTED_AT
@@ -26,11 +27,15 @@ def build_silver_statistics(
     job: str = STATISTICS_JOB,
     as_of: datetime | None = None,
     newest_first: Sequence[str] = (INGESTED_AT,),
+    counts: LoadCounts | None = None,
 ) -> DataFrame:
     """Raw frames of either format to clean_statistics: one row per video, region and day,
-    the one that was ingested last. One shuffle."""
-    rows = cleanse(unify(*raw, run_time=clock(as_of), carry=newest_first))
-    return with_audit(latest_statistics(rows, newest_first), job, as_of)
+    the one that was ingested last. One shuffle. ``counts`` are known once the result is written."""
+    rows = unify(*raw, run_time=clock(as_of), carry=newest_first)
+    if counts is None:
+        return with_audit(latest_statistics(cleanse(rows), newest_first), job, as_of)
+    latest = latest_statistics(counts.cleansed(cleanse(counts.read(rows))), newest_first)
+    return with_audit(counts.written(latest), job, as_of)
 
 
 def latest_statistics(

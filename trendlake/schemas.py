@@ -145,6 +145,23 @@ CLEAN_REFERENCE = struct(
 REGION_PARTITION = struct(region=TEXT)
 LANDING_PARTITIONS = struct(region=TEXT, date=DAY, hour=TEXT)
 
+#: What a run counts while it writes silver, see operators.counts.
+RUN_COUNTS = T.StructType(
+    [
+        T.StructField(name, LONG)
+        for name in (
+            "loads",
+            "rows_read",
+            "rows_dropped",
+            "rows_deduplicated",
+            "rows_written",
+            *(f"read_null_{name}" for name in WARNING_COLUMNS),
+            *(f"written_null_{name}" for name in WARNING_COLUMNS),
+            "written_negative_views",
+        )
+    ]
+)
+
 CHECK_RESULT = struct(
     **texts("check", "table", "column"),
     value=DOUBLE,

@@ -21,10 +21,32 @@ SOURCE_FILE = "_source_file"
 FILE_TIME = "_file_time"
 FILE_COLUMNS = struct(_source_file=TEXT, _file_time=TIME)
 
-# The extensions of documents, and the landing folders.
-DOCUMENT_GLOB = "{*.json,*.jsonl,*.ndjson,*.json.gz,*.jsonl.gz,*.ndjson.gz,*.json.bz2,*.jsonl.bz2}"
+# The extensions of raw files, how they may be compressed, and the landing folders.
+DOCUMENT_KINDS = ("json", "jsonl", "ndjson")
+BULK_KINDS = ("csv",)
+COMPRESSIONS = ("", ".gz", ".bz2")
 LANDING_FOLDERS = ("region", "date", "hour")
 
+
+def any_case(word: str) -> str:
+    """Letters as classes of both cases, in the form that file patterns and regular expressions share."""
+    return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in word)
+
+
+def file_pattern(kinds: Sequence[str]) -> str:
+    """Pattern for files of these kinds. A compressed file is known by its extension as it is written here."""
+    return "{" + ",".join(f"*.{any_case(kind)}{packed}" for kind in kinds for packed in COMPRESSIONS) + "}"
+
+
+def file_regex(kinds: Sequence[str]) -> str:
+    """The same as :func:`file_pattern` for the end of a path."""
+    endings = "|".join(packed.replace(".", r"\.") for packed in COMPRESSIONS)
+    return rf"[^/]*\.({'|'.join(any_case(kind) for kind in kinds)})({endings})$"
+
+
+DOCUMENT_GLOB = file_pattern(DOCUMENT_KINDS)
+
+
 def join_schemas(*parts: T.StructType) -> T.StructType:
     return T.StructType([field for part in parts for field in part.fields])
 
@@ -144,17 +166,17 @@ def parse(text: Column, schema: T.StructType) -> Column:
 
 
 def misplaced_files(spark: SparkSession, path: str, folders: Sequence[str]) -> DataFrame:
-    """Documents below ``path`` that lie outside of the ``name=value`` folders and so aren't read."""
-    listed = load_if_any(
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", DOCUMENT_GLOB),
-        path,
-    )
+    """Files below ``path`` that aren't read: documents outside of the ``name=value`` folders, bulk files not straight
+    in a region's folder, and files of any other name. Only their names are read here."""
+    listed = load_if_any(spark.read.format("binaryFile").option("recursiveFileLookup", True), path)
     if listed is None:
         return empty(struct(file=TEXT))
-    expected = "/".join([*(f"{name}=[^/]*" for name in folders), "[^/]*$"])
-    return listed.select(F.col("path").alias("file")).where(~F.col("file").rlike("/" + expected))
+
+    def filed(names: Sequence[str], kinds: Sequence[str]) -> Column:
+        return F.col("file").rlike("/" + "/".join([*(f"{name}=[^/]*" for name in names), file_regex(kinds)]))
+
+    known = filed(folders, DOCUMENT_KINDS) | filed(("region",), BULK_KINDS)
+    return listed.select(F.col("path").alias("file")).where(~known)
 
 
 def unreadable(documents: DataFrame) -> Column:

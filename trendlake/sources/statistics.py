@@ -11,17 +11,19 @@ from pyspark.sql import types as T
 from trendlake import schemas
 from trendlake.schemas import INGESTED_AT
 from trendlake.sources.documents import (
+    BULK_KINDS,
     FILE_TIME,
     LANDING_FOLDERS,
     below,
     empty,
+    file_pattern,
     join_schemas,
     load_if_any,
     read_documents,
 )
 
 BULK_FILES = join_schemas(schemas.BULK_CSV, schemas.REGION_PARTITION)
-BULK_GLOB = "*.csv"
+BULK_GLOB = file_pattern(BULK_KINDS)
 
 
 def video_files(folders: Sequence[str]) -> T.StructType:
@@ -54,7 +56,8 @@ def load_bulk(reader, path: str, multi_line: bool = True) -> DataFrame:
 
 
 def read_stats_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Bulk CSV below ``region=..`` folders; other files in the same tree are ignored."""
+    """Bulk CSV, plain or compressed, in ``region=..`` folders. What lies elsewhere isn't read;
+    :func:`~trendlake.sources.documents.misplaced_files` lists it."""
     return load_bulk(spark.read, path, multi_line)
 
 

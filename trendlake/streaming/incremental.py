@@ -12,12 +12,11 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from trendlake import schemas
-from trendlake.operators.cleanse import cleanse, clock, with_audit
-from trendlake.operators.normalize import unify
+from trendlake.operators.counts import LoadCounts
 from trendlake.plans.maintenance import record_touched
 from trendlake.plans.silver import (
-    STATISTICS_JOB,
     build_silver_reference,
+    build_silver_statistics,
     latest_statistics,
     newest_document,
 )
@@ -65,21 +64,23 @@ def statistics_upsert(
     partition_by: Sequence[str] = STATISTICS_PARTITIONS,
     as_of: datetime | None = None,
     newest_first: Sequence[str] = (INGESTED_AT,),
+    loads: list[dict[str, int]] | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """A batch handler that merges raw statistics rows into clean_statistics.
 
     The newest row of a video-day wins, however late it arrives. The days touched are recorded for the report tables. The partition columns have
     to be part of the key; with the day among them, a batch rewrites the days it touches and
-    not whole regions.
+    not whole regions. ``loads`` gains the counts of each batch.
     """
 
     def resolve(rows: DataFrame) -> DataFrame:
         return latest_statistics(rows, newest_first)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        rows = cleanse(unify(batch, run_time=clock(as_of), carry=newest_first))
-        new = with_audit(resolve(rows), STATISTICS_JOB, as_of)
-        arrived = merge_partitions(new, path, partition_by, resolve, staging(checkpoint), batch_id)
+        counts = None if loads is None else LoadCounts()
+        new = build_silver_statistics(batch, as_of=as_of, newest_first=newest_first, counts=counts)
+        note = None if counts is None else lambda: loads.append(counts.values())
+        arrived = merge_partitions(new, path, partition_by, resolve, staging(checkpoint), batch_id, note)
         # After publishing: a batch that died before is made again, and leaves its record then.
         record_touched(arrived, checkpoint, batch_id)
 
@@ -99,9 +100,11 @@ def load_new_statistics(
     layout: str = "files",
     multi_line: bool = True,
     regions: Sequence[str] | None = None,
+    loads: list[dict[str, int]] | None = None,
 ) -> None:
     """Take new raw files of all kinds into clean_statistics, one kind after the other, as
-    they write the same table. Files of regions other than ``regions``, if given, count as seen."""
+    they write the same table. Files of regions other than ``regions``, if given, count as seen.
+    ``loads`` gains the counts of each batch."""
 
     def reader():
         return spark.readStream.options(**ANY_AGE).option("maxFilesPerTrigger", max_files)
@@ -112,7 +115,7 @@ def load_new_statistics(
         streams["bulk"] = only_regions(load_bulk(reader(), raw, multi_line), regions)
     for kind, stream in streams.items():
         progress = f"{checkpoint}/{kind}"
-        run_batches(stream, statistics_upsert(path, progress, as_of=as_of), progress, trigger)
+        run_batches(stream, statistics_upsert(path, progress, as_of=as_of, loads=loads), progress, trigger)
 
 
 def load_new_reference(

@@ -65,6 +65,7 @@ def merge_partitions(
     resolve: Callable[[DataFrame], DataFrame],
     stage: str,
     batch_id: int,
+    arrived_now: Callable[[], None] | None = None,
 ) -> DataFrame:
     """Merge ``new`` into the partitions it touches; ``resolve`` settles rows of equal key.
 
@@ -73,12 +74,15 @@ def merge_partitions(
     of merging with a half-replaced table. Two staging folders take turns, as only the last
     batch is ever retried. ``stage`` has to live and die with the progress that numbers the batches:
     keep it inside of the checkpoint folder. Columns that only the stored table has are kept.
+    ``arrived_now`` is called once ``new`` is computed, which it isn't for a batch that is only published again.
     Returns the rows of ``new``, as staged.
     """
     spark = new.sparkSession
     slot = f"{stage}/slot-{batch_id % 2}"
     if not _is_staged(spark, slot, batch_id):
         new.write.mode("overwrite").parquet(f"{slot}/new")
+        if arrived_now is not None:
+            arrived_now()
         arrived = spark.read.schema(new.schema).parquet(f"{slot}/new")
         stored = stored_table(spark, path, new.schema)
         merged = arrived
