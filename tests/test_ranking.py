@@ -42,3 +42,20 @@ def test_share_of_group(spark):
     )
     got = rows(share_of_group(df, "v", ["g"], "pct"))
     assert got == [("a", 1, 33.33), ("a", 2, 66.67), ("b", 0, None), ("c", 7, 100.0)]
+
+
+def test_share_of_a_hot_group_without_a_window(spark):
+    """A third of all rows in one group, another third in the NULL group, over many partitions."""
+    rng = random.Random(3)
+    data = [(rng.choice(["us", None, f"g{i % 50}"]), rng.randrange(1000)) for i in range(6_000)]
+    totals = defaultdict(int)
+    for group, value in data:
+        totals[group] += value
+    df = spark.createDataFrame(data, "g string, v bigint").repartition(9)
+    got = share_of_group(df, "v", ["g"], "pct")
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan
+    assert {(g, v): p for g, v, p in got.collect()} == {
+        (g, v): pytest.approx(v / totals[g] * 100, abs=0.0051) for g, v in data
+    }
+    assert got.count() == len(data)

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import bz2
 import gzip
 import json
 import re
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tests.files import (
+    HEADER,
     category,
     csv_line,
     put,
@@ -130,6 +132,25 @@ def test_misplaced_files(spark, tmp_path):
     assert len(found) == 1 and found[0].endswith("date=2024-03-01/y.json")
 
 
+def test_bulk_files_of_other_extensions_are_read_and_the_rest_reported(spark, tmp_path):
+    text = "\n".join([HEADER, csv_line("v1")]) + "\n"
+    for region, name in (("us", "a.csv"), ("gb", "a.CSV"), ("ca", "a.Csv")):
+        put(tmp_path / f"region={region}" / name, text)
+    for region, name, pack in (("de", "a.csv.gz", gzip), ("fr", "a.csv.bz2", bz2)):
+        path = tmp_path / f"region={region}" / name
+        path.parent.mkdir()
+        path.write_bytes(pack.compress(text.encode()))
+    unread = ["region=jp/date=2024-03-01/a.csv", "a.csv", "region=kr/notes.txt", "region=mx/a.csv.zip"]
+    for name in unread:
+        put(tmp_path / name, text)
+    put(tmp_path / "region=us/date=2024-03-01/hour=09/x.JSON", '{"items": []}')
+    read = read_stats_csv(spark, str(tmp_path))
+    assert rows(read, "region", "video_id") == [(r, "v1") for r in ("ca", "de", "fr", "gb", "us")]
+    found = misplaced_files(spark, str(tmp_path), ("region", "date", "hour")).collect()
+    assert sorted(r.file.split(f"{tmp_path.name}/")[1] for r in found) == sorted(unread)
+    assert read_video_documents(spark, str(tmp_path)).count() == 1
+
+
 def test_hour_stays_text(spark, tmp_path):
     put_document(tmp_path, "us", video("v1"))
     docs = read_video_documents(spark, str(tmp_path))

@@ -370,6 +370,30 @@ select "table", missing_columns, passed, message from schema_check""",
 select "table", "column", negative_count, extreme_count, passed, message from value_range""",
     "dq_freshness": f"""{TO_CHECKS}
 select "table", latest_record, cutoff, passed, message from freshness""",
+    "dq_history": f"""{TO_CHECKS}, runs as (
+  select case when as_of < timestamp '2024-02-01' then 'first' else 'second' end as run_id,
+    "check", "table", null::varchar as "column", passed, null::double as value, latest_record
+  from freshness
+  union all
+  select run_id, r."check", r."table", r."column", r.passed, r.value, null
+  from (select "check", "table", "column", passed, value from row_count
+    union all select "check", "table", "column", passed, value from null_pct
+    union all select "check", "table", null, passed, null from schema_check
+    union all select "check", "table", "column", passed, null from value_range
+    union all select "check", "table", null, passed, null from read_table) r,
+    (values ('first'), ('second')) as t(run_id)
+), compared as (
+  select *, lag(passed) over w as earlier, lag(value) over w as previous_value,
+    latest_record > lag(latest_record) over w as advanced
+  from runs window w as (partition by "check", "table", "column" order by run_id))
+select run_id, "check", "table", "column", passed,
+  case when earlier is null then 'first' when earlier = passed then 'same'
+    when passed then 'mended' else 'broken' end as change, previous_value, advanced
+from compared""",
+    "dq_sampled": f"""{TO_CHECKS}
+select "table", least(value, 20) as value, threshold, least(value, 20) >= threshold as passed,
+  'Row count: ' || cast(least(value, 20) as bigint) || ' (min: 10)' as message
+from row_count""",
     "dq_missing_table": f"""{TO_CHECKS}
 select "check", "table", passed, message from results
 where "check" in ('read_table', 'row_count')""",
@@ -444,6 +468,15 @@ select {CANONICAL.replace("comments_disabled, ratings_disabled, video_error_or_r
 "region", "lower(trim(region)) as region")}
 from raw""",
     "incremental_available_now": f"{TO_DOCUMENTS} select {API_STORED} from silver",
+    "incremental_bulk": f"""{TO_SILVER}, stored as (
+  select * replace (case when region in ('asia', 'europe') then views else 2 * views end as views) from silver)
+select video_id, region, trending_date_parsed, title, views, likes,
+  case when views > 0 then round(likes / views * 100, 4) else 0.0::double end as like_ratio
+from stored""",
+    "first_of_day_stream": f"""{TO_CLEANSED}
+select distinct video_id, region, trending_date_parsed from cleansed
+where title = 'click' or ingested_at >
+  (select max(ingested_at) - interval 2 days from cleansed where title = 'click')""",
     "upsert_latest": f"{TO_SILVER} select {STORED} from silver",
     "gold_incremental": f"""{TO_DOCUMENTS}, {LOOKUP}, {named('silver')},
 trending as ({TRENDING % 'silver'}), channel as ({CHANNEL}), category as ({CATEGORY})
@@ -454,6 +487,36 @@ union all select 'channel_analytics', region, first_trending, channel_title || '
   times_trending, total_views, total_videos, avg_engagement_rate, rank_in_region::double from channel
 union all select 'category_analytics', region, trending_date_parsed, category_name,
   video_count, total_views, unique_channels, avg_engagement_rate, view_share_pct from category""",
+    "run_counts": f"""{TO_DOCUMENTS},
+landed as (
+  select region, video_id, title, channel_title, views from raw
+  union all select region, video_id, title, channel_title, views from raw where lower(trim(region)) = 'asia'
+  union all select region, null, title, channel_title, views from raw where lower(trim(region)) = 'africa'),
+numbers as (
+  select count(*) as n, count_if(video_id is null) as dropped, count_if(title is null) as titles,
+    count_if(channel_title is null) as channels, count_if(views is null) as views from landed),
+kept as (
+  select count(*) as n, count_if(title is null) as titles, count_if(channel_title is null) as channels,
+    count_if(views < 0) as negative from silver)
+select 1::bigint as loads, l.n as rows_read, l.dropped as rows_dropped, l.n - l.dropped - k.n as rows_deduplicated,
+  k.n as rows_written, l.dropped as read_null_video_id, l.titles as read_null_title,
+  l.channels as read_null_channel_title, l.views as read_null_views, 0::bigint as written_null_video_id,
+  k.titles as written_null_title, k.channels as written_null_channel_title, 0::bigint as written_null_views,
+  k.negative as written_negative_views
+from numbers l, kept k""",
+    "run_counts_incremental": f"""{TO_DOCUMENTS},
+numbers as (
+  select count(*) as n, count_if(title is null) as titles, count_if(channel_title is null) as channels,
+    count_if(views is null) as views from raw where lower(trim(region)) = 'asia'),
+kept as (
+  select count(*) as n, count_if(title is null) as titles, count_if(channel_title is null) as channels,
+    count_if(views < 0) as negative from silver where region = 'asia')
+select 1::bigint as loads, l.n as rows_read, 0::bigint as rows_dropped, l.n - k.n as rows_deduplicated,
+  k.n as rows_written, 0::bigint as read_null_video_id, l.titles as read_null_title,
+  l.channels as read_null_channel_title, l.views as read_null_views, 0::bigint as written_null_video_id,
+  k.titles as written_null_title, k.channels as written_null_channel_title, 0::bigint as written_null_views,
+  k.negative as written_negative_views
+from numbers l, kept k""",
     "partial_rebuild": f"{TO_DOCUMENTS}, {LOOKUP}, {named('silver')} {CATEGORY}",
     "table_switched": f"""{TO_SILVER}
 select 'now' as state, region, count(*) as row_count, (3 * sum(views))::bigint as views

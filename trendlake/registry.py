@@ -27,6 +27,7 @@ from trendlake.sources.documents import FILE_TIME, SOURCE_FILE
 from trendlake.sources.statistics import read_stats_csv, read_stats_json, read_video_documents
 from trendlake.sources.tables import only_regions, optional_table, scan_table
 from trendlake.streaming.incremental import (
+    first_of_video_day,
     load_new_reference,
     load_new_statistics,
     run_batches,
@@ -41,6 +42,7 @@ AS_OF = datetime(2024, 1, 31, 12, tzinfo=timezone.utc)
 LATER = datetime(2024, 2, 15, tzinfo=timezone.utc)
 DERIVED = ("trending_date_parsed", "like_ratio", "engagement_rate")
 PRUNED_REGIONS = ("asia", "europe")
+SAMPLE_ROWS = 20
 QUERIES: dict[str, Query] = {}
 
 
@@ -433,6 +435,25 @@ def dq_failed(spark, sf):
     )
 
 
+@query
+def dq_history(spark, sf):
+    """Results of two runs, two weeks apart, appended to a stored history and compared."""
+    path = new_folder(spark, "quality-history")
+    for run_id, moment in (("first", AS_OF), ("second", LATER)):
+        results = quality.run_checks(spark, quality_frames(spark, sf), as_of=moment)
+        quality.of_run(results, run_id, moment).write.mode("append").parquet(path)
+    compared = quality.compare_runs(spark.read.parquet(path))
+    return compared.select("run_id", "check", "table", "column", "passed", "change", "previous_value", "advanced")
+
+
+@query
+def dq_sampled(spark, sf):
+    """Checks of a bounded sample: as many rows as it has, and never more than the table."""
+    frames = quality_frames(spark, sf)
+    sampled = quality.check_frames(spark, frames, as_of=AS_OF, sample_rows=SAMPLE_ROWS)
+    return sampled.filter("check = 'row_count'").select("table", "value", "threshold", "passed", "message")
+
+
 # --- Raw documents and tables on files ------------------------------------------------------
 
 
@@ -618,6 +639,42 @@ def incremental_available_now(spark, sf):
     return shown(spark.read.schema(schemas.CLEAN_STATISTICS).parquet(f"{path}/clean"))
 
 
+@query
+def incremental_bulk(spark, sf):
+    """Bulk CSV taken in by a file stream in two runs: all days with doubled views, then two regions again, compressed."""
+    path = new_folder(spark, "incremental-bulk")
+    rows = silver(spark, sf).select(*schemas.STATISTICS)
+    again = only_regions(rows, PRUNED_REGIONS)
+    for part, packed in ((rows.withColumn("views", F.col("views") * 2), "none"), (again, "gzip")):
+        part.select([F.col(name).cast("string") for name in schemas.STATISTICS]).write.mode("append").partitionBy(
+            "region"
+        ).options(header=True, escape='"', compression=packed).csv(f"{path}/raw")
+        load_new_statistics(spark, f"{path}/raw", f"{path}/clean", f"{path}/progress", as_of=AS_OF, folders=FOLDERS)
+    stored = spark.read.schema(schemas.CLEAN_STATISTICS).parquet(f"{path}/clean")
+    return stored.select(*VIDEO_DAY_KEY, "title", "views", "likes", "like_ratio")
+
+
+@query
+def first_of_day_stream(spark, sf):
+    """First rows of video-days passed on by a stream in two runs with one state: the second brings all rows once more, of which
+    those before the first run's watermark are late and those of known video-days duplicates."""
+    path = new_folder(spark, "first-of-day")
+    rows = facts_of_events(spark, sf)
+    clicks = one_of("title", "click")
+    for part in (rows.filter(clicks), rows):
+        part.write.mode("append").parquet(f"{path}/raw")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{path}/raw")
+        first = first_of_video_day(stream).select(*VIDEO_DAY_KEY)
+        written = first.writeStream.format("parquet").option("checkpointLocation", f"{path}/progress")
+        written.trigger(availableNow=True).start(f"{path}/passed-on").awaitTermination()
+    return spark.read.parquet(f"{path}/passed-on")
+
+
+def facts_of_events(spark, sf):
+    """Cleansed rows of ``events`` with their time, before one per video-day is chosen."""
+    return cleanse.cleanse(raw_rows(spark, sf)).select(*VIDEO_DAY_KEY, "title", INGESTED_AT)
+
+
 @query
 def upsert_latest(spark, sf):
     """A stream that brings newer rows before older ones still ends with the newest."""
@@ -708,6 +765,24 @@ def gold_incremental(spark, sf):
     return gold_rows(spark, lake)
 
 
+@query
+def run_counts(spark, sf):
+    """What a run counts while it writes: the documents of a region landed twice, those of another once more without ids."""
+    lake, docs = lake_with_names(spark, sf, "counted")
+    nameless = F.transform("items", lambda item: item.withField("id", F.lit(None).cast("string")))
+    twice, broken = docs.filter("region = 'asia'"), docs.filter("region = 'africa'").withColumn("items", nameless)
+    return run_lake(spark, lake, documents=[docs, twice, broken], as_of=AS_OF).counts
+
+
+@query
+def run_counts_incremental(spark, sf):
+    """The counts of the second of two incremental runs, in which all documents of a region come again."""
+    lake, docs = lake_with_names(spark, sf, "counted-batches")
+    for part in (docs, docs.filter("region = 'asia'")):
+        report = run_lake(spark, lake, documents=[part], checkpoint=lake.path("progress"), as_of=AS_OF)
+    return report.counts
+
+
 @query
 def partial_rebuild(spark, sf):
     """A rebuild of one region from raw files that hold a part of their documents: other regions stay as they were."""
