@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from tests.files import category, csv_line, put_categories, put_csv, put_document, video
 from trendlake.schemas import CLEAN_STATISTICS
+from trendlake.sinks.tables import write_partitions
 from trendlake.streaming import upsert
 from trendlake.streaming.incremental import (
     first_of_video_day,
@@ -183,3 +184,23 @@ def test_first_of_video_day(spark, tmp_path):
     )
     query.awaitTermination()
     assert rows(spark.table("firsts"), "video_id") == [("v1",), ("v2",)]
+
+
+def test_upsert_opens_files_of_touched_partitions_only(spark, tmp_path):
+    """Partitions with odd names and a column of their own are merged; a file that can't be read lies in another one."""
+    path, places = str(tmp_path / "table"), ["a b", "a%c", "x[1]", "cé:/", None]
+    old = spark.createDataFrame([(r, i, "old", "kept") for r in places for i in range(3)], "region string, id int, v string, more string")
+    write_partitions(old, path)
+    broken = tmp_path / "table" / "region=zz" / "part-0.parquet"
+    broken.parent.mkdir()
+    broken.write_bytes(b"not parquet")
+    new = spark.createDataFrame([(r, 2, "new") for r in places] + [("b", 9, "new")], "region string, id int, v string")
+
+    def resolve(df):
+        return df.groupBy("region", "id").agg(F.min("v").alias("v"), F.max("more").alias("more") if "more" in df.columns else F.lit(None).cast("string").alias("more"))
+
+    merge_partitions(new, path, ("region",), resolve, str(tmp_path / "stage"), 0)
+    broken.unlink()
+    got = spark.read.schema(old.schema).parquet(path)
+    expected = [(r, i, "new" if i == 2 else "old", "kept") for r in places for i in range(3)] + [("b", 9, "new", None)]
+    assert sorted(map(tuple, got.select("region", "id", "v", "more").collect()), key=repr) == sorted(expected, key=repr)

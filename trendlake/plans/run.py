@@ -10,7 +10,6 @@ from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from trendlake import schemas
 from trendlake.operators.categories import category_lookup
@@ -57,7 +56,7 @@ from trendlake.streaming.incremental import (
     load_new_reference,
     load_new_statistics,
 )
-from trendlake.streaming.upsert import read_if_there, stored_table
+from trendlake.streaming.upsert import is_stored, read_if_there
 
 
 GOLD = ("trending_analytics", "channel_analytics", "category_analytics")
@@ -302,7 +301,7 @@ def register_tables(spark: SparkSession, lake: Lake, database: str) -> list[str]
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     names = []
     for table in TABLES:
-        if stored_table(spark, lake.path(table), T.StructType()) is None:
+        if not is_stored(spark, lake.path(table)):
             continue
         name = f"{database}.{table}"
         _forget(spark, name, lake.path(table))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +13,10 @@ from pyspark.sql import types as T
 
 from trendlake.sinks.tables import write_partitions
 
+#: What a path pattern gives a meaning to; names of files are taken as they are.
+PATTERN_SIGNS = re.compile(r"([\[\]{}*?\\])")
+
+
 def read_if_there(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
     """Parquet with the given schema, or None if the path doesn't exist."""
     try:
@@ -45,17 +51,38 @@ def only_partitions(
     return df.join(renamed, same, "left_semi")
 
 
-def stored_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
-    """The stored table with the types of ``schema`` and all columns that it has besides."""
-    found = None
+def is_stored(spark: SparkSession, path: str) -> bool:
+    """Whether there is a table at ``path``; one footer tells."""
     try:
-        found = spark.read.option("mergeSchema", True).parquet(path)
+        spark.read.parquet(path)
     except AnalysisException as error:
         if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
+        return False
+    return True
+
+
+def touched_rows(
+    spark: SparkSession, path: str, schema: T.StructType, partitions: DataFrame, columns: Sequence[str]
+) -> DataFrame | None:
+    """The stored rows of the partitions that occur in ``partitions``, with the types of ``schema`` and all columns that their
+    files have besides; None without any.
+
+    Only the touched partitions' files are opened to learn their columns, so a batch doesn't cost more as the table's history
+    grows. Their names, and nothing else, reach the driver, which lists them for a read in any case.
+    """
+    placed = read_if_there(spark, path, T.StructType([schema[name] for name in columns]))
+    if placed is None:
+        return None
+    named = placed.select(*columns, F.col("_metadata.file_path").alias("_file"))
+    found = only_partitions(named, partitions, columns).select("_file").distinct().collect()
+    files = sorted(PATTERN_SIGNS.sub(r"\\\1", unquote(row["_file"])) for row in found)
+    if not files:
         return None
-    more = [field for field in found.schema.fields if field.name not in schema.fieldNames()]
-    return spark.read.schema(T.StructType([*schema.fields, *more])).parquet(path)
+    reader = spark.read.option("basePath", path)
+    known = schema.fieldNames()
+    more = [field for field in reader.option("mergeSchema", True).parquet(*files).schema.fields if field.name not in known]
+    return spark.read.option("basePath", path).schema(T.StructType([*schema.fields, *more])).parquet(*files)
 
 
 def merge_partitions(
@@ -84,15 +111,15 @@ def merge_partitions(
         if arrived_now is not None:
             arrived_now()
         arrived = spark.read.schema(new.schema).parquet(f"{slot}/new")
-        stored = stored_table(spark, path, new.schema)
-        merged = arrived
-        if stored is not None:
-            touched = only_partitions(stored, arrived, partition_by)
-            merged = touched.unionByName(arrived, allowMissingColumns=True)
+        stored = touched_rows(spark, path, new.schema, arrived, partition_by)
+        merged = arrived if stored is None else stored.unionByName(arrived, allowMissingColumns=True)
         write_partitions(resolve(merged), f"{slot}/merged", partition_by, whole=True)
         _mark_staged(spark, slot, batch_id)
-    staged = stored_table(spark, f"{slot}/merged", new.schema)
-    if staged is not None:
+    if is_stored(spark, f"{slot}/merged"):
+        # All its files have the same columns, written by one job. Partition values keep their declared types.
+        found = spark.read.parquet(f"{slot}/merged").schema
+        more = [field for field in found.fields if field.name not in new.schema.fieldNames()]
+        staged = spark.read.schema(T.StructType([*new.schema.fields, *more])).parquet(f"{slot}/merged")
         # Brought together when staged: publishing needs no shuffle.
         write_partitions(staged, path, partition_by, rebalance=False)
     return spark.read.schema(new.schema).parquet(f"{slot}/new")
