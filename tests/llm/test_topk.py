@@ -56,3 +56,57 @@ def test_large_components(spark):
 def test_empty(spark):
     none = spark.createDataFrame([], "id long, v array<bigint>")
     assert topk.top_k(none, none, 5).isEmpty()
+
+
+def clusters(n=1200, size=8):
+    rng = random.Random(5)
+    middles = [[rng.gauss(0, 20) for _ in range(size)] for _ in range(6)]
+    return [(i, [x + rng.gauss(0, 0.3) for x in middles[i % 6]]) for i in range(n)]
+
+
+def test_clusters_visit_few_blocks(spark, monkeypatch):
+    """Data go to the groups that need them only, and queries to the blocks their own bound reaches."""
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 100)
+    sent = {"data": 0, "queries": 0}
+    for name in sent:
+        plain = getattr(topk, f"route_{name}")
+
+        def counted(*args, plain=plain, name=name):
+            frame = plain(*args)
+            sent[name] += frame.count()
+            return frame
+
+        monkeypatch.setattr(topk, f"route_{name}", counted)
+    rows = clusters()
+    whole = spark.createDataFrame(rows, "id long, e array<double>").select(
+        "id", topk.whole_numbers(F.col("e")).alias("v"), F.lit("x").alias("cell"), F.lit(0).alias("group")
+    )
+    got = topk.top_k(whole, whole.where("id % 20 = 0"), 7, chunk_rows=10)
+    assert sorted(map(tuple, got.collect())) == expected(rows, 7)
+    # All pairs would be 6 groups or more times 1200 rows, and 60 queries times 12 blocks or more, in each pass.
+    assert sent["data"] < 2 * 1200 * 6 * 0.6
+    assert sent["queries"] < 60 + 60 * 12 * 0.5
+
+
+def test_bounds_hold():
+    """No product exceeds the bound of its query or of its query's cell."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for scale in (1, 10**9):
+        data = (rng.normal(size=(500, 5)) * 100 * scale + 30 * scale).astype(np.int64)
+        cells = topk.Cells(data[:9].astype(float))
+        cell, measures = cells.nearest(data)
+        for c in range(9):
+            own = {m: v[cell == c] for m, v in measures.items()}
+            cells.rows[c] = int((cell == c).sum())
+            cells.low[c], cells.high[c] = own["along"].min(), own["along"].max()
+            cells.rest[c], cells.radius[c], cells.norm[c] = own["beside"].max(), own["apart"].max(), own["norm"].max()
+        asked = (rng.normal(size=(80, 5)) * 100 * scale).astype(np.int64)
+        asked_cell, asked_measures = cells.nearest(asked)
+        radius = np.array([max(asked_measures["apart"][asked_cell == c], default=0) for c in range(9)])
+        scores = topk.products(asked, data)
+        for c in range(9):
+            highest = scores[:, cell == c].max(1)
+            assert (highest <= cells.bounds(asked.astype(float))[:, c]).all()
+            assert (highest <= cells.group_bounds(radius)[asked_cell, c]).all()
