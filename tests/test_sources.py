@@ -20,6 +20,7 @@ from tests.files import (
     put_document,
     video,
 )
+from trendlake import schemas
 from trendlake.operators.documents import (
     envelope,
     expected_regions,
@@ -214,6 +215,28 @@ def test_categories_of_all_kinds_of_file(spark, tmp_path, noon):
     ]
 
 
+def test_fields_that_the_schema_does_not_name(spark, tmp_path, noon):
+    first = category("1", "a")
+    first["snippet"] |= {"description": "d", "Title": "other case", "lists": [1, {"x": 2}]}
+    first |= {"localized": {"odd `name`": 5}, "snippet_title": "clash", "region": "clash", "empty": {}, "kept": 1, "items": 3}
+    second = category("2", "b") | {"kept": "text"}
+    put_categories(tmp_path, "us", first, second)
+    put_categories(tmp_path, "gb", category("3", "c"))
+    put_categories(tmp_path, "jp", category("4", "d"), "not an item", 5)
+    put(tmp_path / "alone.json", '{"id": "7", "snippet": {"title": "alone", "description": "x", "channel": {"n": 1}}}')
+    put(tmp_path / "region=fr/broken.json", '{"items": [')
+    table = build_silver_reference(read_categories(spark, str(tmp_path)).where("region <> 'jp'"), noon)
+    more = sorted(set(table.columns) - set(schemas.CLEAN_REFERENCE.names))
+    assert more == ["kept", "localized_odd `name`", "snippet_channel_n", "snippet_description", "snippet_lists"]
+    got = table.select("region", "id", "snippet_title", *(F.col("`" + name.replace("`", "``") + "`") for name in more))
+    assert sorted(map(tuple, got.collect())) == [
+        ("gb", "3", "c", None, None, None, None, None),
+        ("unknown", "7", "alone", None, None, "1", "x", None),
+        ("us", "1", "a", "1", "5", None, "d", '[1,{"x":2}]'),
+        ("us", "2", "b", "text", None, None, None, None),
+    ]
+
+
 def test_one_odd_value_does_not_lose_a_document(spark, tmp_path):
     put_document(tmp_path, "us", video("v1"), video("v2", category={"odd": 1}, views=7))
     docs = read_video_documents(spark, str(tmp_path))

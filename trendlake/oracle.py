@@ -405,6 +405,12 @@ select "check", "table", message, "check" as in_payload from results where not p
     "flatten_reference": with_(SUPPLIER_ITEMS) + " select * exclude (s_nationkey) from items",
     "silver_reference": REFERENCE_TABLE,
     "reference_stream": f"select * exclude (_source_file) from ({REFERENCE_TABLE})",
+    "reference_gains_fields": with_(SUPPLIER_ITEMS) + """
+select id, lower(trim(region)) as region, snippet_title,
+  case when s_nationkey >= 21 then 'about ' || snippet_title end as snippet_description,
+  case when s_nationkey >= 21 then length(id)::varchar end as position,
+  case when s_nationkey >= 21 then upper(snippet_title) end as localized_title
+from items where _position = 1 qualify s_nationkey = max(s_nationkey) over (partition by region)""",
     "table_gains_columns": f"""{TO_SILVER}
 select video_id, region, trending_date_parsed, views,
   case when region in ('asia', 'europe') then views * 2 end as doubled from silver""",

@@ -10,6 +10,7 @@ from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trendlake import schemas
 from trendlake.operators.categories import category_lookup
@@ -308,7 +309,12 @@ def register_tables(spark: SparkSession, lake: Lake, database: str) -> list[str]
         known = {"clean_statistics": schemas.CLEAN_STATISTICS, "clean_reference_data": schemas.CLEAN_REFERENCE}
         partitions = {"clean_statistics": STATISTICS_PARTITIONS}.get(table, ("region",))
         if table in known:
-            create_external(spark, name, known[table], lake.path(table), partitions)
+            columns = known[table]
+            if table == "clean_reference_data":
+                # Few rows in few files, which may have gained columns of their own.
+                stored = spark.read.option("mergeSchema", True).parquet(lake.path(table)).schema
+                columns = T.StructType([*columns.fields, *(f for f in stored.fields if f.name not in columns.names)])
+            create_external(spark, name, columns, lake.path(table), partitions)
         else:
             spark.catalog.createTable(name, path=lake.path(table), source="parquet")
             if table in GOLD:

@@ -706,6 +706,28 @@ def reference_stream(spark, sf):
     return stored.drop("_ingestion_timestamp", LANDED_AT, SOURCE_FILE)
 
 
+@query
+def reference_gains_fields(spark, sf):
+    """The same with newer files whose items have fields that the schema doesn't name."""
+    path = new_folder(spark, "reference-fields")
+    docs = adapters.supplier_categories(spark, sf).withColumn("region", F.trim("region"))
+    named = documents.envelope(docs, "supplier", F.col(FILE_TIME), count_items=False)
+    recent = F.col(FILE_TIME) >= F.timestamp_seconds(F.lit(adapters.FIRST_FILE_SECOND + 21 * 86_400))
+
+    def with_fields(item):
+        about = item["snippet"].withField("description", F.concat(F.lit("about "), item["snippet"]["title"]))
+        return item.withField("snippet", about).withField("position", F.length(item["id"])).withField(
+            "localized", F.struct(F.upper(item["snippet"]["title"]).alias("title"))
+        )
+
+    more = named.filter(recent).withColumn("items", F.transform("items", with_fields))
+    for part in (named.filter(~recent), more):
+        land_raw(part.drop(FILE_TIME, SOURCE_FILE).coalesce(1), f"{path}/raw", FOLDERS)
+        load_new_reference(spark, f"{path}/raw", f"{path}/clean", f"{path}/progress", as_of=AS_OF)
+    stored = spark.read.option("mergeSchema", True).parquet(f"{path}/clean")
+    return stored.select("id", "region", "snippet_title", "snippet_description", "position", "localized_title")
+
+
 @query
 def gold_rebuilt_with_less(spark, sf):
     """The whole run twice; before the second one, the raw documents of a region are taken away."""

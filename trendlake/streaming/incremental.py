@@ -21,7 +21,7 @@ from trendlake.plans.silver import (
     newest_document,
 )
 from trendlake.schemas import INGESTED_AT
-from trendlake.sources.categories import category_items, with_region
+from trendlake.sources.categories import category_items, category_schema, with_region
 from trendlake.sources.documents import LANDING_FOLDERS, load_documents
 from trendlake.sources.statistics import load_bulk, video_files, video_rows
 from trendlake.sources.tables import only_regions
@@ -129,14 +129,15 @@ def load_new_reference(
     layout: str = "files",
 ) -> None:
     """Take new category files into clean_reference_data. As in a full build the newest document of a
-    region stands for it, so an older one that arrives later changes nothing."""
+    region stands for it, so an older one that arrives later changes nothing. Fields that the schema doesn't name are
+    looked for once, among the files that are there when the stream starts, and become columns."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         new = build_silver_reference(category_items(batch), as_of)
         merge_partitions(new, path, ("region",), newest_document, staging(checkpoint), batch_id)
 
     reader = spark.readStream.options(**ANY_AGE).option("maxFilesPerTrigger", max_files)
-    stream = load_documents(reader, raw, schemas.CATEGORY_DOCUMENT, None, layout)
+    stream = load_documents(reader, raw, category_schema(spark, raw, layout), None, layout)
     run_batches(with_region(stream), handle, checkpoint, trigger)
 
 
