@@ -33,7 +33,7 @@ from trendlake.operators.normalize import unify
 from trendlake.plans.silver import build_silver_reference
 from trendlake.sinks.tables import land_raw
 from trendlake.sources.categories import read_categories, read_category_documents
-from trendlake.sources.documents import misplaced_files, unreadable
+from trendlake.sources.documents import misplaced_files, parse, parse_framed, unreadable
 from trendlake.sources.statistics import (
     read_stats_csv,
     read_stats_json,
@@ -245,6 +245,49 @@ def test_one_odd_value_does_not_lose_a_document(spark, tmp_path):
     assert rows(ingest_summary(docs, expected_regions(spark, ["us"]))) == [("us", 1, 2, 0, "success")]
 
 
+ODD_TEXTS = (
+    json.dumps({"items": [video("v1")], "_pipeline_metadata": {"region": "us", "video_count": 1}}),
+    json.dumps({"items": [video("v1"), video("v2", category={"odd": 1})]}),
+    '{"items": [{"id": "v1"}, 5, {"id": "v2", "snippet": {"title": "t"}}]}',
+    '{"items": [{"id": "v1", "snippet": "text"}, null]}',
+    '{"items": {"id": "v1"}, "_pipeline_metadata": {"video_count": "x"}}',
+    '{"items": null, "_pipeline_metadata": {"video_count": "x"}}',
+    '{"items": null}',
+    "{}",
+    '[{"items": [{"id": "v1"}]}, {"items": 5}]',
+    "[]",
+    '{"items": [{"id": "v1"}]} {"items": []}',
+    '{"items": [{"id": "v1"}]',
+    '{"items": [{"id": "v1"}]}}',
+    "null",
+    "5",
+    '"text"',
+    " ",
+    '\t{"items": [{"id": "v1"}]}\r',
+    '{"_text_end": 2, "_value": {"items": []}, "items": [{"id": "\u00e9 \U0001F600"}]}',
+)
+
+
+def test_a_document_is_the_same_with_and_without_its_frame(spark):
+    kind = schemas.VIDEO_DOCUMENT
+    texts = spark.createDataFrame(list(enumerate(ODD_TEXTS)), "n int, value string")
+    framed = texts.withColumn("framed", parse_framed(F.col("value"), kind))
+    nothing = F.lit(None).cast(framed.schema["framed"].dataType)
+    got = framed.select("n", parse(F.col("value"), F.col("framed"), kind).alias("docs"))
+    alone = framed.select("n", parse(F.col("value"), nothing, kind).alias("docs"))
+    assert rows(got) == rows(alone)
+    assert got.where("n = 0").first().docs[0]["items"][0].id == "v1"
+
+
+def test_a_file_is_split_once_and_a_line_is_parsed_in_one_pass(spark, tmp_path):
+    put_document(tmp_path, "us", video("v1"))
+    docs = read_video_documents(spark, str(tmp_path))
+    plan = docs._jdf.queryExecution().optimizedPlan().toString()
+    # With carriage returns or without; it was once for each use of the lines before.
+    assert plan.count("split(") == 2
+    assert plan.count("AS _framed") == 1
+
+
 def test_outcome_of_each_region(spark, tmp_path):
     videos, names = tmp_path / "videos", tmp_path / "names"
     for region in ("us", "gb", "de"):

@@ -117,8 +117,13 @@ def load_documents(
     ]
     if layout == "lines":
         return loaded.select(*schema.fieldNames(), *file)
-    texts = loaded.select(F.explode(document_texts(F.col("value"))).alias("value"), *names, *file)
-    parsed = texts.select(F.explode(parse(F.col("value"), own)).alias("doc"), *names, SOURCE_FILE, FILE_TIME)
+    # Step by step: what several expressions of a step use is a column of the step before, and computed once.
+    kept = [*names, SOURCE_FILE, FILE_TIME]
+    plain = loaded.select(without_mark(F.col("value")).alias("value"), *names, *file)
+    lined = plain.select("value", text_lines(F.col("value")).alias("_lines"), *kept)
+    texts = lined.select(F.explode(document_texts(F.col("value"), F.col("_lines"))).alias("value"), *kept)
+    framed = texts.select("value", parse_framed(F.col("value"), own).alias("_framed"), *kept)
+    parsed = framed.select(F.explode(parse(F.col("value"), F.col("_framed"), own)).alias("doc"), *kept)
     return parsed.select(
         *(F.col("doc")[name].alias(name) if name in own.fieldNames() else name for name in schema.fieldNames()),
         SOURCE_FILE,
@@ -126,20 +131,34 @@ def load_documents(
     )
 
 
+def frame(text: Column) -> Column:
+    """A text inside of an object with a field behind it, which only shows if the text is one JSON value and ends there."""
+    return F.concat(F.lit('{"_value":'), text, F.lit(',"_text_end":1}'))
+
+
 def whole_value(text: Column) -> Column:
     """Whether a text is one JSON value with nothing left after its end, which from_json alone ignores."""
-    framed = F.concat(F.lit('{"_value":'), text, F.lit(',"_text_end":1}'))
-    end = F.from_json(framed, "_text_end int", {"mode": "PERMISSIVE"})["_text_end"]
+    end = F.from_json(frame(text), "_text_end int", {"mode": "PERMISSIVE"})["_text_end"]
     return F.coalesce(end == 1, F.lit(False))
 
 
-def document_texts(content: Column) -> Column:
-    """The documents of a file: its lines if it isn't one value and a line of several is, else the whole.
+def without_mark(content: Column) -> Column:
+    """A file's text without byte order mark. Only text with one, or with bytes that aren't UTF-8, is made anew."""
+    as_it_is = F.is_valid_utf8(content) & ~content.startswith("\uFEFF")
+    return F.when(as_it_is, content).otherwise(F.regexp_replace(content, "^\uFEFF", ""))
+
+
+def text_lines(plain: Column) -> Column:
+    """The lines of a text that aren't blank. A split at one plain character needs no regular expression."""
+    lines = F.when(plain.contains("\r"), F.split(plain, "\r?\n")).otherwise(F.split(plain, "\n"))
+    return F.filter(lines, lambda line: F.trim(line) != "")
+
+
+def document_texts(plain: Column, lines: Column) -> Column:
+    """The documents of a file with these :func:`text_lines`: its lines if it isn't one value and a line of several is, else the whole.
 
     The first line counts, and any other object that isn't indented, so that a bad line costs that line only.
     """
-    plain = F.regexp_replace(content, "^\uFEFF", "")
-    lines = F.filter(F.split(plain, "\r?\n"), lambda line: F.trim(line) != "")
     first = F.coalesce(F.trim(F.get(lines, F.lit(0))), F.lit(""))
     alone = (first.rlike(r"^[{\[]") & whole_value(first)) | F.exists(
         lines, lambda line: line.startswith("{") & whole_value(line)
@@ -148,21 +167,34 @@ def document_texts(content: Column) -> Column:
     return F.when(split, F.transform(lines, F.trim)).otherwise(F.array(plain))
 
 
-def parse(text: Column, schema: T.StructType) -> Column:
-    """One document or a list of them; what isn't one JSON value becomes a document with that text alone."""
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    listed = F.from_json(text, T.ArrayType(schema), options)
-    single = F.array(F.from_json(text, schema, options))
-    broken = F.array(
-        F.struct(
-            *(
-                (text if field.name == CORRUPT else F.lit(None)).cast(field.dataType).alias(field.name)
-                for field in schema.fields
-            )
-        )
+OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+
+
+def parse_framed(text: Column, schema: T.StructType) -> Column:
+    """A text parsed as one document inside of its frame: in one pass the document, and whether there is one and nothing else."""
+    inner = T.StructType([field for field in schema.fields if field.name != CORRUPT])
+    whole = struct(_value=inner, _text_end=T.IntegerType(), **{CORRUPT: TEXT})
+    return F.from_json(frame(text), whole, OPTIONS)
+
+
+def parse(text: Column, framed: Column, schema: T.StructType) -> Column:
+    """One document or a list of them; what isn't one JSON value becomes a document with that text alone.
+
+    ``framed`` is the text's :func:`parse_framed`, which a document without any fault is taken from. Others are parsed by themselves.
+    """
+    clean = (framed["_text_end"] == 1) & framed["_value"].isNotNull() & framed[CORRUPT].isNull()
+    listed = F.from_json(text, T.ArrayType(schema), OPTIONS)
+    single = F.array(F.from_json(text, schema, OPTIONS))
+
+    def document(value) -> Column:
+        return F.array(F.struct(*(value(field).cast(field.dataType).alias(field.name) for field in schema.fields)))
+
+    sound = document(lambda field: F.lit(None) if field.name == CORRUPT else framed["_value"][field.name])
+    broken = document(lambda field: text if field.name == CORRUPT else F.lit(None))
+    other = F.when((F.trim(text) == "") | ~whole_value(text), broken).when(
+        text.rlike(r"^\s*\["), F.coalesce(listed, broken)
     )
-    blank = F.trim(text) == ""
-    return F.when(blank | ~whole_value(text), broken).when(text.rlike(r"^\s*\["), F.coalesce(listed, broken)).otherwise(single)
+    return F.when(clean, sound).otherwise(other.otherwise(single))
 
 
 def misplaced_files(spark: SparkSession, path: str, folders: Sequence[str]) -> DataFrame:
