@@ -35,6 +35,7 @@ from trendlake.sinks.tables import land_raw
 from trendlake.sources.categories import read_categories, read_category_documents
 from trendlake.sources.documents import misplaced_files, parse, parse_framed, unreadable
 from trendlake.sources.statistics import (
+    read_document_sizes,
     read_stats_csv,
     read_stats_json,
     read_video_documents,
@@ -288,6 +289,18 @@ def test_a_file_is_split_once_and_a_line_is_parsed_in_one_pass(spark, tmp_path):
     assert plan.count("AS _framed") == 1
 
 
+def test_counting_documents_reads_ids_only(spark, tmp_path):
+    for i, text in enumerate(ODD_TEXTS):
+        put(tmp_path / f"region=r{i}/date=2024-03-01/hour=09/a.json", text)
+    put(tmp_path / "region=all/date=2024-03-01/hour=09/a.jsonl", "\r\n".join(ODD_TEXTS))
+    expected = expected_regions(spark, [*(f"r{i}" for i in range(len(ODD_TEXTS))), "all", "none"])
+    sizes = read_document_sizes(spark, str(tmp_path))
+    assert sizes.schema["items"].dataType.elementType.names == ["id"]
+    got = rows(ingest_summary(sizes, expected))
+    assert got == rows(ingest_summary(read_video_documents(spark, str(tmp_path)), expected))
+    assert ("r0", 1, 1, 0, "success") in got
+
+
 def test_outcome_of_each_region(spark, tmp_path):
     videos, names = tmp_path / "videos", tmp_path / "names"
     for region in ("us", "gb", "de"):

@@ -47,9 +47,9 @@ from trendlake.sinks.tables import (
 from trendlake.sources.categories import category_items, read_category_documents
 from trendlake.sources.documents import LANDING_FOLDERS, misplaced_files
 from trendlake.sources.statistics import (
+    read_document_sizes,
     read_stats_csv,
     read_stats_json,
-    read_video_documents,
 )
 from trendlake.sources.tables import only_regions
 from trendlake.streaming.incremental import (
@@ -241,7 +241,7 @@ def run_lake(
         loads = update_silver(spark, lake, checkpoint, as_of, only_from)
     counts = stored(lake, "run_counts", total_counts(spark, loads))
     ingest = ingest_summary(
-        read_video_documents(spark, lake.raw_statistics, lake.landing, lake.layout),
+        read_document_sizes(spark, lake.raw_statistics, lake.landing, lake.layout),
         expected_regions(spark, regions),
     )
     files = file_summary(read_category_documents(spark, lake.raw_reference))

@@ -71,6 +71,18 @@ def read_video_documents(
     return read_documents(spark, path, video_files(folders), folders, layout)
 
 
+def read_document_sizes(
+    spark: SparkSession,
+    path: str,
+    folders: Sequence[str] = LANDING_FOLDERS,
+    layout: str = "files",
+) -> DataFrame:
+    """As :func:`read_video_documents`, but of each item the id only: for counting documents and their items."""
+    ids = T.ArrayType(schemas.struct(id=schemas.TEXT))
+    fields = [T.StructField(f.name, ids) if f.name == "items" else f for f in video_files(folders)]
+    return read_documents(spark, path, T.StructType(fields), folders, layout)
+
+
 def video_rows(documents: DataFrame) -> DataFrame:
     """One row per video of the API documents, dated by the envelope."""
     landed = F.try_to_timestamp(F.col("_pipeline_metadata.ingestion_timestamp"))
