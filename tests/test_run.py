@@ -10,8 +10,10 @@ from tests.conftest import rows
 from tests.files import category, csv_line, put_categories, put_csv, put_document, video
 from trendlake.operators.documents import envelope
 from trendlake.operators.quality import QualityGateError, QualityRules
+from trendlake.plans import run
 from trendlake.plans.run import Lake, run_lake, silver_frames
 from trendlake.sources.categories import read_category_documents
+from trendlake.sources.statistics import read_document_sizes
 
 
 @pytest.fixture
@@ -128,3 +130,23 @@ def test_rebuild_drops_what_raw_files_no_longer_hold(spark, lake, noon):
     for table in ("clean_statistics", "trending_analytics", "channel_analytics"):
         got = spark.read.option("basePath", lake.path(table)).parquet(lake.path(table))
         assert {r.region for r in got.select("region").distinct().collect()} == {"us"}
+
+
+def test_incremental_summary_reads_new_files_only_and_counts_those_that_are_there(spark, lake, tmp_path, noon, monkeypatch):
+    options = {"regions": ["us", "gb"], "as_of": noon, "rules": QualityRules(min_rows=4), "checkpoint": str(tmp_path / "progress")}
+    raw, read = Path(lake.raw_statistics), []
+
+    def seen(session, path, folders, layout, files=None):
+        read.append(None if files is None else len(files))
+        return read_document_sizes(session, path, folders, layout, files)
+
+    monkeypatch.setattr(run, "read_document_sizes", seen)
+    odd = put_document(raw, "gb", video("x1"), name="a [1] é%20{b}")
+    assert expected_regions_of(run_lake(spark, lake, **options)) == [("gb", 1, "success"), ("us", 4, "success")]
+    assert expected_regions_of(run_lake(spark, lake, **options)) == [("gb", 1, "success"), ("us", 4, "success")]
+    put_document(raw, "gb", video("x1"), video("x2"), name="a [1] é%20{b}")
+    (odd.parent / "cut.json").write_text('{"items": [', encoding="utf-8")
+    assert expected_regions_of(run_lake(spark, lake, **options)) == [("gb", 2, "failed"), ("us", 4, "success")]
+    (odd.parent / "cut.json").unlink()
+    assert expected_regions_of(run_lake(spark, lake, **options)) == [("gb", 2, "success"), ("us", 4, "success")]
+    assert read == [None, 2]

@@ -104,6 +104,38 @@ def test_retried_batch_publishes_the_staged_rows(spark, tmp_path, monkeypatch):
     assert rows(spark.read.parquet(path)) == [("a", 1, "us", 1), ("b", 1, "us", 2), ("c", 5, "us", 1)]
 
 
+def test_first_batch_is_staged_in_its_partitions_and_published_again(spark, tmp_path, monkeypatch):
+    """Where there is no table yet settled rows aren't merged with anything, also if publishing them has to be repeated."""
+    path, stage = str(tmp_path / "t"), str(tmp_path / "stage")
+    real, resolved = upsert.write_partitions, []
+
+    def resolve(df):
+        resolved.append(df)
+        return latest(df)
+
+    def merge(df, number):
+        return merge_partitions(df, path, ("region", "day"), resolve, stage, number, settled=True)
+
+    def lose_rows(df, target, by, **options):
+        real(df.limit(1) if target == path else df, target, by, **options)
+        if target == path:
+            raise RuntimeError("executor gone")
+
+    first = batch(spark, ("a", 1, "us", 1), ("b", 1, "us", 2), ("c", 1, None, None))
+    monkeypatch.setattr(upsert, "write_partitions", lose_rows)
+    with pytest.raises(RuntimeError):
+        merge(first, 0)
+    monkeypatch.setattr(upsert, "write_partitions", real)
+    assert rows(merge(first, 0)) == rows(first)
+    assert not resolved
+    assert rows(spark.read.schema(first.schema).parquet(path)) == rows(first)
+    merge(batch(spark, ("a", 5, "us", 1), ("d", 1, "gb", 1)), 1)
+    merge(batch(spark, ("e", 1, "gb", 1)), 2)
+    assert len(resolved) == 2
+    got = rows(spark.read.schema(first.schema).parquet(path), "k", "v")
+    assert got == [("a", 5), ("b", 1), ("c", 1), ("d", 1), ("e", 1)]
+
+
 def test_touched_partitions(spark):
     stored = batch(spark, ("a", 1, "us", 1), ("b", 1, "us", None), ("c", 1, None, 1), ("d", 1, "gb", 1))
     touched = batch(spark, ("x", 0, "us", None), ("x", 0, None, 1), ("x", 0, "gb", 2))

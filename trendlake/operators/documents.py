@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -13,6 +13,7 @@ from trendlake.operators.cleanse import clock
 from trendlake.schemas import INGESTION_ID_FORMAT, REGIONS
 from trendlake.sources.documents import SOURCE_FILE, unreadable
 
+COUNTS = ("documents", "videos", "unreadable")
 UNREADABLE, NO_ITEMS, NOT_LANDED = "unreadable document", "no category items", "no document"
 
 
@@ -50,19 +51,28 @@ def envelope(
     return documents.withColumn("_pipeline_metadata", F.struct(*fields))
 
 
+def landed_counts(documents: DataFrame, by: Sequence[str] = ("region",)) -> DataFrame:
+    """Documents, videos of those that are readable, and unreadable documents, per region or file."""
+    bad = unreadable(documents)
+    return documents.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("documents"),
+        F.coalesce(F.sum(F.when(~bad, F.size("items"))), F.lit(0)).alias("videos"),
+        F.count_if(bad).alias("unreadable"),
+    )
+
+
 def ingest_summary(documents: DataFrame, expected: DataFrame) -> DataFrame:
     """Per expected region: documents and videos landed, unreadable documents, status.
 
     ``expected`` has one ``region`` column. A region is successful if it has a readable
     document and none that isn't.
     """
-    bad = unreadable(documents)
-    landed = documents.groupBy("region").agg(
-        F.count(F.lit(1)).alias("documents"),
-        F.coalesce(F.sum(F.when(~bad, F.size("items"))), F.lit(0)).alias("videos"),
-        F.count_if(bad).alias("unreadable"),
-    )
-    counts = ["documents", "videos", "unreadable"]
+    return summary_of_counts(landed_counts(documents), expected)
+
+
+def summary_of_counts(landed: DataFrame, expected: DataFrame) -> DataFrame:
+    """The :func:`ingest_summary` from the :func:`landed_counts` of regions."""
+    counts = list(COUNTS)
     failed = (F.col("documents") == 0) | (F.col("unreadable") > 0)
     return (
         expected.join(landed, "region", "left")

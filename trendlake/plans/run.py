@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
-from urllib.parse import urlsplit
+from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,10 +17,13 @@ from trendlake.operators.categories import category_lookup
 from trendlake.operators.cleanse import row_warnings
 from trendlake.operators.counts import LoadCounts, total_counts
 from trendlake.operators.documents import (
+    COUNTS,
     expected_regions,
     file_summary,
     ingest_summary,
+    landed_counts,
     region_outcomes,
+    summary_of_counts,
 )
 from trendlake.operators.quality import (
     DEFAULT_RULES,
@@ -45,7 +48,8 @@ from trendlake.sinks.tables import (
     write_partitions,
 )
 from trendlake.sources.categories import category_items, read_category_documents
-from trendlake.sources.documents import LANDING_FOLDERS, misplaced_files
+from trendlake.shared import materialize
+from trendlake.sources.documents import FILE_SIZE, FILE_TIME, LANDING_FOLDERS, SOURCE_FILE, document_files, misplaced_files
 from trendlake.sources.statistics import (
     read_document_sizes,
     read_stats_csv,
@@ -57,9 +61,15 @@ from trendlake.streaming.incremental import (
     load_new_reference,
     load_new_statistics,
 )
-from trendlake.streaming.upsert import is_stored, read_if_there
+from trendlake.streaming.upsert import PATTERN_SIGNS, is_stored, read_if_there
 
 
+#: What tells a file from an earlier one of its name, and the counts kept of it.
+FILE_KEY = (SOURCE_FILE, FILE_TIME, FILE_SIZE)
+FILE_COUNTS = schemas.struct(
+    _source_file=schemas.TEXT, _file_time=schemas.TIME, _file_size=schemas.LONG, region=schemas.TEXT,
+    **dict.fromkeys(COUNTS, schemas.LONG),
+)
 GOLD = ("trending_analytics", "channel_analytics", "category_analytics")
 TABLES = (
     "clean_statistics",
@@ -240,10 +250,11 @@ def run_lake(
     else:
         loads = update_silver(spark, lake, checkpoint, as_of, only_from)
     counts = stored(lake, "run_counts", total_counts(spark, loads))
-    ingest = ingest_summary(
-        read_document_sizes(spark, lake.raw_statistics, lake.landing, lake.layout),
-        expected_regions(spark, regions),
-    )
+    expected = expected_regions(spark, regions)
+    if checkpoint is None:
+        ingest = ingest_summary(read_document_sizes(spark, lake.raw_statistics, lake.landing, lake.layout), expected)
+    else:
+        ingest = summary_of_counts(counts_of_files(spark, lake, f"{checkpoint}/counted-files"), expected)
     files = file_summary(read_category_documents(spark, lake.raw_reference))
     silver = silver_frames(spark, lake)
     # Stored before the gate: they are what one needs if it closes.
@@ -273,6 +284,29 @@ def run_lake(
     )
 
 
+def counts_of_files(spark: SparkSession, lake: Lake, known: str) -> DataFrame:
+    """The documents that lie in the raw folder now, counted per region.
+
+    The counts of each file are kept at ``known``. A file is read if it isn't there with its present time and size, and its
+    counts are left out while the file isn't in the raw folder. Names of files to be read, and nothing else, reach the driver,
+    which lists them for a read in any case.
+    """
+    present = materialize(document_files(spark, lake.raw_statistics, lake.landing), "raw-files")
+    before = read_if_there(spark, known, FILE_COUNTS)
+    new, files = present, None
+    if before is not None:
+        new = present.join(before, list(FILE_KEY), "left_anti")
+        files = [PATTERN_SIGNS.sub(r"\\\1", unquote(row[SOURCE_FILE])) for row in new.select(SOURCE_FILE).collect()]
+    if files is None or files:
+        sizes = read_document_sizes(spark, lake.raw_statistics, lake.landing, lake.layout, files)
+        counted = new.join(landed_counts(sizes, (SOURCE_FILE, "region")), SOURCE_FILE, "left")
+        # A file that holds no document has counts too. Nothing is replaced: a run that was cut short leaves what it has counted.
+        counted.fillna(0, subset=list(COUNTS)).select(*FILE_COUNTS.names).write.mode("append").parquet(known)
+    every = read_if_there(spark, known, FILE_COUNTS).dropDuplicates(list(FILE_KEY))
+    there = every.join(present, list(FILE_KEY), "left_semi")
+    return there.groupBy("region").agg(*(F.sum(name).alias(name) for name in COUNTS))
+
+
 def stored(lake: Lake, name: str, report: DataFrame) -> DataFrame:
     """A report of the run, a few rows, written as a table of the lake and read back."""
     report.coalesce(1).write.mode("overwrite").parquet(lake.path(name))

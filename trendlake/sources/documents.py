@@ -19,6 +19,7 @@ from trendlake.schemas import CORRUPT, TEXT, TIME, struct
 
 SOURCE_FILE = "_source_file"
 FILE_TIME = "_file_time"
+FILE_SIZE = "_file_size"
 FILE_COLUMNS = struct(_source_file=TEXT, _file_time=TIME)
 
 # The extensions of raw files, how they may be compressed, and the landing folders.
@@ -60,8 +61,8 @@ def below(path: str, folders: Sequence[str]) -> str:
     return "/".join([path, *(f"{name}=*" for name in folders)])
 
 
-def load_if_any(reader, pattern: str) -> DataFrame | None:
-    """Load a pattern; None if a batch finds no match (a stream waits for files)."""
+def load_if_any(reader, pattern: str | list[str]) -> DataFrame | None:
+    """Load a pattern, or several; None if a batch finds no match (a stream waits for files)."""
     try:
         return reader.load(pattern)
     except AnalysisException as error:
@@ -80,11 +81,13 @@ def load_documents(
     schema: T.StructType,
     folders: Sequence[str] | None,
     layout: str = "files",
+    files: Sequence[str] | None = None,
 ) -> DataFrame:
     """Documents through a batch or stream reader, with file name and time.
 
     ``folders`` names the partition columns, which filters on them can use to skip folders;
-    None finds files at any depth. ``layout`` is ``files`` or ``lines``, see above.
+    None finds files at any depth. ``layout`` is ``files`` or ``lines``, see above. ``files``, path patterns in such folders, are
+    those to read, if not all.
     """
     if layout not in ("files", "lines"):
         raise ValueError(f"unknown layout {layout}")
@@ -108,7 +111,7 @@ def load_documents(
     if folders is None:
         loaded = load_if_any(reader.option("recursiveFileLookup", True), path)
     else:
-        loaded = load_if_any(reader.option("basePath", path), below(path, folders))
+        loaded = load_if_any(reader.option("basePath", path), below(path, folders) if files is None else list(files))
     if loaded is None:
         return empty(join_schemas(schema, FILE_COLUMNS))
     file = [
@@ -225,6 +228,20 @@ def read_documents(
     schema: T.StructType,
     folders: Sequence[str] | None = LANDING_FOLDERS,
     layout: str = "files",
+    files: Sequence[str] | None = None,
 ) -> DataFrame:
-    """All documents below ``path``, see :func:`load_documents`."""
-    return load_documents(spark.read, path, schema, folders, layout)
+    """All documents below ``path``, or those of some files, see :func:`load_documents`."""
+    return load_documents(spark.read, path, schema, folders, layout, files)
+
+
+def document_files(spark: SparkSession, path: str, folders: Sequence[str]) -> DataFrame:
+    """The files that :func:`load_documents` reads below ``path``, with time and size; nothing in them is read."""
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", DOCUMENT_GLOB).option("basePath", path)
+    listed = load_if_any(reader, below(path, folders))
+    if listed is None:
+        return empty(join_schemas(FILE_COLUMNS, struct(_file_size=T.LongType())))
+    return listed.select(
+        F.col("_metadata.file_path").alias(SOURCE_FILE),
+        F.col("_metadata.file_modification_time").alias(FILE_TIME),
+        F.col("_metadata.file_size").alias(FILE_SIZE),
+    )

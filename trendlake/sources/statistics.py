@@ -76,11 +76,12 @@ def read_document_sizes(
     path: str,
     folders: Sequence[str] = LANDING_FOLDERS,
     layout: str = "files",
+    files: Sequence[str] | None = None,
 ) -> DataFrame:
-    """As :func:`read_video_documents`, but of each item the id only: for counting documents and their items."""
+    """As :func:`read_video_documents`, or of some files only, but of each item the id only: for counting documents and their items."""
     ids = T.ArrayType(schemas.struct(id=schemas.TEXT))
     fields = [T.StructField(f.name, ids) if f.name == "items" else f for f in video_files(folders)]
-    return read_documents(spark, path, T.StructType(fields), folders, layout)
+    return read_documents(spark, path, T.StructType(fields), folders, layout, files)
 
 
 def video_rows(documents: DataFrame) -> DataFrame:

@@ -80,7 +80,7 @@ def statistics_upsert(
         counts = None if loads is None else LoadCounts()
         new = build_silver_statistics(batch, as_of=as_of, newest_first=newest_first, counts=counts)
         note = None if counts is None else lambda: loads.append(counts.values())
-        arrived = merge_partitions(new, path, partition_by, resolve, staging(checkpoint), batch_id, note)
+        arrived = merge_partitions(new, path, partition_by, resolve, staging(checkpoint), batch_id, note, settled=True)
         # After publishing: a batch that died before is made again, and leaves its record then.
         record_touched(arrived, checkpoint, batch_id)
 

@@ -16,6 +16,8 @@ from trendlake.sinks.tables import write_partitions
 #: What a path pattern gives a meaning to; names of files are taken as they are.
 PATTERN_SIGNS = re.compile(r"([\[\]{}*?\\])")
 
+MARKER = T.StructType().add("batch", T.LongType()).add("folder", T.StringType())
+
 
 def read_if_there(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
     """Parquet with the given schema, or None if the path doesn't exist."""
@@ -93,6 +95,7 @@ def merge_partitions(
     stage: str,
     batch_id: int,
     arrived_now: Callable[[], None] | None = None,
+    settled: bool = False,
 ) -> DataFrame:
     """Merge ``new`` into the partitions it touches; ``resolve`` settles rows of equal key.
 
@@ -102,34 +105,45 @@ def merge_partitions(
     batch is ever retried. ``stage`` has to live and die with the progress that numbers the batches:
     keep it inside of the checkpoint folder. Columns that only the stored table has are kept.
     ``arrived_now`` is called once ``new`` is computed, which it isn't for a batch that is only published again.
+    With ``settled`` no two rows of ``new`` have equal keys: where there is no table yet they are staged in its partitions at once,
+    as there is nothing to merge with.
     Returns the rows of ``new``, as staged.
     """
     spark = new.sparkSession
     slot = f"{stage}/slot-{batch_id % 2}"
-    if not _is_staged(spark, slot, batch_id):
-        new.write.mode("overwrite").parquet(f"{slot}/new")
+    folder = _staged_folder(spark, slot, batch_id)
+    if folder is None:
+        alone = settled and read_if_there(spark, path, new.schema) is None
+        folder = "new" if alone else "merged"
+        if alone:
+            write_partitions(new, f"{slot}/new", partition_by, whole=True)
+        else:
+            new.write.mode("overwrite").parquet(f"{slot}/new")
         if arrived_now is not None:
             arrived_now()
-        arrived = spark.read.schema(new.schema).parquet(f"{slot}/new")
-        stored = touched_rows(spark, path, new.schema, arrived, partition_by)
-        merged = arrived if stored is None else stored.unionByName(arrived, allowMissingColumns=True)
-        write_partitions(resolve(merged), f"{slot}/merged", partition_by, whole=True)
-        _mark_staged(spark, slot, batch_id)
-    if is_stored(spark, f"{slot}/merged"):
+        if not alone:
+            arrived = spark.read.schema(new.schema).parquet(f"{slot}/new")
+            stored = touched_rows(spark, path, new.schema, arrived, partition_by)
+            merged = arrived if stored is None else stored.unionByName(arrived, allowMissingColumns=True)
+            write_partitions(resolve(merged), f"{slot}/merged", partition_by, whole=True)
+        _mark_staged(spark, slot, batch_id, folder)
+    if is_stored(spark, f"{slot}/{folder}"):
         # All its files have the same columns, written by one job. Partition values keep their declared types.
-        found = spark.read.parquet(f"{slot}/merged").schema
+        found = spark.read.parquet(f"{slot}/{folder}").schema
         more = [field for field in found.fields if field.name not in new.schema.fieldNames()]
-        staged = spark.read.schema(T.StructType([*new.schema.fields, *more])).parquet(f"{slot}/merged")
+        staged = spark.read.schema(T.StructType([*new.schema.fields, *more])).parquet(f"{slot}/{folder}")
         # Brought together when staged: publishing needs no shuffle.
         write_partitions(staged, path, partition_by, rebalance=False)
     return spark.read.schema(new.schema).parquet(f"{slot}/new")
 
 
-def _is_staged(spark: SparkSession, slot: str, batch_id: int) -> bool:
-    marker = read_if_there(spark, f"{slot}/batch", T.StructType().add("batch", T.LongType()))
-    return marker is not None and not marker.filter(F.col("batch") == batch_id).isEmpty()
+def _staged_folder(spark: SparkSession, slot: str, batch_id: int) -> str | None:
+    """The folder of the slot that holds what the batch publishes; None if the batch isn't staged."""
+    marker = read_if_there(spark, f"{slot}/batch", MARKER)
+    found = None if marker is None else marker.filter(F.col("batch") == batch_id).first()
+    return None if found is None else found["folder"] or "merged"
 
 
-def _mark_staged(spark: SparkSession, slot: str, batch_id: int) -> None:
-    marker = spark.range(1).select(F.lit(batch_id).cast("bigint").alias("batch"))
+def _mark_staged(spark: SparkSession, slot: str, batch_id: int, folder: str) -> None:
+    marker = spark.range(1).select(F.lit(batch_id).cast("bigint").alias("batch"), F.lit(folder).alias("folder"))
     marker.write.mode("overwrite").parquet(f"{slot}/batch")
