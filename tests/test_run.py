@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tests.files import category, csv_line, put_categories, put_csv, put_document, video
-from trendlake.operators.documents import envelope
+from trendlake.operators import counts
+from trendlake.operators.documents import envelope, expected_regions, summary_of_counts
 from trendlake.operators.quality import QualityGateError, QualityRules
 from trendlake.plans import run
 from trendlake.plans.run import Lake, run_lake, silver_frames
@@ -150,3 +151,52 @@ def test_incremental_summary_reads_new_files_only_and_counts_those_that_are_ther
     (odd.parent / "cut.json").unlink()
     assert expected_regions_of(run_lake(spark, lake, **options)) == [("gb", 2, "success"), ("us", 4, "success")]
     assert read == [None, 2]
+
+
+def summary_of(report):
+    return rows(report.ingest, "region", "documents", "videos", "unreadable", "status")
+
+
+SUMMARY = [("de", 0, 0, 0, "failed"), ("gb", 2, 1, 1, "failed"), ("us", 2, 4, 0, "success")]
+#: Enough of every table for its checks, even if it holds few rows.
+LENIENT = QualityRules(min_rows=0, freshness_hours=10**6, max_null_pct=100.0)
+
+
+def put_odd_documents(lake):
+    raw = Path(lake.raw_statistics)
+    put_document(raw, "us", name="no-items")
+    cut = put_document(raw, "gb", video("x1"), name="cut")
+    cut.write_text(json.dumps(json.loads(cut.read_text())) + "\n{cut", encoding="utf-8")
+    put_document(raw, "fr", video("x2"), name="not-expected")
+
+
+def test_rebuild_counts_documents_while_it_builds(spark, lake, noon, monkeypatch):
+    put_odd_documents(lake)
+    read = []
+    monkeypatch.setattr(run, "read_document_sizes", lambda *args: read.append(args) or read_document_sizes(*args))
+    report = run_lake(spark, lake, regions=["us", "gb", "de", "us"], as_of=noon, rules=LENIENT)
+    assert sorted(set(summary_of(report))) == SUMMARY
+    assert not read
+    assert rows(report.counts, "rows_read") == [(8 + 2 + 4 + 1 + 1,)]
+
+
+@pytest.mark.parametrize("only_from", [["US "], ["gb", "de"]])
+def test_rebuild_of_some_regions_counts_all(spark, lake, noon, only_from):
+    put_odd_documents(lake)
+    seen = counts.DocumentCounts(["us", "gb", "de"], only_from)
+    run.refresh_silver(spark, lake, only_from, noon, seen)
+    assert seen.values(spark, lake.raw_statistics, lake.landing) is not None
+    landed = run.counts_of_rebuild(spark, lake, seen, only_from)
+    summary = summary_of_counts(landed, expected_regions(spark, ["us", "gb", "de"]))
+    assert rows(summary, "region", "documents", "videos", "unreadable", "status") == SUMMARY
+
+
+def test_documents_that_may_be_counted_twice_are_read_again(spark, lake, noon, monkeypatch):
+    put_odd_documents(lake)
+    seen = []
+    monkeypatch.setattr(run, "read_document_sizes", lambda *args: seen.append(args) or read_document_sizes(*args))
+    twice = counts.DocumentCounts.files
+    monkeypatch.setattr(counts.DocumentCounts, "files", lambda self, df: twice(self, df.union(df)))
+    report = run_lake(spark, lake, regions=["us", "gb", "de"], as_of=noon, rules=LENIENT)
+    assert len(seen) == 1
+    assert summary_of(report) == SUMMARY

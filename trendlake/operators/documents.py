@@ -53,12 +53,17 @@ def envelope(
 
 def landed_counts(documents: DataFrame, by: Sequence[str] = ("region",)) -> DataFrame:
     """Documents, videos of those that are readable, and unreadable documents, per region or file."""
-    bad = unreadable(documents)
-    return documents.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("documents"),
-        F.coalesce(F.sum(F.when(~bad, F.size("items"))), F.lit(0)).alias("videos"),
-        F.count_if(bad).alias("unreadable"),
-    )
+    return documents.groupBy(*by).agg(*(column.alias(name) for name, column in count_columns(unreadable(documents)).items()))
+
+
+def count_columns(bad: Column, of: Column | None = None) -> dict[str, Column]:
+    """The aggregates of :func:`landed_counts`, of all documents or of those that a condition holds for."""
+    of = F.lit(True) if of is None else of
+    return {
+        "documents": F.count_if(of),
+        "videos": F.coalesce(F.sum(F.when(of & ~bad, F.size("items"))), F.lit(0)),
+        "unreadable": F.count_if(of & bad),
+    }
 
 
 def ingest_summary(documents: DataFrame, expected: DataFrame) -> DataFrame:

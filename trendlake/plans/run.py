@@ -15,12 +15,11 @@ from pyspark.sql import types as T
 from trendlake import schemas
 from trendlake.operators.categories import category_lookup
 from trendlake.operators.cleanse import row_warnings
-from trendlake.operators.counts import LoadCounts, total_counts
+from trendlake.operators.counts import DocumentCounts, LoadCounts, total_counts
 from trendlake.operators.documents import (
     COUNTS,
     expected_regions,
     file_summary,
-    ingest_summary,
     landed_counts,
     region_outcomes,
     summary_of_counts,
@@ -54,8 +53,10 @@ from trendlake.sources.statistics import (
     read_document_sizes,
     read_stats_csv,
     read_stats_json,
+    read_video_documents,
+    video_rows,
 )
-from trendlake.sources.tables import only_regions
+from trendlake.sources.tables import only_regions, other_regions
 from trendlake.streaming.incremental import (
     STATISTICS_PARTITIONS,
     load_new_reference,
@@ -136,11 +137,13 @@ def refresh_silver(
     lake: Lake,
     regions: Sequence[str] | None = None,
     as_of: datetime | None = None,
+    documents: DocumentCounts | None = None,
 ) -> list[dict[str, int]]:
     """Build both silver tables from all raw files; what was counted while writing.
 
     Without any raw statistics nothing is written. With ``regions`` only days that their
-    raw files hold are replaced; other days and regions stay as they are.
+    raw files hold are replaced; other days and regions stay as they are. ``documents``, of the same regions, counts
+    the documents that are read.
     """
     items = category_items(read_category_documents(spark, lake.raw_reference))
     reference = build_silver_reference(require_items(items), as_of)
@@ -152,9 +155,13 @@ def refresh_silver(
             read_stats_json(spark, lake.raw_statistics, lake.landing, lake.layout),
         )
     ]
-    if all(df.isEmpty() for df in raw):
+    # A limited frame's first row is looked for in one task, then in more; isEmpty() would start all of them.
+    if not any(df.select(F.lit(1)).head(1) for df in raw):
         return []
     counts = LoadCounts()
+    if documents is not None:
+        watched = read_video_documents(spark, lake.raw_statistics, lake.landing, lake.layout, documents.files)
+        raw[1] = video_rows(documents.documents(only_regions(watched, regions)))
     statistics = build_silver_statistics(*raw, as_of=as_of, counts=counts)
     if regions is None:
         replace_table(statistics, lake.statistics, STATISTICS_PARTITIONS)
@@ -245,14 +252,15 @@ def run_lake(
         land_raw(landed, lake.raw_statistics, lake.landing)
     for landed in category_documents:
         land_raw(landed, lake.raw_reference, partition_by=("region", "date"))
+    seen = DocumentCounts(regions, only_from)
     if checkpoint is None:
-        loads = refresh_silver(spark, lake, only_from, as_of)
+        loads = refresh_silver(spark, lake, only_from, as_of, seen)
     else:
         loads = update_silver(spark, lake, checkpoint, as_of, only_from)
     counts = stored(lake, "run_counts", total_counts(spark, loads))
     expected = expected_regions(spark, regions)
     if checkpoint is None:
-        ingest = ingest_summary(read_document_sizes(spark, lake.raw_statistics, lake.landing, lake.layout), expected)
+        ingest = summary_of_counts(counts_of_rebuild(spark, lake, seen, only_from), expected)
     else:
         ingest = summary_of_counts(counts_of_files(spark, lake, f"{checkpoint}/counted-files"), expected)
     files = file_summary(read_category_documents(spark, lake.raw_reference))
@@ -284,6 +292,20 @@ def run_lake(
     )
 
 
+def counts_of_rebuild(
+    spark: SparkSession, lake: Lake, seen: DocumentCounts, only_from: Sequence[str] | None
+) -> DataFrame:
+    """The documents that lie in the raw folder, counted per region: as seen while silver was built from them, and by reading them
+    for regions it wasn't built from, or for all if what was seen may not be exact."""
+    found = seen.values(spark, lake.raw_statistics, lake.landing)
+    if found is not None and only_from is None:
+        return found
+    documents = read_document_sizes(spark, lake.raw_statistics, lake.landing, lake.layout)
+    if found is None:
+        return landed_counts(documents)
+    return landed_counts(other_regions(documents, only_from)).unionByName(found)
+
+
 def counts_of_files(spark: SparkSession, lake: Lake, known: str) -> DataFrame:
     """The documents that lie in the raw folder now, counted per region.
 

@@ -8,7 +8,7 @@ declared as such (``layout="lines"``); its files are split over tasks.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,6 +28,8 @@ BULK_KINDS = ("csv",)
 COMPRESSIONS = ("", ".gz", ".bz2")
 LANDING_FOLDERS = ("region", "date", "hour")
 
+Watch = Callable[[DataFrame], DataFrame]
+
 
 def any_case(word: str) -> str:
     """Letters as classes of both cases, in the form that file patterns and regular expressions share."""
@@ -82,12 +84,14 @@ def load_documents(
     folders: Sequence[str] | None,
     layout: str = "files",
     files: Sequence[str] | None = None,
+    watch: Watch | None = None,
 ) -> DataFrame:
     """Documents through a batch or stream reader, with file name and time.
 
     ``folders`` names the partition columns, which filters on them can use to skip folders;
     None finds files at any depth. ``layout`` is ``files`` or ``lines``, see above. ``files``, path patterns in such folders, are
-    those to read, if not all.
+    those to read, if not all. ``watch`` sees a row per file of the ``files`` layout, with size and partition columns, before it is
+    parsed, and may observe or leave out rows.
     """
     if layout not in ("files", "lines"):
         raise ValueError(f"unknown layout {layout}")
@@ -122,6 +126,8 @@ def load_documents(
         return loaded.select(*schema.fieldNames(), *file)
     # Step by step: what several expressions of a step use is a column of the step before, and computed once.
     kept = [*names, SOURCE_FILE, FILE_TIME]
+    if watch is not None:
+        loaded = watch(loaded.select("*", F.col("_metadata.file_size").alias(FILE_SIZE), "_metadata"))
     plain = loaded.select(without_mark(F.col("value")).alias("value"), *names, *file)
     lined = plain.select("value", text_lines(F.col("value")).alias("_lines"), *kept)
     texts = lined.select(F.explode(document_texts(F.col("value"), F.col("_lines"))).alias("value"), *kept)
@@ -229,9 +235,10 @@ def read_documents(
     folders: Sequence[str] | None = LANDING_FOLDERS,
     layout: str = "files",
     files: Sequence[str] | None = None,
+    watch: Watch | None = None,
 ) -> DataFrame:
     """All documents below ``path``, or those of some files, see :func:`load_documents`."""
-    return load_documents(spark.read, path, schema, folders, layout, files)
+    return load_documents(spark.read, path, schema, folders, layout, files, watch)
 
 
 def document_files(spark: SparkSession, path: str, folders: Sequence[str]) -> DataFrame:

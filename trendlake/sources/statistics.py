@@ -14,6 +14,7 @@ from trendlake.sources.documents import (
     BULK_KINDS,
     FILE_TIME,
     LANDING_FOLDERS,
+    Watch,
     below,
     empty,
     file_pattern,
@@ -66,9 +67,10 @@ def read_video_documents(
     path: str,
     folders: Sequence[str] = LANDING_FOLDERS,
     layout: str = "files",
+    watch: Watch | None = None,
 ) -> DataFrame:
     """Whole API documents below ``region=../date=../hour=..`` folders."""
-    return read_documents(spark, path, video_files(folders), folders, layout)
+    return read_documents(spark, path, video_files(folders), folders, layout, watch=watch)
 
 
 def read_document_sizes(

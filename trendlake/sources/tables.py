@@ -24,6 +24,12 @@ def only_regions(df: DataFrame, regions: Iterable[str] | None) -> DataFrame:
     return df.filter(F.lower(F.trim("region")).isin(*sorted(wanted)))
 
 
+def other_regions(df: DataFrame, regions: Iterable[str]) -> DataFrame:
+    """Rows that :func:`only_regions` leaves out, also by the partition column alone."""
+    wanted = {region.strip().lower() for region in regions}
+    return df.filter(~F.coalesce(F.lower(F.trim("region")).isin(*sorted(wanted)), F.lit(False)))
+
+
 def optional_table(spark: SparkSession, name: str) -> DataFrame | None:
     """The table, or None if the catalog has none of that name. Other errors are raised."""
     return spark.table(name) if spark.catalog.tableExists(name) else None
