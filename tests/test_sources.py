@@ -33,12 +33,13 @@ from trendlake.operators.normalize import unify
 from trendlake.plans.silver import build_silver_reference
 from trendlake.sinks.tables import land_raw
 from trendlake.sources.categories import read_categories, read_category_documents
-from trendlake.sources.documents import misplaced_files, parse, parse_framed, unreadable
+from trendlake.sources.documents import TASKS_PER_CORE, misplaced_files, parse, parse_framed, trimmed, unreadable
 from trendlake.sources.statistics import (
     read_document_sizes,
     read_stats_csv,
     read_stats_json,
     read_video_documents,
+    silver_columns,
     video_rows,
 )
 from trendlake.sources.tables import only_regions, optional_table, sample_table, scan_table
@@ -289,6 +290,37 @@ def test_a_file_is_split_once_and_a_line_is_parsed_in_one_pass(spark, tmp_path):
     assert plan.count("AS _framed") == 1
 
 
+def test_many_small_files_are_read_in_few_tasks(spark, tmp_path):
+    """A folder per day, as landing leaves them: each file was a task before where Spark packs them so."""
+    cores = spark.sparkContext.defaultParallelism
+    days = [f"2024-{month:02}-{day:02}" for month in (1, 2) for day in range(1, 29)]
+    for i, day in enumerate(days):
+        put_document(tmp_path, "us", video(f"v{i}"), at=f"{day}T09:00:00+00:00")
+        put_document(tmp_path, "gb", video(f"v{i}"), at=f"{day}T10:00:00+00:00")
+    limit = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "1k")
+    try:
+        docs = read_video_documents(spark, str(tmp_path))
+        assert docs.rdd.getNumPartitions() == TASKS_PER_CORE * cores < 2 * len(days)
+        assert docs.where("region = 'gb'").rdd.getNumPartitions() <= TASKS_PER_CORE * cores
+    finally:
+        spark.conf.set(limit, before)
+    assert rows(docs, "region", "items.id") == sorted((r, [f"v{i}"]) for r in ("gb", "us") for i in range(len(days)))
+
+
+def test_trimming_lines_is_trimming(spark):
+    lines = spark.createDataFrame([(x,) for x in ("", " ", "a", " a", "a ", " a b ", "\ta", "a\r", " \u00e9 ", " \t ", None)], "x string")
+    assert lines.where(~trimmed(F.col("x")).eqNullSafe(F.trim("x"))).isEmpty()
+
+
+def test_what_is_counted_while_building_passes_no_other_column(spark, tmp_path):
+    put_document(tmp_path, "us", video("v1"), video("v2"))
+    docs = read_video_documents(spark, str(tmp_path))
+    assert silver_columns(docs).columns == ["region", "items", "_pipeline_metadata", schemas.CORRUPT, "_file_time"]
+    assert rows(video_rows(silver_columns(docs))) == rows(video_rows(docs))
+
+
 def test_counting_documents_reads_ids_only(spark, tmp_path):
     for i, text in enumerate(ODD_TEXTS):
         put(tmp_path / f"region=r{i}/date=2024-03-01/hour=09/a.json", text)

@@ -54,6 +54,7 @@ from trendlake.sources.statistics import (
     read_stats_csv,
     read_stats_json,
     read_video_documents,
+    silver_columns,
     video_rows,
 )
 from trendlake.sources.tables import only_regions, other_regions
@@ -161,7 +162,7 @@ def refresh_silver(
     counts = LoadCounts()
     if documents is not None:
         watched = read_video_documents(spark, lake.raw_statistics, lake.landing, lake.layout, documents.files)
-        raw[1] = video_rows(documents.documents(only_regions(watched, regions)))
+        raw[1] = video_rows(documents.documents(silver_columns(only_regions(watched, regions))))
     statistics = build_silver_statistics(*raw, as_of=as_of, counts=counts)
     if regions is None:
         replace_table(statistics, lake.statistics, STATISTICS_PARTITIONS)

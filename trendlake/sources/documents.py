@@ -28,6 +28,10 @@ BULK_KINDS = ("csv",)
 COMPRESSIONS = ("", ".gz", ".bz2")
 LANDING_FOLDERS = ("region", "date", "hour")
 
+# Tasks per core that are always left, and how many partitions of Spark's packing a task takes at most.
+TASKS_PER_CORE = 8
+PARTITIONS_PER_TASK = 8
+
 Watch = Callable[[DataFrame], DataFrame]
 
 
@@ -124,6 +128,7 @@ def load_documents(
     ]
     if layout == "lines":
         return loaded.select(*schema.fieldNames(), *file)
+    loaded = in_fewer_tasks(loaded)
     # Step by step: what several expressions of a step use is a column of the step before, and computed once.
     kept = [*names, SOURCE_FILE, FILE_TIME]
     if watch is not None:
@@ -140,6 +145,17 @@ def load_documents(
     )
 
 
+def in_fewer_tasks(loaded: DataFrame) -> DataFrame:
+    """Files of a batch in fewer tasks. Landing leaves many small files, of which Spark packs few in a partition, as it takes each
+    for some megabytes more, while starting to parse costs a task as much as thousands of documents. Files are read one at a time, so
+    their number takes no more memory, and what follows spills."""
+    if loaded.isStreaming:
+        return loaded
+    packed = loaded.rdd.getNumPartitions()
+    tasks = max(TASKS_PER_CORE * loaded.sparkSession.sparkContext.defaultParallelism, -(-packed // PARTITIONS_PER_TASK))
+    return loaded.coalesce(tasks) if tasks < packed else loaded
+
+
 def frame(text: Column) -> Column:
     """A text inside of an object with a field behind it, which only shows if the text is one JSON value and ends there."""
     return F.concat(F.lit('{"_value":'), text, F.lit(',"_text_end":1}'))
@@ -160,7 +176,12 @@ def without_mark(content: Column) -> Column:
 def text_lines(plain: Column) -> Column:
     """The lines of a text that aren't blank. A split at one plain character needs no regular expression."""
     lines = F.when(plain.contains("\r"), F.split(plain, "\r?\n")).otherwise(F.split(plain, "\n"))
-    return F.filter(lines, lambda line: F.trim(line) != "")
+    return F.filter(lines, lambda line: line.startswith("{") | (F.trim(line) != ""))
+
+
+def trimmed(line: Column) -> Column:
+    """A line without blanks around it. Trimming reads all of a line, so one that has none is left as it is."""
+    return F.when(line.startswith(" ") | line.endswith(" "), F.trim(line)).otherwise(line)
 
 
 def document_texts(plain: Column, lines: Column) -> Column:
@@ -173,7 +194,7 @@ def document_texts(plain: Column, lines: Column) -> Column:
         lines, lambda line: line.startswith("{") & whole_value(line)
     )
     split = (F.size(lines) > 1) & ~whole_value(plain) & alone
-    return F.when(split, F.transform(lines, F.trim)).otherwise(F.array(plain))
+    return F.when(split, F.transform(lines, trimmed)).otherwise(F.array(plain))
 
 
 OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}

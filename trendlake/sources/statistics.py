@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendlake import schemas
-from trendlake.schemas import INGESTED_AT
+from trendlake.schemas import CORRUPT, INGESTED_AT
 from trendlake.sources.documents import (
     BULK_KINDS,
     FILE_TIME,
@@ -86,6 +86,12 @@ def read_document_sizes(
     return read_documents(spark, path, T.StructType(fields), folders, layout, files)
 
 
+def silver_columns(documents: DataFrame) -> DataFrame:
+    """Of whole documents what :func:`video_rows` and the counts need: what is observed behind it passes no column that isn't used."""
+    landed = F.struct(F.col("_pipeline_metadata.ingestion_timestamp")).alias("_pipeline_metadata")
+    return documents.select("region", "items", landed, CORRUPT, FILE_TIME)
+
+
 def video_rows(documents: DataFrame) -> DataFrame:
     """One row per video of the API documents, dated by the envelope."""
     landed = F.try_to_timestamp(F.col("_pipeline_metadata.ingestion_timestamp"))
